@@ -68,14 +68,21 @@ def left_join_all(base: DataFrame, frames: Iterable[DataFrame], key: str) -> Dat
     return reduce(lambda left, right: left.join(right, key, "left"), frames, base)
 
 
+def key_set(ids: DataFrame, key: str) -> DataFrame:
+    """Distinct ``key`` values of ``ids``; a table without that column gives its only column."""
+    if key not in ids.columns and len(ids.columns) != 1:
+        raise ValueError(f"ids have no column {key}: {ids.columns}")
+    return ids.select(F.col(key if key in ids.columns else ids.columns[0]).alias(key)).distinct()
+
+
 def semi_join(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``ids``; ids stay a DataFrame at any size."""
-    return df.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), key, "left_semi")
+    return df.join(key_set(ids, key), key, "left_semi")
 
 
 def anti_join(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``ids``; null keys are kept."""
-    return df.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), key, "left_anti")
+    return df.join(key_set(ids, key), key, "left_anti")
 
 
 def _hashable(df: DataFrame) -> list[Column]:

@@ -140,6 +140,12 @@ def _filled(column: str, fill: float) -> Column:
     return F.coalesce(F.nanvl(value, F.lit(None).cast("double")), F.lit(fill))
 
 
+def _one_hot(slot: Column, width: int) -> Column:
+    """Array of ``width`` zeros with a one at ``slot``; all zeros for a null slot."""
+    places = F.sequence(F.lit(0), F.lit(width - 1))
+    return F.transform(places, lambda i: F.coalesce((slot == i).cast("double"), F.lit(0.0)))
+
+
 @dataclass
 class Preprocessor:
     """Column-typed preparation: fill and scale numbers, fill and one-hot encode the rest.
@@ -208,13 +214,7 @@ class Preprocessor:
         ready = self.slots(align_columns(df, names, [c for c in keep if c not in names]))
         parts = [F.array(*[n for n in self.numbers()])] if self.medians else []
         for c, width in self.widths.items():
-            slot = F.col(f"{c}__slot")
-            parts.append(
-                F.transform(
-                    F.sequence(F.lit(0), F.lit(width - 1)),
-                    lambda i, s=slot: F.coalesce((s == i).cast("double"), F.lit(0.0)),
-                )
-            )
+            parts.append(_one_hot(F.col(f"{c}__slot"), width))
         return ready.select(*keep, array_to_vector(F.concat(*parts)).alias(output))
 
     def size(self) -> int:

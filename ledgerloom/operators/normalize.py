@@ -13,6 +13,7 @@ from ledgerloom.functions.naming import dimension_name, string_columns
 from ledgerloom.functions.text import type_label, without_type
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.operators.ordering import rank_within
+from ledgerloom.operators.quality import require_columns
 from ledgerloom.sources.staging import stage
 
 # The column whose values order by weekday instead of alphabet.
@@ -109,6 +110,8 @@ def normalize_table(
     Mapped columns get their shared ids; every other text column with a non-null value
     gets a local dimension; all-null columns stay as they are.
     """
+    if isinstance(order_by, str):
+        require_columns(df, [order_by], "row order")
     position = order_by if isinstance(order_by, Column) else F.col(order_by)
     df = atomize(df, atomic_column).withColumn("__pos", position)
     shared = [c for c in mapped_columns if c in df.columns]

@@ -66,7 +66,8 @@ def row_ids(
     # the mark holds the partition in its upper 31 bits and the row position below
     placed = marked.withColumn(_PART, F.shiftright(_MARK, 33))
     sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n"))
-    numbered = lookup_join(placed, _before(sizes, "n", _BEFORE), _PART, "inner")
+    # one row per partition of the written table: far below any broadcast bound
+    numbered = placed.join(F.broadcast(_before(sizes, "n", _BEFORE)), _PART)
     position = F.col(_MARK) - F.shiftleft(F.col(_PART).cast("bigint"), 33)
     return numbered.select(
         (F.col(_BEFORE) + position + F.lit(start)).cast("bigint").alias(name), *columns
@@ -116,7 +117,8 @@ def running_totals(
     )
     inside = W.partitionBy(_PART).orderBy(*order_by).rowsBetween(W.unboundedPreceding, 0)
     local = placed.select("*", *[F.sum(c).over(inside).alias(f"__l_{n}") for n, c in sums.items()])
-    joined = lookup_join(local, offsets, _PART, "inner")
+    # one row per partition of the written table: far below any broadcast bound
+    joined = local.join(F.broadcast(offsets), _PART)
     return joined.select(
         *df.columns, *[(F.col(f"__l_{n}") + F.col(f"__o_{n}")).alias(n) for n in sums]
     )

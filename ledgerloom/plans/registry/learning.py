@@ -1 +1,329 @@
-"""To be filled."""
+"""Preparation, metrics, training and scoring."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerloom.functions.numbers import min_max_scaled
+from ledgerloom.operators.features import feature_table
+from ledgerloom.operators.metrics import confusion_metrics, ranking_metrics
+from ledgerloom.operators.mlprep import (
+    Preprocessor,
+    align_columns,
+    category_counts,
+    category_indices,
+    frequent_categories,
+    medians,
+    modes,
+    scaling,
+    split_features_target,
+    stratified_split,
+)
+from ledgerloom.operators.models import (
+    parameter_grid,
+    random_parameters,
+    rank_models,
+    scoring_benchmark,
+    search,
+    train_model,
+)
+from ledgerloom.operators.ordering import exact_quantiles
+from ledgerloom.plans.registry.base import applications, credits, fixed, fixed_sql, query, table
+from ledgerloom.plans.registry.incremental import KEY, MODELS, PREDICTIONS_SQL, predictions
+from ledgerloom.plans.registry.monitoring import CONFUSION_SQL, ranking_sql
+from ledgerloom.sources.staging import staging_path, stage
+
+# Entities with missing numbers and missing text. The nation is text here.
+_BASE_SQL = """(SELECT c_custkey AS "SK_ID_CURR", (c_acctbal < 0)::INTEGER AS "TARGET", c_custkey * 10 AS number,
+ CASE WHEN c_mktsegment <> 'BUILDING' THEN c_acctbal END AS balance, CASE WHEN c_nationkey <> 3 THEN c_mktsegment END
+ AS segment, 'N' || c_nationkey AS nation FROM customer)"""
+
+
+def _base(spark, root):
+    c = table(spark, root, "customer")
+    return c.select(
+        F.col("c_custkey").alias(KEY), (F.col("c_acctbal") < 0).cast("int").alias("TARGET"),
+        (F.col("c_custkey") * 10).alias("number"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_acctbal")).alias("balance"),
+        F.when(F.col("c_nationkey") != 3, F.col("c_mktsegment")).alias("segment"),
+        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("nation"),
+    )
+
+
+_SPLIT_SQL = f"""(SELECT *, CASE WHEN r <= t THEN 'test' WHEN r <= t + ceil(round((n - t) * 0.25::DOUBLE, 9)) THEN 'validation'
+ ELSE 'train' END AS split FROM (SELECT *, ceil(n * 0.2::DOUBLE) AS t FROM (SELECT *, count(*) OVER (PARTITION BY "TARGET") AS n,
+ row_number() OVER (PARTITION BY "TARGET" ORDER BY md5("SK_ID_CURR"::VARCHAR || '|42'), "SK_ID_CURR") AS r FROM {_BASE_SQL})))"""
+_COLUMNS = '"SK_ID_CURR", "TARGET", number, balance, segment, nation'
+
+
+@query("stratified_split", f"SELECT {_COLUMNS}, split FROM {_SPLIT_SQL}")
+def _split(spark, root):
+    return stratified_split(_base(spark, root), [KEY], "TARGET")
+
+
+@query("split_features_target", f"""SELECT number, balance, segment, nation FROM {_BASE_SQL}""")
+def _features_target(spark, root):
+    features, _ = split_features_target(_base(spark, root), "TARGET", ["_DW_ID", KEY])
+    return features
+
+
+# nation is dropped, absent is added as 0, nulls of balance stay
+@query("align_columns", f"""SELECT "SK_ID_CURR", balance, 0 AS absent, number FROM {_BASE_SQL}""")
+def _align(spark, root):
+    return align_columns(_base(spark, root), ["balance", "absent", "number"], [KEY])
+
+
+_NUMBERS = ("number", "balance")
+
+
+@query(
+    "impute_median",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {fixed_sql(f'quantile_cont({c}, 0.5)', 3)} AS value FROM {_BASE_SQL}""" for c in _NUMBERS
+    ),
+)
+def _median(spark, root):
+    base = _base(spark, root).withColumn("empty", F.lit(None).cast("double"))
+    return medians(base, [*_NUMBERS, "empty"]).withColumn("value", fixed(F.col("value"), 3))
+
+
+_COUNTS_SQL = f"""(SELECT 'segment' AS "column", segment AS value, count(*) AS n FROM {_BASE_SQL} WHERE segment IS NOT NULL
+ GROUP BY 2 UNION ALL SELECT 'nation', nation, count(*) FROM {_BASE_SQL} GROUP BY 2)"""
+
+
+@query(
+    "impute_mode",
+    f"""SELECT "column", value FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS r
+ FROM {_COUNTS_SQL}) WHERE r = 1""",
+)
+def _mode(spark, root):
+    return modes(category_counts(_base(spark, root), ["segment", "nation"]))
+
+
+@query(
+    "standard_scale",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {fixed_sql(f'avg({e})', 3)} AS mean, {fixed_sql(f'coalesce(nullif(stddev_pop({e}), 0), 1)', 3)}
+ AS deviation FROM {_BASE_SQL}"""
+        for c, e in (
+            ("number", "number"),
+            ("balance", f"coalesce(balance, (SELECT quantile_cont(balance, 0.5) FROM {_BASE_SQL}))"), ("one", "1"),
+        )
+    ),
+)
+def _scale(spark, root):
+    base = _base(spark, root).withColumn("one", F.lit(1))
+    fills = {r["column"]: r["value"] for r in medians(base, [*_NUMBERS, "one"]).collect()}
+    found = [(c, float(m), float(s)) for c, (m, s) in scaling(base, fills).items()]
+    rows = spark.createDataFrame(found, "column string, mean double, deviation double")
+    return rows.withColumns({c: fixed(F.col(c), 3) for c in ("mean", "deviation")})
+
+
+# nations with fewer customers than a 25th share one slot
+_RARE = f"(SELECT count(*) / 25 FROM {_BASE_SQL})"
+
+
+def _slots_sql(counts: str, minimum: str) -> str:
+    return f"""(SELECT "column", value, category, dense_rank() OVER (PARTITION BY "column" ORDER BY
+ category = '__infrequent__', category) - 1 AS slot FROM (SELECT *, CASE WHEN n >= {minimum} THEN value ELSE '__infrequent__' END
+ AS category FROM {counts}))"""
+
+
+@query("one_hot_min_frequency", f"SELECT * FROM {_slots_sql(_COUNTS_SQL, _RARE)}")
+def _one_hot(spark, root):
+    base = _base(spark, root)
+    share = -(-base.count() // 25)
+    return category_indices(frequent_categories(category_counts(base, ["segment", "nation"]), share))
+
+
+_TRAIN = f"(SELECT * FROM {_SPLIT_SQL} WHERE split = 'train')"
+_FILLED = f"""(SELECT "SK_ID_CURR", split, number::DOUBLE AS number, coalesce(balance, (SELECT quantile_cont(balance, 0.5)
+ FROM {_TRAIN})) AS balance, coalesce(segment, (SELECT segment FROM {_TRAIN} WHERE segment IS NOT NULL GROUP BY 1
+ ORDER BY count(*) DESC, segment LIMIT 1)) AS segment, nation FROM {_SPLIT_SQL})"""
+_FILLED_COUNTS = f"""(SELECT 'segment' AS "column", segment AS value, count(*) AS n FROM {_FILLED} WHERE split = 'train' GROUP BY 2
+ UNION ALL SELECT 'nation', nation, count(*) FROM {_FILLED} WHERE split = 'train' GROUP BY 2)"""
+_FILLED_SLOTS = _slots_sql(_FILLED_COUNTS, "30")
+
+
+@query(
+    "preprocess_matrix",
+    f"""SELECT "SK_ID_CURR", split, {fixed_sql('(number - s.m1) / s.d1')} AS number, {fixed_sql('(balance - s.m2) / s.d2')} AS balance,
+ g.slot AS segment_slot, h.slot AS nation_slot, ((g.slot IS NOT NULL)::INTEGER + (h.slot IS NOT NULL)::INTEGER)::DOUBLE AS ones
+ FROM {_FILLED} f LEFT JOIN {_FILLED_SLOTS} g ON g."column" = 'segment' AND g.value = f.segment
+ LEFT JOIN {_FILLED_SLOTS} h ON h."column" = 'nation' AND h.value = f.nation,
+ (SELECT avg(number) AS m1, stddev_pop(number) AS d1, avg(balance) AS m2, stddev_pop(balance) AS d2 FROM {_FILLED}
+ WHERE split = 'train') s""",
+)
+def _matrix(spark, root):
+    """Learned on the training rows, applied to all rows, read back from the feature vector."""
+    rows = stage(stratified_split(_base(spark, root), [KEY], "TARGET"), "split")
+    train = rows.where(F.col("split") == "train").drop(KEY, "TARGET", "split")
+    prepared = Preprocessor.fit(train, min_frequency=30)
+    cells = vector_to_array("features")
+    hot = F.aggregate(F.slice(cells, 3, prepared.size() - 2), F.lit(0.0), lambda s, v: s + v)
+    vectors = prepared.transform(rows, [KEY, "split"]).select(
+        KEY, "split", fixed(cells[0]).alias("number"), fixed(cells[1]).alias("balance"), hot.alias("ones")
+    )
+    slots = prepared.slots(rows).select(
+        KEY, F.col("segment__slot").alias("segment_slot"), F.col("nation__slot").alias("nation_slot")
+    )
+    return vectors.join(slots, KEY)
+
+
+@query(
+    "anomaly_scale",
+    """SELECT o_orderkey, least(greatest((o_totalprice - lo) / (hi - lo), 0.0), 1.0)::DOUBLE AS score,
+ (o_totalprice > cut)::INTEGER AS prediction FROM orders, (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi,
+ quantile_cont(o_totalprice, 0.919) AS cut FROM orders WHERE o_orderstatus = 'F')""",
+)
+def _anomaly(spark, root):
+    """Scores of all rows on the range and the quantile of the training rows."""
+    o = table(spark, root, "orders")
+    train = o.where(F.col("o_orderstatus") == "F")
+    bounds = train.agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi")).first()
+    cut = exact_quantiles(train, ["o_totalprice"], [1 - 0.081]).first()["value"]
+    score = min_max_scaled(F.col("o_totalprice"), F.lit(bounds["lo"]), F.lit(bounds["hi"]))
+    return o.select("o_orderkey", score.alias("score"), (F.col("o_totalprice") > cut).cast("int").alias("prediction"))
+
+
+# ---------------------------------------------------------------- metrics
+
+
+def _scored_sql(model: str) -> str:
+    return f"""(SELECT p.score, p.prediction, l.quality AS t FROM {PREDICTIONS_SQL} p JOIN labels l ON l.doc_id = p."SK_ID_CURR"
+ WHERE p.model_name = '{model}')"""
+
+
+def _scored(spark, root, model):
+    labels = table(spark, root, "labels").select(F.col("doc_id").alias(KEY), "quality")
+    return predictions(spark, root).where(F.col("model_name") == model).join(labels, KEY)
+
+
+@query(
+    "classification_metrics",
+    f"""SELECT {fixed_sql('tp / (tp + fp)::DOUBLE')} AS precision, {fixed_sql('tp / (tp + fn)::DOUBLE')} AS recall,
+ {fixed_sql('2 * tp / (2 * tp + fp + fn)::DOUBLE')} AS f1 FROM {CONFUSION_SQL.format(source=_scored_sql('xgboost'))}""",
+)
+def _confusion(spark, root):
+    found = confusion_metrics(_scored(spark, root, "xgboost"), "quality", "prediction")
+    return found.select(*[fixed(F.col(c)).alias(c) for c in found.columns])
+
+
+@query("roc_auc", f"SELECT {fixed_sql('roc_auc', 8)} AS roc_auc FROM {ranking_sql(_scored_sql('tabpfn_mix'))}")
+def _roc(spark, root):
+    found = ranking_metrics(_scored(spark, root, "tabpfn_mix"), "quality", "score")
+    return found.select(fixed(F.col("roc_auc"), 8).alias("roc_auc"))
+
+
+# every order carries a score and a label: ties among prices are counted together
+@query(
+    "pr_auc",
+    f"""SELECT {fixed_sql('pr_auc', 8)} AS pr_auc FROM {ranking_sql(
+        "(SELECT l_quantity AS score, (l_returnflag = 'R')::INTEGER AS t FROM lineitem)")}""",
+)
+def _pr(spark, root):
+    li = table(spark, root, "lineitem")
+    found = ranking_metrics(li.withColumn("t", (F.col("l_returnflag") == "R").cast("int")), "t", "l_quantity")
+    return found.select(fixed(F.col("pr_auc"), 8).alias("pr_auc"))
+
+
+@query(
+    "single_class_metrics",
+    """SELECT 0.0::DOUBLE AS roc_auc, 0.0::DOUBLE AS pr_auc, 0.0::DOUBLE AS precision FROM lineitem HAVING count(*) > 0""",
+)
+def _single(spark, root):
+    li = table(spark, root, "lineitem").select(F.lit(0).alias("t"), F.lit(0).alias("p"), "l_quantity")
+    ranking = ranking_metrics(li, "t", "l_quantity").withColumn("o", F.lit(1))
+    confusion = confusion_metrics(li, "t", "p").withColumn("o", F.lit(1))
+    return ranking.join(confusion, "o").select("roc_auc", "pr_auc", "precision")
+
+
+@query(
+    "select_best_model",
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{m}' AS model_name, {fixed_sql('pr_auc')} AS test_pr_auc FROM {ranking_sql(_scored_sql(m))}" for m, _ in MODELS
+    ) + ")",
+)
+def _best(spark, root):
+    frames = [
+        ranking_metrics(_scored(spark, root, m), "quality", "score").select(
+            F.lit(m).alias("model_name"), fixed(F.col("pr_auc")).alias("test_pr_auc")
+        )
+        for m, _ in MODELS
+    ]
+    return rank_models(reduce(DataFrame.unionByName, frames))
+
+
+# ---------------------------------------------------------------- models
+
+_SMALL = {
+    "random_forest": {"n_estimators": 20, "max_depth": 6},
+    "xgboost": {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.1},
+    "local_neural_net": {"hidden_units": [16, 8], "epochs": 15},
+    "pyod_autoencoder": {"components": 6},
+}
+
+
+def _features(spark, root):
+    """Feature table of the credits; the balance that defines the target is left out."""
+    base = applications(spark, root).drop("c_acctbal")
+    children = {"bureau": {"table": credits(spark, root), "key": KEY}}
+    return stage(feature_table(base, KEY, children), "features")
+
+
+def _trained(name):
+    def run(spark, root):
+        bundle = train_model(_features(spark, root), KEY, "TARGET", name, _SMALL[name])
+        rows = [(name, k, float(v)) for k, v in sorted(bundle.metrics.items())]
+        return spark.createDataFrame(rows, "model_name string, metric string, value double")
+
+    return run
+
+
+for _name in _SMALL:
+    query(f"train_{_name}")(_trained(_name))
+
+
+@query("batch_score")
+def _batch_score(spark, root):
+    """A saved bundle is read back and scores every entity, one of its columns missing."""
+    from ledgerloom.operators.models import Bundle
+
+    features = _features(spark, root)
+    path = staging_path(spark, "bundle")
+    train_model(features, KEY, "TARGET", "random_forest", _SMALL["random_forest"]).save(spark, path)
+    return Bundle.load(spark, path).score(features.drop("bureau__cents__std"), KEY)
+
+
+@query("evaluate_bundle")
+def _evaluate(spark, root):
+    features = _features(spark, root)
+    bundle = train_model(features, KEY, "TARGET", "xgboost", _SMALL["xgboost"])
+    rows = sorted(bundle.evaluate(features, KEY).items())
+    return spark.createDataFrame([(k, float(v)) for k, v in rows], "metric string, value double")
+
+
+@query("param_grid")
+def _grid(spark, root):
+    """Four trials of a grid, one of which cannot be fitted and is kept as failed."""
+    trials = parameter_grid({"n_estimators": [5, 10], "max_depth": [3, -1]})
+    return search(_features(spark, root), KEY, "TARGET", "random_forest", trials)
+
+
+@query("random_search")
+def _random(spark, root):
+    trials = [{**p, "n_estimators": p["n_estimators"] // 20} for p in random_parameters("random_forest", 2)]
+    return search(_features(spark, root), KEY, "TARGET", "random_forest", trials)
+
+
+@query("scoring_benchmark")
+def _benchmark(spark, root):
+    features = _features(spark, root)
+    bundle = train_model(features, KEY, "TARGET", "pyod_autoencoder", _SMALL["pyod_autoencoder"])
+    return scoring_benchmark(bundle, features, KEY)
+
+

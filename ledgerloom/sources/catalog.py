@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.naming import DIMENSION_PREFIX
+from ledgerloom.operators.ordering import first_n_per_group
 
 
 def schema_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -58,6 +59,17 @@ def measured_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Da
     )
 
 
+def table_groups(catalog: DataFrame, mapped: DataFrame, excluded: Collection[str] = ()) -> DataFrame:
+    """(table, group): ``mapped`` if a table has a column with a shared mapping, else ``unmapped``."""
+    tables = catalog.select("table", F.upper("column").alias("column"))
+    if excluded:
+        tables = tables.where(~F.col("table").isin(*excluded))
+    known = mapped.select(F.upper("column").alias("column"), F.lit(True).alias("hit")).distinct()
+    marked = tables.join(known, "column", "left").groupBy("table").agg(F.count("hit").alias("hits"))
+    group = F.when(F.col("hits") > 0, "mapped").otherwise("unmapped")
+    return marked.select("table", group.alias("group"))
+
+
 def shared_columns(catalog: DataFrame, minimum: int = 2) -> DataFrame:
     """(column, tables, n_tables) of text columns found in several tables.
 
@@ -85,11 +97,9 @@ def shared_column_report(
         DataFrame.unionByName,
         [cells(df).withColumn("table", F.lit(name)) for name, df in tables.items()],
     )
-    distinct = values.where(F.col("value").isNotNull()).join(
-        F.broadcast(report.select("table", "column")), ["table", "column"]
-    ).distinct()
-    from ledgerloom.operators.ordering import first_n_per_group
-
+    # one row per column of the tables: bounded by their schemas
+    shared = F.broadcast(report.select("table", "column"))
+    distinct = values.where(F.col("value").isNotNull()).join(shared, ["table", "column"]).distinct()
     firsts = first_n_per_group(distinct, ["table", "column"], ["value"], samples)
     sampled = firsts.groupBy("table", "column").agg(
         F.sort_array(F.collect_list("value")).alias("sample_values")
