@@ -35,3 +35,8 @@ def model_from_file_name(name: Column, run_id: Column) -> Column:
     return F.when(
         stem.endswith(suffix), F.left(stem, F.length(stem) - F.length(suffix))
     ).otherwise(F.split(stem, "_", 2)[0])
+
+
+def run_id(prefix: str, at: Column) -> Column:
+    """Sortable run id: prefix and the time to the second."""
+    return F.concat(F.lit(f"{prefix}_"), F.date_format(at, "yyyyMMdd_HHmmss"))

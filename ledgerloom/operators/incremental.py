@@ -14,6 +14,8 @@ from ledgerloom.operators.quality import require_columns, require_non_empty, req
 from ledgerloom.sources.ledger import consumed_rank_max, inserted_entity_ids
 
 RANK = "holdout_rank"
+# A manifest lists the ids of batches up to this size; larger ones have them as rows only.
+MAX_LISTED_IDS = 10_000
 
 # Column order of a stored prediction.
 PREDICTION_COLUMNS = (
@@ -44,7 +46,9 @@ class Batch:
     previous_consumed_rank_max: int
 
 
-def next_batch(ranks: DataFrame, manifests: DataFrame, rows: int, key: str) -> Batch:
+def next_batch(
+    ranks: DataFrame, manifests: DataFrame, rows: int, key: str, stored_ids: DataFrame | None = None
+) -> Batch:
     """Ids that follow the highest rank of an inserted manifest, up to ``rows`` of them.
 
     Errors: no ids left, repeated ranks or ids, ids that were inserted before. Only the
@@ -57,7 +61,7 @@ def next_batch(ranks: DataFrame, manifests: DataFrame, rows: int, key: str) -> B
     consumed = consumed_rank_max(manifests).first()["consumed_rank_max"]
     ids = rank_range(ranks, consumed + 1, consumed + rows)
     require_non_empty(ids, "holdout batch")
-    overlap = semi_join(ids, inserted_entity_ids(manifests, key), key)
+    overlap = semi_join(ids, inserted_entity_ids(manifests, key, stored_ids), key)
     taken = [str(r[key]) for r in overlap.orderBy(key).limit(10).collect()]
     if taken:
         raise ValueError(f"selected batch overlaps already inserted ids: {', '.join(taken)}")
@@ -87,12 +91,13 @@ def prepare_batch(batch: Batch, source: DataFrame, key: str, target: str) -> Dat
 
 def batch_manifest(batch: Batch, run_id: str, status: str, key: str, target_removed: bool) -> DataFrame:
     """One-row manifest of a batch: planned, manifest_only or inserted."""
+    listed = batch.rows_requested <= MAX_LISTED_IDS
+    ids = F.sort_array(F.collect_list(F.col(key).cast("bigint"))) if listed else F.array().cast("array<bigint>")
     bounds = batch.ids.agg(
         F.count(F.lit(1)).alias("rows_selected"),
         F.min(key).alias("sk_id_curr_min"),
         F.max(key).alias("sk_id_curr_max"),
-        # bounded by the rows requested for one run
-        F.sort_array(F.collect_list(F.col(key).cast("bigint"))).alias("entity_ids"),
+        (ids if listed else F.first(ids)).alias("entity_ids"),
     )
     inserted = F.col("rows_selected") if status == "inserted" else F.lit(0)
     return bounds.select(

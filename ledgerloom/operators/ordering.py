@@ -1,12 +1,13 @@
 """Row numbers, running totals and quantiles over a whole table without a one-task window.
 
-All of them sort by range partitioning, write the sorted table once, and add to each
-partition's own numbering the (tiny) sizes of the partitions before it. The only
-unpartitioned window runs over one row per partition of that table.
+Tables of any size are sorted by range partitioning and written once; each partition's own
+numbering is then raised by the (tiny) sizes of the partitions before it. A plain window
+is used only over one row per partition, or after a count has shown a table to be small.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,14 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.joins import lookup_join
 from ledgerloom.sources.staging import stage
 
+# A table counted to have at most this many rows may be ordered by one task.
+SMALL_ROWS = 100_000
+# Rank error of the sketch that narrows quantiles down: one part in this many.
+SKETCH_ACCURACY = 1000
+
+# Spark's default bound for pruning rank filters before the shuffle.
+MAX_PRUNED = 1000
+
 _MARK = "__mark"
 _PART = "__part"
 _BEFORE = "__before"
@@ -80,14 +89,20 @@ def rank_within(
     order_by: Sequence[Column | str],
     name: str,
     unique_order: bool = False,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """1-based position inside each group, exact for groups of any size.
 
-    One global numbering by (group, order) minus the number where the group begins.
+    The input is staged and counted. A small one is numbered by a window per group; any
+    other by one global numbering in (group, order) minus the number where a group begins.
     """
+    staged = stage(df, "ranked")
+    if staged.count() <= small_rows:
+        window = W.partitionBy(*groups).orderBy(*order_by)
+        return staged.select(F.row_number().over(window).cast("bigint").alias(name), *df.columns)
     gid = "__gid"
     leading = [F.col(g).asc_nulls_first() for g in groups]
-    numbered = row_ids(df, gid, [*leading, *order_by], 0, unique_order)
+    numbered = row_ids(staged, gid, [*leading, *order_by], 0, unique_order)
     begins = numbered.groupBy(*groups).agg(F.min(gid).alias("__begin"))
     safe = [f"__k{i}" for i in range(len(groups))]
     begins = begins.select(*[_null_key(g).alias(s) for g, s in zip(groups, safe)], "__begin")
@@ -104,10 +119,17 @@ def _null_key(column: str) -> Column:
 
 
 def running_totals(
-    df: DataFrame, order_by: Sequence[Column | str], sums: dict[str, str]
+    df: DataFrame,
+    order_by: Sequence[Column | str],
+    sums: dict[str, str],
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Inclusive running sums in a unique order; ``sums`` maps new name to column."""
-    ordered = _sorted_partitions(df, order_by, unique=True)
+    staged = stage(df, "totals")
+    if staged.count() <= small_rows:
+        whole = W.orderBy(*order_by).rowsBetween(W.unboundedPreceding, 0)
+        return staged.select(*df.columns, *[F.sum(c).over(whole).alias(n) for n, c in sums.items()])
+    ordered = _sorted_partitions(staged, order_by, unique=True)
     placed = stage(ordered.withColumn(_PART, F.spark_partition_id()), "running")
     sizes = placed.groupBy(_PART).agg(*[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()])
     earlier = W.orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
@@ -124,59 +146,94 @@ def running_totals(
     )
 
 
-def long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value double) rows of the numeric columns, nulls and NaN left out."""
-    cells = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    long = cells.unpivot([], list(columns), "column", "value")
-    return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
-
-
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    accuracy: int = SKETCH_ACCURACY,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """(column, probability, value): linearly interpolated exact quantiles.
 
-    Values are counted before they are sorted, so a value shared by any number of
-    rows is one row of the sort; all columns share one pass.
+    A mergeable sketch first brackets every quantile by two values. One more aggregate
+    counts the rows below and inside each bracket, which proves that it holds the wanted
+    ranks; a bracket that does not is widened to the whole column. Only values inside the
+    brackets are then counted and ranked, a small part of the table. Per
+    column and probability a few numbers reach the driver. Nulls and NaN are left out.
     """
-    counts = long_numeric(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    cumulated = stage(running_totals(counts, ["column", "value"], {"cum": "n"}), "cumulated")
-    spans = cumulated.groupBy("column").agg(
-        F.min(F.col("cum") - F.col("n")).alias("begin"), F.max("cum").alias("end")
+    spark, out = df.sparkSession, "column string, probability double, value double"
+    numbers = df.select(*[_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    spots = [(i, j, p) for i in range(len(columns)) for j, p in enumerate(probabilities)]
+    margin = 2.0 / accuracy
+    ends = [q for p in probabilities for q in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = numbers.agg(
+        *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(columns))],
+        *[F.percentile_approx(f"c{i}", ends, accuracy).alias(f"q{i}") for i in range(len(columns))],
+    ).first()
+    spots = [s for s in spots if sketch[f"n{s[0]}"]]
+    if not spots:
+        return spark.createDataFrame([], out)
+    brackets = {(i, j): tuple(sketch[f"q{i}"][2 * j: 2 * j + 2]) for i, j, _ in spots}
+    within = {k: F.col(f"c{k[0]}").between(*map(F.lit, ab)) for k, ab in brackets.items()}
+    counted = numbers.agg(
+        *[F.count_if(F.col(f"c{i}") < F.lit(brackets[i, j][0])).alias(f"b{i}_{j}") for i, j, _ in spots],
+        *[F.count_if(within[i, j]).alias(f"w{i}_{j}") for i, j, _ in spots],
+    ).first()
+    wanted, rows = [], 0
+    for i, j, p in spots:
+        position = p * (sketch[f"n{i}"] - 1)
+        low, high = math.floor(position), math.ceil(position)
+        below, inside = counted[f"b{i}_{j}"], counted[f"w{i}_{j}"]
+        if not (below <= low and high < below + inside):
+            within[i, j], below, inside = F.col(f"c{i}").isNotNull(), 0, sketch[f"n{i}"]
+        wanted.append((f"{i}_{j}", columns[i], float(p), low - below, high - below, position - low))
+        rows = max(rows, inside)
+    cells = F.array(
+        *[F.when(within[i, j], F.struct(F.lit(f"{i}_{j}").alias("spot"), F.col(f"c{i}").alias("v"))) for i, j, _ in spots]
     )
-    wanted = (
-        spans.select(
-            "column",
-            "begin",
-            (F.col("end") - F.col("begin") - 1).alias("last"),
-            F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"),
-        )
-        .withColumn("position", F.col("probability") * F.col("last"))
-        .withColumn("low", F.col("begin") + F.floor("position"))
-        .withColumn("high", F.col("begin") + F.ceil("position"))
-        .withColumn("weight", F.col("position") - F.floor("position"))
-        .select("column", "probability", "low", "high", "weight")
+    held = numbers.select(F.explode(F.filter(cells, lambda c: c.isNotNull())).alias("cell"))
+    counts = held.groupBy(F.col("cell.spot").alias("spot"), F.col("cell.v").alias("v")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    first, last = F.col("cum") - F.col("n"), F.col("cum") - 1
-    holds_low = F.col("low").between(first, last)
-    holds_high = F.col("high").between(first, last)
-    picked = lookup_join(cumulated, wanted, "column", "inner").where(holds_low | holds_high)
-    ends = picked.groupBy("column", "probability", "weight").agg(
-        F.max(F.when(holds_low, F.col("value"))).alias("a"),
-        F.max(F.when(holds_high, F.col("value"))).alias("b"),
+    if rows <= small_rows:
+        window = W.partitionBy("spot").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+        ranked = counts.withColumn("last", F.sum("n").over(window) - 1)
+    else:
+        totals = stage(running_totals(counts, ["spot", "v"], {"cum": "n"}), "cumulated")
+        begins = totals.groupBy("spot").agg(F.min(F.col("cum") - F.col("n")).alias("begin"))
+        ranked = lookup_join(totals, begins, "spot", "inner").withColumn(
+            "last", F.col("cum") - F.col("begin") - 1
+        )
+    # one row per column and probability: bounded by the request
+    asked = spark.createDataFrame(
+        wanted, "spot string, column string, probability double, low bigint, high bigint, weight double"
     )
-    return ends.select(
-        "column",
-        "probability",
-        (F.col("a") + F.col("weight") * (F.col("b") - F.col("a"))).alias("value"),
+    placed = ranked.join(F.broadcast(asked), "spot")
+    first = F.col("last") - F.col("n") + 1
+    held_at = {c: F.max(F.when(F.col(c).between(first, F.col("last")), F.col("v"))) for c in ("low", "high")}
+    ends_of = placed.groupBy("column", "probability", "weight").agg(
+        held_at["low"].alias("a"), held_at["high"].alias("b")
     )
+    value = F.col("a") + F.col("weight") * (F.col("b") - F.col("a"))
+    return ends_of.select("column", "probability", value.alias("value"))
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    """Column as a double, null instead of NaN."""
+    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double"))
 
 
 def first_n_per_group(
     df: DataFrame, groups: Sequence[str], order_by: Sequence[Column | str], n: int
 ) -> DataFrame:
-    """First ``n`` rows of each group. Spark prunes each partition to ``n`` rows per group
-    before the shuffle, so a hot group sends at most ``n`` rows per task."""
+    """First ``n`` rows of each group.
+
+    Up to 1000 rows Spark prunes each partition to ``n`` rows per group before the
+    shuffle, so a hot group sends at most ``n`` rows per task; beyond that rows are ranked
+    globally.
+    """
+    if n > MAX_PRUNED:
+        return rank_within(df, groups, order_by, "__rn").where(F.col("__rn") <= n).drop("__rn")
     window = W.partitionBy(*groups).orderBy(*order_by)
     return df.withColumn("__rn", F.row_number().over(window)).where(F.col("__rn") <= n).drop("__rn")
 

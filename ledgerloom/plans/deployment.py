@@ -17,8 +17,16 @@ from ledgerloom.operators.incremental import (
     refresh_rows,
     scoped_counts,
 )
+from ledgerloom.operators.joins import anti_join
 from ledgerloom.operators.models import Bundle, score_models
-from ledgerloom.sources.ledger import MODEL_RESULT, read_ledger, write_manifest
+from ledgerloom.sources.ledger import (
+    MANIFEST,
+    MODEL_RESULT,
+    read_entity_ids,
+    read_ledger,
+    write_entity_ids,
+    write_manifest,
+)
 from ledgerloom.sources.tables import exists, write_table
 
 
@@ -26,8 +34,6 @@ def ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Manifests of earlier runs; an empty ledger before the first one."""
     if exists(spark, folder):
         return read_ledger(spark, folder)
-    from ledgerloom.sources.ledger import MANIFEST
-
     fields = [f for f in MANIFEST if f.name != "_corrupt"]
     return spark.createDataFrame([], type(MANIFEST)(fields))
 
@@ -38,16 +44,20 @@ def insert_batch(
 ) -> DataFrame:
     """Append the next batch to ``table`` and record it; returns the manifest.
 
-    ``mode`` planned writes nothing, manifest_only writes the manifest alone.
+    ``mode`` planned writes nothing, manifest_only does not append. The manifest is written
+    last: a run that died before it starts over, and rows it had appended are not repeated.
     """
     if exists(spark, f"{folder}/{run_id}"):
         raise FileExistsError(f"manifest of run {run_id!r} already exists")
-    batch = next_batch(ranks, ledger(spark, folder), rows, key)
+    batch = next_batch(ranks, ledger(spark, folder), rows, key, read_entity_ids(spark, folder))
     prepared = prepare_batch(batch, source, key, target)
     manifest = batch_manifest(batch, run_id, mode, key, target in source.columns)
     if mode == "inserted":
+        if exists(spark, table):
+            prepared = anti_join(prepared, spark.read.parquet(table).select(key), key)
         write_table(prepared, table, "append")
     if mode != "planned":
+        write_entity_ids(batch.ids, folder, run_id, key)
         write_manifest(manifest, folder, run_id)
     return manifest
 

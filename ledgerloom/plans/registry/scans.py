@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.numbers import clip
+from ledgerloom.functions.text import run_id
 from ledgerloom.operators.incremental import first_n, id_range, top_n, top_n_preview, without_top_n
 from ledgerloom.operators.joins import semi_join
 from ledgerloom.operators.ordering import dedup_by_key, page_of, row_ids, sorted_slice, total_order
@@ -302,3 +304,28 @@ def _scoped(spark, root):
     ids = table(spark, root, "customer").where(F.col("c_acctbal") < 0).select("c_custkey")
     rows = scoped(table(spark, root, "orders"), ids, "o_custkey", 100, ["o_orderkey"])
     return rows.select("o_orderkey", fixed(F.col("o_totalprice"), 2).alias("price"))
+
+
+@query(
+    "scalar_functions",
+    r"""SELECT event_id, 'prod_' || strftime(ts, '%Y%m%d_%H%M%S') AS run_id, upper(trim('  ' || event_type || ' ')) AS kind,
+ regexp_extract(props, '(\d+)', 1) AS digits, (props->>'$.k')::BIGINT AS k, starts_with(event_type, 'c') AS c_first,
+ replace(event_type, 'i', '_') AS replaced, abs(round(value * 100)::BIGINT - 5000) AS distance, user_id % 7 AS remainder,
+ coalesce(nullif(event_type, 'click'), 'none') AS filled, nullif(event_type, 'click') IS NOT DISTINCT FROM NULL AS missing,
+ md5(event_type) AS digest, sha256(event_type) AS sha, list_contains(['view', 'click'], event_type) AS listed,
+ TRY_CAST(event_type AS BIGINT) AS as_number, least(greatest(round(value * 100)::BIGINT, 1000), 9000) AS clipped FROM events""",
+)
+def _scalar(spark, root):
+    kind, cents = F.col("event_type"), F.round(F.col("value") * 100).cast("bigint")
+    some = F.nullif(kind, F.lit("click"))
+    return table(spark, root, "events").select(
+        "event_id", run_id("prod", F.col("ts")).alias("run_id"),
+        F.upper(F.trim(F.concat(F.lit("  "), kind, F.lit(" ")))).alias("kind"),
+        F.regexp_extract("props", r"(\d+)", 1).alias("digits"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"), kind.startswith("c").alias("c_first"),
+        F.replace(kind, F.lit("i"), F.lit("_")).alias("replaced"), F.abs(cents - 5000).alias("distance"),
+        F.pmod("user_id", F.lit(7)).alias("remainder"), F.coalesce(some, F.lit("none")).alias("filled"),
+        some.eqNullSafe(F.lit(None)).alias("missing"), F.md5(kind).alias("digest"), F.sha2(kind, 256).alias("sha"),
+        F.array_contains(F.array(F.lit("view"), F.lit("click")), kind).alias("listed"),
+        kind.try_cast("bigint").alias("as_number"), clip(cents, 1000, 9000).alias("clipped"),
+    )

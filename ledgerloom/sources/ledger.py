@@ -1,7 +1,7 @@
 """Run ledger: manifests as JSON documents, one file per run, plus their entity ids as rows.
 
-The ids of a batch are a Parquet table partitioned by run, so a manifest never holds
-an unbounded array; arrays found in manifests written elsewhere are read too.
+The ids of a batch are a Parquet table partitioned by run. A manifest lists them only
+for batches of a bounded size; lists found in manifests written elsewhere are read too.
 """
 
 from __future__ import annotations
@@ -89,9 +89,32 @@ def consumed_rank_max(manifests: DataFrame) -> DataFrame:
     return top.select(F.coalesce("m", F.lit(0)).cast("bigint").alias("consumed_rank_max"))
 
 
-def inserted_entity_ids(manifests: DataFrame, key: str = "SK_ID_CURR") -> DataFrame:
-    """Distinct entity ids listed by inserted manifests."""
-    return manifests.where(is_inserted()).select(F.explode("entity_ids").alias(key)).distinct()
+def inserted_entity_ids(
+    manifests: DataFrame, key: str = "SK_ID_CURR", stored: DataFrame | None = None
+) -> DataFrame:
+    """Distinct entity ids of inserted manifests: listed in them, or in the stored id rows."""
+    inserted = manifests.where(is_inserted())
+    listed = inserted.select(F.explode("entity_ids").alias(key))
+    if stored is not None:
+        rows = stored.join(inserted.select("run_id").distinct(), "run_id", "left_semi")
+        listed = listed.unionByName(rows.select(F.col(key).cast("bigint").alias(key)))
+    return listed.distinct()
+
+
+def write_entity_ids(ids: DataFrame, folder: str, run_id: str, key: str = "SK_ID_CURR") -> None:
+    """Id rows of a run; writing the same run again replaces them."""
+    ids.select(F.col(key).cast("bigint").alias(key)).write.mode("overwrite").parquet(
+        f"{folder.rstrip('/')}_ids/run_id={run_id}"
+    )
+
+
+def read_entity_ids(spark: SparkSession, folder: str) -> DataFrame | None:
+    """(key, run_id) rows of all runs, None before the first."""
+    path = f"{folder.rstrip('/')}_ids"
+    if not exists(spark, path):
+        return None
+    rows = spark.read.option("basePath", path).parquet(path)
+    return rows.withColumn("run_id", F.col("run_id").cast("string"))
 
 
 def write_manifest(manifest: DataFrame, folder: str, run_id: str, replace: bool = False) -> None:

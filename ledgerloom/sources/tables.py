@@ -171,6 +171,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def write_metrics(row: DataFrame, path: str) -> None:
+    """A one-row frame of metrics as one JSON document."""
+    row.coalesce(1).write.mode("overwrite").json(path)
+
+
 def snapshot_tables(tables: dict[str, DataFrame], root: str, name: str, stamp: str) -> str:
     """Write every table below ``<root>/<name>_<stamp>`` and return that folder."""
     folder = f"{root.rstrip('/')}/{name}_{stamp}"
