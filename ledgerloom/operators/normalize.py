@@ -34,7 +34,7 @@ def atomize(df: DataFrame, column: str = ATOMIC_COLUMN) -> DataFrame:
 
 def load_mappings(spark: SparkSession, path: str) -> DataFrame:
     """(column, value, id) rows of a JSON list of ``{column: {value: id}}`` objects."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return flatten_mappings(text, "value")
 
 

@@ -57,8 +57,8 @@ def read_manifests(spark: SparkSession, path: str) -> DataFrame:
     """Manifests of a folder, one document per file; documents that are not JSON are skipped."""
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
     text = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").text(path).select("value", stem.alias("stem"))
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        .text(path, wholetext=True).select("value", stem.alias("stem"))
     )
     return parse_manifests(text, "value", "stem")
 
