@@ -315,7 +315,8 @@ def score_models(
         try:
             if isinstance(bundle, Exception):
                 raise bundle
-            rows = sink(name, bundle.score(features, key))
+            scored = bundle.score(features, key).withColumn("model_name", F.lit(name))
+            rows = sink(name, scored)
             results.append(
                 {"model_name": name, "status": "scored", "rows_scored": rows,
                  "inference_seconds": time.perf_counter() - started, "error": None}
