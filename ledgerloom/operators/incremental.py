@@ -208,18 +208,26 @@ def id_range(df: DataFrame, column: str) -> DataFrame:
 def without_top_n(df: DataFrame, column: str, n: int) -> DataFrame:
     """The table without exactly the rows of ``top_n``.
 
-    Rows beyond the boundary value are dropped by a pushed-down filter; only rows equal
-    to it are compared as whole rows.
+    Rows beyond the boundary value are dropped by a pushed-down filter; only rows equal to
+    it are numbered, by a distributed sort, and lose as many as the top held.
     """
-    removed = top_n(df, column, n)
-    bounds = id_range(removed, column).first()
-    if bounds["rows"] == 0:
+    c = F.col(column)
+    top = top_n(df, column, n).agg(
+        F.count(c).alias("filled"), F.count_if(c.isNull()).alias("nulls"), F.min(c).alias("edge")
+    ).first()
+    if top["filled"] + top["nulls"] == 0:
         return df
-    if bounds["min_id"] is None:
-        return df.exceptAll(removed)
-    edge = F.col(column) == F.lit(bounds["min_id"])
-    below = df.where((F.col(column) < F.lit(bounds["min_id"])) | F.col(column).isNull())
-    return below.unionByName(df.where(edge).exceptAll(removed.where(edge)))
+    if top["nulls"]:
+        return _without_first(df.where(c.isNull()), top["nulls"])
+    edge = F.lit(top["edge"])
+    beyond = df.agg(F.count_if(c > edge).alias("n")).first()["n"]
+    tied = _without_first(df.where(c == edge), top["filled"] - beyond)
+    return df.where((c < edge) | c.isNull()).unionByName(tied)
+
+
+def _without_first(df: DataFrame, n: int) -> DataFrame:
+    """All but the first ``n`` rows in total order."""
+    return row_ids(df, "__n", total_order(df), start=1).where(F.col("__n") > n).drop("__n")
 
 
 def first_n(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,13 +56,16 @@ def classification_metrics(
     df: DataFrame, label: str, prediction: str, score: str, prefix: str = ""
 ) -> DataFrame:
     """One row of all five metrics, names prefixed."""
-    confusion = confusion_metrics(df, label, prediction).withColumn("__one", F.lit(1))
-    ranking = ranking_metrics(df, label, score).withColumn("__one", F.lit(1))
-    # both inputs are single rows
-    row = confusion.join(F.broadcast(ranking), "__one").drop("__one")
+    row = one_row(confusion_metrics(df, label, prediction), ranking_metrics(df, label, score))
     return row.select(*[F.col(c).alias(f"{prefix}{c}") for c in row.columns])
 
 
+def one_row(*rows: DataFrame) -> DataFrame:
+    """One-row frames with different columns put side by side."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def truth_metrics(
     predictions: DataFrame, truth: DataFrame | None, key: str, target: str = "TARGET"
 ) -> DataFrame:
@@ -71,10 +76,8 @@ def truth_metrics(
         status = spark.createDataFrame([("missing", None)], "truth_status string, truth_rows_matched bigint")
         return status.select("*", *[F.lit(None).cast("double").alias(f"holdout_{n}") for n in names])
     joined = predictions.join(truth.select(key, target), key)
-    matched = joined.agg(F.count(F.lit(1)).alias("truth_rows_matched")).withColumn("__one", F.lit(1))
-    metrics = classification_metrics(joined, target, "prediction", "score", "holdout_")
-    # both inputs are single rows
-    row = matched.join(F.broadcast(metrics.withColumn("__one", F.lit(1))), "__one").drop("__one")
+    matched = joined.agg(F.count(F.lit(1)).alias("truth_rows_matched"))
+    row = one_row(matched, classification_metrics(joined, target, "prediction", "score", "holdout_"))
     any_row = F.col("truth_rows_matched") > 0
     return row.select(
         F.when(any_row, "evaluated").otherwise("no_matches").alias("truth_status"),

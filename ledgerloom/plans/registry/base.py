@@ -113,9 +113,7 @@ def nunique_sql(column: str, prefix: str, name: str) -> str:
 def cut_statistics(df: DataFrame) -> DataFrame:
     """Floating statistics cut for comparison; all other columns as they are."""
     kinds = dict(df.dtypes)
-    return df.select(
-        *[
-            fixed(F.col(c)).alias(c) if "__" in c and kinds[c] == "double" else F.col(c)
-            for c in df.columns
-        ]
+    cut = "floor(`{0}` * 10000D + 0.501D) / 10000D AS `{0}`"
+    return df.selectExpr(
+        *[cut.format(c) if "__" in c and kinds[c] == "double" else f"`{c}`" for c in df.columns]
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import min_max_scaled
 from ledgerloom.operators.features import feature_table
-from ledgerloom.operators.metrics import confusion_metrics, ranking_metrics
+from ledgerloom.operators.metrics import confusion_metrics, one_row, ranking_metrics
 from ledgerloom.operators.mlprep import (
     Preprocessor,
     align_columns,
@@ -237,9 +237,8 @@ def _pr(spark, root):
 )
 def _single(spark, root):
     li = table(spark, root, "lineitem").select(F.lit(0).alias("t"), F.lit(0).alias("p"), "l_quantity")
-    ranking = ranking_metrics(li, "t", "l_quantity").withColumn("o", F.lit(1))
-    confusion = confusion_metrics(li, "t", "p").withColumn("o", F.lit(1))
-    return ranking.join(confusion, "o").select("roc_auc", "pr_auc", "precision")
+    row = one_row(ranking_metrics(li, "t", "l_quantity"), confusion_metrics(li, "t", "p"))
+    return row.select("roc_auc", "pr_auc", "precision")
 
 
 @query(

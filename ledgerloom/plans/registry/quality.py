@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.incremental import missing_ids
+from ledgerloom.operators.metrics import one_row
 from ledgerloom.operators.quality import (
     align_schema,
     cell_diff,
@@ -247,8 +248,7 @@ def _dtypes(spark, root):
     cast = align_schema(o, other).agg(
         F.count(F.lit(1)).alias("values"), F.count_if(F.col("o_custkey").isNull()).alias("unreadable")
     )
-    # one row on each side
-    return found.withColumn("o", F.lit(1)).join(cast.withColumn("o", F.lit(1)), "o").drop("o")
+    return one_row(found, cast)
 
 
 @query(

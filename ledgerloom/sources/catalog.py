@@ -87,11 +87,11 @@ def shared_column_report(
     catalog: DataFrame, tables: Mapping[str, DataFrame], samples: int = 10
 ) -> DataFrame:
     """Per table and shared column: type, the smallest ``samples`` values, the other tables."""
-    members = catalog.select("table", "column", "type")
-    others = members.select(F.col("table").alias("other"), "column")
-    paired = members.join(others, "column").where(F.col("table") != F.col("other"))
-    report = paired.groupBy("table", "column", "type").agg(
-        F.sort_array(F.collect_set("other")).alias("other_tables")
+    holders = catalog.groupBy("column").agg(F.sort_array(F.collect_set("table")).alias("holders"))
+    others = F.array_remove(F.col("holders"), F.col("table"))
+    report = (
+        catalog.join(holders.where(F.size("holders") > 1), "column")
+        .select("table", "column", "type", others.alias("other_tables"))
     )
     values = reduce(
         DataFrame.unionByName,

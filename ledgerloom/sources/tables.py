@@ -57,10 +57,8 @@ def file_catalog(spark: SparkSession, root: str, pattern: str = "*.csv") -> Data
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on the file system that holds it."""
-    try:
-        return spark.read.format("binaryFile").load(path).schema is not None
-    except Exception:  # noqa: BLE001 - Spark raises AnalysisException for a missing path
-        return False
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
 def resolve_table(spark: SparkSession, root: str, table: str) -> str:
