@@ -26,6 +26,7 @@ from ledgerloom.functions.numbers import min_max_scaled
 from ledgerloom.operators.metrics import classification_metrics
 from ledgerloom.operators.mlprep import Preprocessor, split_features_target, stratified_split
 from ledgerloom.operators.ordering import exact_quantiles
+from ledgerloom.operators.profile import throughput
 from ledgerloom.sources.staging import stage
 
 # Model settings and search ranges (low, high, logarithmic).
@@ -332,7 +333,7 @@ def score_models(
 def scoring_benchmark(
     bundle: Bundle, features: DataFrame, key: str, sizes: Sequence[int] = (1, 10, 100, 1000)
 ) -> DataFrame:
-    """(rows_requested, rows_scored, seconds) of scoring the first n entities."""
+    """(rows_requested, rows_scored, seconds) and throughput of scoring the first n entities."""
     rows = []
     for size in sizes:
         started = time.perf_counter()
@@ -340,4 +341,4 @@ def scoring_benchmark(
         count = scored.agg(F.count("score").alias("n")).first()["n"]
         rows.append((size, count, time.perf_counter() - started))
     schema = "rows_requested int, rows_scored bigint, seconds double"
-    return features.sparkSession.createDataFrame(rows, schema)
+    return throughput(features.sparkSession.createDataFrame(rows, schema), "rows_scored", "seconds")

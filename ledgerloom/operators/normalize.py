@@ -108,12 +108,13 @@ def normalize_table(
     """Fact table and its local dimensions.
 
     Mapped columns get their shared ids; every other text column with a non-null value
-    gets a local dimension; all-null columns stay as they are.
+    gets a local dimension; all-null columns stay as they are. Floating columns that hold
+    whole numbers only become nullable bigint.
     """
     if isinstance(order_by, str):
         require_columns(df, [order_by], "row order")
     position = order_by if isinstance(order_by, Column) else F.col(order_by)
-    df = atomize(df, atomic_column).withColumn("__pos", position)
+    df = to_nullable_integers(atomize(df, atomic_column).withColumn("__pos", position))
     shared = [c for c in mapped_columns if c in df.columns]
     if mappings is not None and shared:
         df = encode(df, mappings, shared)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.naming import DICTIONARY_PREFIX, DIMENSION_PREFIX, REPORT_PREFIX, ROW_ID, storage_keys
 from ledgerloom.operators.lookup import dictionary, report
 from ledgerloom.operators.ordering import row_ids
+from ledgerloom.sources.staging import stage
 from ledgerloom.sources.tables import write_table
 
 
@@ -50,7 +51,7 @@ def build_warehouse(
 
     Tables are overwritten: loading again gives the same warehouse instead of repeated rows.
     """
-    dictionaries = build_dictionaries(dims)
+    dictionaries = {name: stage(df, name) for name, df in build_dictionaries(dims).items()}
     tables: dict[str, DataFrame] = {}
     for name, df in staging.items():
         rows = with_row_id(df) if name in keyless else df

@@ -101,6 +101,12 @@ def test_integral_columns(spark):
     assert dict(to_nullable_integers(df).dtypes) == {"a": "bigint", "b": "double", "empty": "double", "n": "bigint"}
 
 
+def test_whole_numbers_of_a_fact_become_integers(spark):
+    df = spark.createDataFrame([(1, 2.0, 2.5, "a"), (2, None, 1.0, "b")], "k int, n double, x double, t string")
+    fact, _ = normalize_table(df, "k")
+    assert dict(fact.dtypes) == {"k": "int", "n": "bigint", "x": "double", "t_ID": "bigint"}
+
+
 def test_dictionary_matching():
     names = {"dict_dim_organization_type", "dict_dim_status"}
     assert matching_dictionary("STATUS_ID", names) == "dict_dim_status"

@@ -20,6 +20,7 @@ from ledgerloom.operators.incremental import (
 )
 from ledgerloom.operators.models import AnomalyModel, Bundle, parameter_grid, random_parameters, search, train_model
 from ledgerloom.plans.deployment import insert_batch, ledger, refresh_batch, score_batch
+from ledgerloom.plans.maintenance import backup_rows, delete_rows, restore_rows
 from ledgerloom.plans.warehouse import build_warehouse, storage_layout, with_row_id
 from ledgerloom.sources.ledger import consumed_rank_max, read_entity_ids, read_manifests, run_status
 from ledgerloom.sources.tables import write_table
@@ -34,10 +35,6 @@ def _assets(spark, n):
     return ids, source
 
 
-def _manifest(spark, **fields):
-    return spark.createDataFrame([(json.dumps(fields),)], "d string")
-
-
 def _parsed(spark, *manifests):
     from ledgerloom.sources.ledger import parse_manifests
 
@@ -138,6 +135,19 @@ def test_top_n_delete_removes_exactly_n_of_tied_rows(spark):
     assert sorted(map(str, gone.unionByName(left).collect())) == sorted(map(str, df.collect()))
 
 
+def test_backup_delete_restore(spark, folder):
+    table, backup = f"{folder}/t", f"{folder}/b"
+    write_table(spark.range(1, 21).select(F.col("id").alias(KEY)), table)
+    assert tuple(backup_rows(spark.read.parquet(table), KEY, 6, backup)) == (6, 15, 20)
+    assert tuple(delete_rows(spark, table, KEY, 6)) == (6, 15, 20)
+    assert tuple(restore_rows(spark, backup, table, [KEY], 2)) == (2, 15, 16)
+    assert sorted(r[KEY] for r in spark.read.parquet(table).collect()) == list(range(1, 17))
+    with pytest.warns(UserWarning, match="asked for 99 rows, found 16"):
+        backup_rows(spark.read.parquet(table), KEY, 99, backup)
+    with pytest.raises(ValueError, match="no row"):
+        backup_rows(spark.range(0).select(F.col("id").alias(KEY)), KEY, 3, backup)
+
+
 def test_predictions_are_appended_once(spark, folder):
     scored = spark.createDataFrame([(101, 0.8, 1, "m"), (102, 0.1, 0, "m")], f"{KEY} long, score double, prediction int, model_name string")
     rows = prediction_rows(scored, "r1", F.current_timestamp(), "p", "q")
