@@ -24,7 +24,8 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
+        # the call site kept for every column expression slows plans of hundreds of columns
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {}),
         **(conf or {}),
     }
