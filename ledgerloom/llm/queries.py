@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, repeats, simhash  # noqa: F401
+from ledgerloom.llm import exact_dedup, mixing, repeats, simhash, toxicity  # noqa: F401
 from ledgerloom.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
