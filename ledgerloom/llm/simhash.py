@@ -159,3 +159,195 @@ def op7(spark: SparkSession, root: str) -> DataFrame:
     return classes(prints).select(
         F.col("id").alias("doc_id"), hexadecimal(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+# Near duplicates by similarity: fingerprints find candidates, a sketch of the shingles decides.
+
+#: Fingerprints of a text's distinct words; one within MAX_DISTANCE is enough for a candidate.
+SEEDS = (42, 43, 44)
+#: Smallest shingle hashes kept (one byte of each), for the share that two texts have in common.
+SKETCH = 128
+#: What the sketch may read below the similarity asked for: about one deviation at 0.8.
+TOLERANCE = 0.03
+_ROWS_AT_ONCE = 1024
+
+
+def _word_print(words: set[bytes], seed: int) -> int:
+    import numpy as np
+    import xxhash
+
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words)).astype(">u8")
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), _CHUNK):
+        part = hashes[at: at + _CHUNK]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes)).view(">u8")[0])
+
+
+def _sketch(hashes) -> bytes:
+    """One byte of the smallest hash in each of SKETCH classes of shingles (one-permutation MinHash).
+
+    An empty class takes the byte of the next filled one, mixed with its distance, so that short texts compare too.
+    """
+    import numpy as np
+
+    lowest = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
+    mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(32)
+    np.minimum.at(lowest, (mixed % np.uint64(SKETCH)).astype(np.int64), hashes)
+    filled = np.flatnonzero(lowest != np.iinfo(np.uint64).max)
+    following = filled[np.searchsorted(filled, np.arange(SKETCH)) % len(filled)]
+    distance = ((following - np.arange(SKETCH)) % SKETCH).astype(np.uint64)
+    value = (lowest[following] + distance * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
+    return (value >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def similarity_rows(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
+    """(id, prints, sketch): word fingerprints and a sketch of the n-word shingles; rows without words are left out."""
+    rows = pick(docs, id=id_col, text=text_col)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            ids, prints, sketches = [], [], []
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = (t or "").encode("utf-8", "replace").lower().split()
+                if words:
+                    distinct = set(words)
+                    ids.append(i)
+                    prints.append(np.array([_word_print(distinct, s) for s in SEEDS], np.uint64).view(np.int64).tolist())
+                    sketches.append(_sketch(np.unique(_hashes(words, n, SEEDS[0]))))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids, batch.column(0).type), pa.array(prints, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
+            ], ["id", "prints", "sketch"])
+
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, prints array<bigint>, sketch binary")
+
+
+def _forest(limit: int, least: float):
+    """Links of each bucket that connect whatever its similar pairs connect: at most one per row."""
+    def within(x, start: int):
+        """Candidates whose chain from ``start`` stays within its shares, then the full distance."""
+        import numpy as np
+
+        bits = np.uint64(WIDTH * start)
+        turned = x if not start else (x << bits) | (x >> np.uint64(64 - WIDTH * start))
+        holds = np.bitwise_count(turned >> np.uint64(64 - WIDTH)) <= limit // SEGMENTS
+        for length in range(2, SEGMENTS + 1):
+            holds &= np.bitwise_count(turned >> np.uint64(64 - length * WIDTH)) <= length * limit // SEGMENTS
+        return holds
+
+    def joined(fp, sketch, start: int) -> list[tuple[int, int]]:
+        import numpy as np
+
+        root = list(range(len(fp)))
+
+        def find(i: int) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        found = []
+        for a in range(0, len(fp), _ROWS_AT_ONCE):
+            for b in range(a, len(fp), _ROWS_AT_ONCE):
+                near = within(fp[a: a + _ROWS_AT_ONCE, None] ^ fp[None, b: b + _ROWS_AT_ONCE], start)
+                left, right = np.nonzero(near)
+                later = left + a < right + b
+                left, right = left[later] + a, right[later] + b
+                for at in range(0, len(left), 1 << 16):
+                    l, r = left[at: at + (1 << 16)], right[at: at + (1 << 16)]
+                    alike = (sketch[l] == sketch[r]).mean(axis=1) >= least
+                    for i, j in zip(l[alike].tolist(), r[alike].tolist(), strict=True):
+                        x, y = find(i), find(j)
+                        if x != y:
+                            root[y] = x
+                            found.append((i, j))
+        return found
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        def links_of(held):
+            key, start = held.column("key").to_numpy(), held.column("start").to_numpy()
+            node, fp = held.column("node").to_numpy(), held.column("fp").to_numpy().view(np.uint64)
+            sketch = np.frombuffer(b"".join(held.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+            edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+            pairs = [
+                (node[s + i], node[s + j]) for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True) if e - s > 1
+                for i, j in joined(fp[s:e], sketch[s:e], int(start[s]))
+            ]
+            return pa.RecordBatch.from_arrays([
+                pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())
+            ], ["a", "b"])
+
+        held = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            held = (pa.concat_tables([held, now]) if held is not None else now).combine_chunks()
+            key = held.column("key").to_numpy()
+            # the last key may go on in the next batch
+            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            if cut:
+                yield links_of(held.slice(0, cut).combine_chunks())
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield links_of(held.combine_chunks())
+
+    return run
+
+
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
+                    similarity: float = 0.8, limit: int = MAX_DISTANCE) -> DataFrame:
+    """(id, mark, class) of rows with words: texts linked by a share of ``similarity`` of their n-word shingles.
+
+    Candidates have one of their word fingerprints within ``limit`` bits, by pigeonring keys; a link needs the
+    sketch's share to be ``similarity`` less TOLERANCE. Buckets give a spanning forest of their links, never all
+    pairs, and rows whose fingerprints and sketch are equal are one node. ``mark`` tells rows with one id apart.
+    """
+    marked = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("mark")))
+    rows = stage(similarity_rows(marked, "__key", text_col, n), "similar-rows")
+    nodes = stage(
+        rows.groupBy("prints", "sketch").agg(F.min("id").alias("first"))
+        .withColumn("node", F.monotonically_increasing_id()), "similar-nodes",
+    )
+    number = F.posexplode(_all_keys(F.col("prints"), limit)).alias("place", "key")
+    keyed = nodes.select("node", number)
+    # a key that one node has needs no sketch: most keys end here
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    per_print = SEGMENTS * 2
+    rich = (
+        keyed.join(shared, "key", "left_semi").join(nodes.select("node", "prints", "sketch"), "node")
+        .select(
+            "key", "node", F.element_at("prints", F.floor(F.col("place") / per_print).cast("int") + 1).alias("fp"),
+            F.floor(F.pmod("place", F.lit(per_print)) / 2).cast("int").alias("start"), "sketch",
+        ).repartition("key").sortWithinPartitions("key")
+    )
+    found = rich.mapInArrow(_forest(limit, similarity - TOLERANCE), "a bigint, b bigint")
+    roots = components(found)
+    named = nodes.join(roots, "node", "left").select("prints", "sketch", F.coalesce("root", "node").alias("class"))
+    return rows.join(named, ["prints", "sketch"]).select("id.id", "id.mark", "class")
+
+
+def _all_keys(prints: Column, limit: int) -> Column:
+    return F.flatten(F.array(*[
+        F.transform(_keys(F.element_at(prints, i + 1), limit), lambda k, i=i: F.xxhash64(F.lit(i), k)) for i in range(len(SEEDS))
+    ]))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The input's rows with one row of each class of near duplicates, the one with the smallest id; all columns kept.
+
+    Rows without words are near duplicates of nothing and stay.
+    """
+    found = similar_classes(docs, id_col, text_col, n, similarity)
+    first = found.groupBy("class").agg(F.min(F.struct("id", "mark")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    lost = found.join(first, "class").where(~F.struct("id", "mark").eqNullSafe(F.col("first"))).select(
+        F.struct("id", "mark").alias("__key")
+    ).distinct()
+    names = docs.columns
+    marked = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("mark")))
+    return marked.join(lost, "__key", "left_anti").select(*names)
