@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import exact_dedup, lattice, mixing, repeats, simhash, toxicity  # noqa: F401
+from ledgerloom.llm import exact_dedup, html_crf, lattice, mixing, pii, repeats, simhash, toxicity  # noqa: F401
 from ledgerloom.llm.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
