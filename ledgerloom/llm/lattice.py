@@ -20,14 +20,15 @@ from ledgerloom.llm.common import pick, query, table
 
 #: A public piece model; any path can be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: A word: an optional space and the characters up to the next white space, or one white-space character.
-#: Longer words are cut; pieces never reach over a word's end.
+#: A word: an optional space and a run of letters and digits, or of other characters, or one white-space
+#: character. Longer runs are cut; pieces never reach over a word's end.
 LONGEST_WORD = 64
-_WORD = re.compile(r" ?[^\s]{1,%d}|\s" % LONGEST_WORD)
+_WORD = re.compile(r" ?(?:\w{1,%d}|[^\w\s]{1,%d})|\s" % (LONGEST_WORD, LONGEST_WORD))
 #: Characters of text in a block; words of a bucket are those of about so many characters.
 BLOCK = 24_000_000
-#: Blocks in one row of a word.
+#: Blocks in one row of a word; partitions of words for each bucket, so that a task's edges stay in memory.
 BLOCKS_IN_ROW = 10_000
+PARTITIONS = 8
 #: What a character without a piece costs beyond the least piece.
 UNKNOWN_COST = 10.0
 _MARK = "▁"
@@ -40,10 +41,19 @@ class Pieces:
     rows: tuple[tuple[str, int, float], ...]
     byte_ids: tuple[int, ...]
 
+    def __post_init__(self) -> None:
+        if list(self.byte_ids) != list(range(self.byte_ids[0], self.byte_ids[0] + 256)):
+            raise ValueError("the pieces of the 256 bytes must have ids in a row")
+
     @property
     def longest(self) -> int:
         return max((len(p) for p, _, _ in self.rows), default=1)
 
+    @property
+    def width(self) -> int:
+        """Bytes of an id."""
+        return 2 if max([i for _, i, _ in self.rows] + list(self.byte_ids), default=0) < 1 << 16 else 4
+
     @property
     def unknown(self) -> float:
         return min((s for _, _, s in self.rows), default=0.0) - UNKNOWN_COST
@@ -69,8 +79,8 @@ def split_words(text: str | None) -> list[str]:
     return _WORD.findall(" " + text) if text else []
 
 
-def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, code) for rows of distinct words: the ids of the best path, four bytes each.
+def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None) -> DataFrame:
+    """(word, code) for rows of distinct words: the ids of the best path, ``pieces.width`` bytes each.
 
     A path's score is the sum of its pieces' scores. Of equal scores the path whose last piece is longest
     wins, at every position. A character without a piece of its own is its UTF-8 bytes' pieces at
@@ -78,26 +88,29 @@ def encode_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     """
     spark = words.sparkSession
 
-    def binary(ids) -> bytes:
-        return b"".join(int(i).to_bytes(4, "big") for i in ids)
+    width = pieces.width
+    import pyarrow as pa
 
-    # the tables are as large as the model file
-    vocabulary = F.broadcast(spark.createDataFrame(
-        [(p, binary([i]), s) for p, i, s in pieces.rows], "part string, code binary, score double"
-    ))
-    byte_codes = F.array(*[F.lit(bytearray(binary([i]))) for i in pieces.byte_ids])
+    # as large as the model file
+    vocabulary = F.broadcast(spark.createDataFrame(pa.table({
+        "part": pa.array([p for p, _, _ in pieces.rows], pa.string()),
+        "code": pa.array([i.to_bytes(width, "little") for _, i, _ in pieces.rows], pa.binary()),
+        "score": pa.array([s for _, _, s in pieces.rows], pa.float64()),
+    })))
     length = F.char_length("word")
     parts = (
-        words.select("word").repartition("word")
+        (words.select("word").repartition(partitions, "word") if partitions else words.select("word").repartition("word"))
         .withColumn("start", F.explode(F.sequence(F.lit(0), length - 1)))
         .withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), length - F.col("start")))))
         .withColumn("part", F.substring("word", F.col("start") + 1, F.col("size")))
     )
-    text_bytes = F.transform(
-        F.sequence(F.lit(0), F.octet_length("part") - 1),
-        lambda i: F.element_at(byte_codes, F.conv(F.substring(F.hex("part"), i * 2 + 1, F.lit(2)), 16, 10).cast("int") + 1),
-    )
-    spelled = F.aggregate(text_bytes, F.lit(bytearray()), lambda a, b: F.concat(a, b))
+
+    def byte_code(at):
+        number = F.conv(F.substring(F.hex("part"), at * 2 + 1, F.lit(2)), 16, 10).cast("int") + pieces.byte_ids[0]
+        little = [F.lpad(F.hex(F.shiftright(number, 8 * n).bitwiseAND(F.lit(255))), 2, "0") for n in range(width)]
+        return F.concat(*little)
+
+    spelled = F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.octet_length("part") - 1), byte_code), ""))
     edges = (
         parts.join(vocabulary, "part", "left").where(F.col("code").isNotNull() | (F.col("size") == 1))
         .select(
@@ -215,28 +228,51 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
             pa.array([o[2] for o in out], pa.list_(pa.int64())),
         ], ["word", "part", "blocks"])
 
-    byte_ids = pieces.byte_ids
-    spelled = {i: p.encode() for p, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
+    width = pieces.width
+    spelled = {i: p.encode() for p, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
+
+    def pack_codes(batches: Iterator) -> Iterator:
+        """One row per block and task: words and their codes."""
+        import pyarrow as pa
+
+        held: dict[int, tuple[list[str], list[bytes]]] = {}
+        for batch in batches:
+            for blocks, word, code in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for block in blocks:
+                    of = held.setdefault(block, ([], []))
+                    of[0].append(word)
+                    of[1].append(code)
+        for block, (words, codes) in held.items():
+            data = _packed([pa.array(words, pa.string()), pa.array(codes, pa.binary())])
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["block", "data"])
 
     def join(left, right):
         import numpy as np
         import pyarrow as pa
 
-        codes = dict(zip(right.column("word").to_pylist(), right.column("code").to_pylist(), strict=True))
-        known = {c: b"".join(spelled[i] for i in np.frombuffer(c, ">i4").tolist()) for c in set(codes.values())}
-        ids, lists, exact = [], [], []
+        codes: dict[str, bytes] = {}
+        for data in right.column("data").to_pylist():
+            codes.update(zip(*_unpacked(data), strict=True))
+        kind_of = f"<i{width}" if width == 4 else "<u2"
+        # a word whose ids do not spell it: none is expected, and every word is tried
+        wrong = {
+            w for w, c in codes.items()
+            if b"".join(map(spelled.__getitem__, np.frombuffer(c, kind_of).tolist())) != w.encode("utf-8", "replace")
+        }
+        ids, found, sizes, exact = [], [], [], []
         for own, data in zip(left.column("ids").to_pylist(), left.column("data").to_pylist(), strict=True):
             for i, text in zip(own, _unpacked(data)[1], strict=True):
-                found = [codes[w] for w in split_words(text)]
+                words = split_words(text)
+                code = b"".join(map(codes.__getitem__, words))
                 ids.append(i)
-                lists.append(np.frombuffer(b"".join(found), ">i4").astype(np.int32))
-                # decoding: every id's bytes, without the leading space
-                exact.append(b"".join(map(known.__getitem__, found))[1:] == (text or "").encode("utf-8", "replace"))
-        sizes = np.array([len(x) for x in lists], np.int32)
-        offsets = np.r_[np.int32(0), np.cumsum(sizes, dtype=np.int32)].astype(np.int32)
-        flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
+                found.append(code)
+                sizes.append(len(code) // width)
+                exact.append((not wrong or wrong.isdisjoint(words)) and "".join(words)[1:] == (text or ""))
+        flat = np.frombuffer(b"".join(found), kind_of).astype(np.int32)
+        del codes, found
+        offsets = np.r_[np.int32(0), np.cumsum(np.array(sizes, np.int32), dtype=np.int32)].astype(np.int32)
         return pa.table([
-            pa.array(ids, id_arrow), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(sizes), pa.array(exact, pa.bool_()),
+            pa.array(ids, id_arrow), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(sizes, pa.int32()), pa.array(exact, pa.bool_()),
         ], ["id", "ids", "n_tokens", "exact"])
 
     from pyspark.sql.pandas.types import to_arrow_type
@@ -244,8 +280,8 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     id_arrow = to_arrow_type(rows.schema["id"].dataType)
     sent = rows.mapInArrow(distinct_words, "block bigint, bucket bigint, data binary")
     words = sent.groupBy("bucket").applyInArrow(holders, "word string, part int, blocks array<bigint>")
-    codes = encode_words(words.where("part = 0"), pieces)
-    answers = words.join(codes, "word").select(F.explode("blocks").alias("block"), "word", "code")
+    codes = encode_words(words.where("part = 0"), pieces, PARTITIONS * buckets)
+    answers = words.join(codes, "word").select("blocks", "word", "code").mapInArrow(pack_codes, "block bigint, data binary")
     texts = rows.mapInArrow(texts_of, f"block bigint, ids array<{kind}>, data binary")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         join, f"id {kind}, ids array<int>, n_tokens int, exact boolean"
