@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 INT32_MIN = -2147483648
 INT32_MAX = 2147483647
+HUGE = 1e14
 
 
 def null_if_nan(column: Column) -> Column:
@@ -19,6 +20,15 @@ def scaled_long(column: Column, digits: int = 4) -> Column:
     return F.floor(column * F.lit(float(10**digits)) + F.lit(0.5)).cast("bigint")
 
 
+def whole_number_text(column: Column, digits: int = 4) -> Column:
+    """Text of the nearest multiple of ``10**-digits``; NaN is null, infinities and huge values keep apart.
+
+    Beyond ``HUGE`` the scaled number would leave 64 bits and has no such digits; the plain text is exact there.
+    """
+    value = F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+    return F.when(F.abs(value) < HUGE, scaled_long(value, digits).cast("string")).otherwise(value.cast("string"))
+
+
 def ratio(numerator: Column, denominator: Column, undefined: float = 0.0) -> Column:
     """Division that yields ``undefined`` for a null or zero denominator."""
     return F.when(

@@ -86,7 +86,7 @@ def _distinct_texts(df: DataFrame, key: str, prefix: str, texts: list[str]) -> D
 
 def bridge_aggregate(
     child: DataFrame, bridge: DataFrame, bridge_key: str, entity_key: str, prefix: str,
-    keep_null_key: bool = True,
+    keep_null_key: bool = True, entity_ids: DataFrame | None = None,
 ) -> DataFrame:
     """Aggregate ``child`` per bridge row, then per entity over the entity's bridge rows.
 
@@ -95,6 +95,8 @@ def bridge_aggregate(
     """
     per_bridge = aggregate_by_key(child, bridge_key, f"{prefix}_by_bureau", keep_null_key=False)
     pairs = bridge.select(entity_key, bridge_key).distinct()
+    if entity_ids is not None:
+        pairs = semi_join(pairs, entity_ids, entity_key)
     joined = pairs.join(per_bridge, bridge_key, "left")
     return aggregate_by_key(joined, entity_key, prefix, {bridge_key}, keep_null_key)
 
@@ -109,8 +111,9 @@ def feature_table(
 
     ``children`` maps a prefix to ``{"table": df, "key": column}`` or, through a bridge,
     ``{"table": df, "bridge": df, "bridge_key": column, "key": column}``. With
-    ``entity_ids`` base, children and bridges are reduced by semi joins before
-    they are aggregated; the ids themselves never leave the cluster.
+    ``entity_ids`` the base and every child's aggregate are reduced by semi joins. The
+    join stands above the aggregate, so a hot key is one row per task before any
+    shuffle; Catalyst moves it below where the ids are few enough to be broadcast.
     """
     if entity_ids is not None:
         base = semi_join(base, entity_ids, key)
@@ -119,13 +122,12 @@ def feature_table(
         table, child_key = spec["table"], spec["key"]
         if "bridge" in spec:
             bridge, bridge_key = spec["bridge"], spec["bridge_key"]
-            if entity_ids is not None:
-                bridge = semi_join(bridge, entity_ids, child_key)
-                table = semi_join(table, bridge.select(bridge_key), bridge_key)
-            frame = bridge_aggregate(table, bridge, bridge_key, child_key, prefix, keep_null_key=False)
+            frame = bridge_aggregate(
+                table, bridge, bridge_key, child_key, prefix, keep_null_key=False, entity_ids=entity_ids
+            )
         else:
-            if entity_ids is not None:
-                table = semi_join(table, entity_ids, child_key)
             frame = aggregate_by_key(table, child_key, prefix, keep_null_key=False)
+            if entity_ids is not None:
+                frame = semi_join(frame, entity_ids, child_key)
         frames.append(frame.withColumnRenamed(child_key, key) if child_key != key else frame)
     return left_join_all(dedup_by_key(base, key), frames, key)

@@ -9,13 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import anti_join, lookup_join, semi_join
-from ledgerloom.operators.ordering import dedup_by_key, row_ids, total_order
+from ledgerloom.operators.ordering import dedup_by_key, first_rows, row_ids, total_order
 from ledgerloom.operators.quality import require_columns, require_non_empty, require_positive, require_unique
-from ledgerloom.sources.ledger import consumed_rank_max, inserted_entity_ids
+from ledgerloom.sources.ledger import consumed_rank_max, inserted_entity_ids, write_entity_ids
 
 RANK = "holdout_rank"
-# A manifest lists the ids of batches up to this size; larger ones have them as rows only.
-MAX_LISTED_IDS = 10_000
 
 # Column order of a stored prediction.
 PREDICTION_COLUMNS = (
@@ -64,7 +62,7 @@ def next_batch(
     overlap = semi_join(ids, inserted_entity_ids(manifests, key, stored_ids), key)
     taken = [str(r[key]) for r in overlap.orderBy(key).limit(10).collect()]
     if taken:
-        raise ValueError(f"selected batch overlaps already inserted ids: {', '.join(taken)}")
+        raise ValueError(f"ids of the next batch were inserted before: {', '.join(taken)}")
     last = ids.agg(F.max(RANK).alias("m")).first()["m"]
     return Batch(ids, consumed + 1, last, rows, consumed)
 
@@ -80,24 +78,28 @@ def missing_ids(ids: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 
 def prepare_batch(batch: Batch, source: DataFrame, key: str, target: str) -> DataFrame:
-    """Source rows of the batch in key order without the target; every id must be there."""
+    """Source rows of the batch without the target, in no order; every id must be there."""
     absent = [str(r[key]) for r in missing_ids(batch.ids, source, key).orderBy(key).limit(10).collect()]
     if absent:
         raise ValueError(f"source lacks selected ids: {', '.join(absent)}")
     rows = semi_join(source, batch.ids, key)
     require_unique(rows, key, f"prepared {key}")
-    return rows.drop(target).orderBy(key)
+    return rows.drop(target)
 
 
-def batch_manifest(batch: Batch, run_id: str, status: str, key: str, target_removed: bool) -> DataFrame:
-    """One-row manifest of a batch: planned, manifest_only or inserted."""
-    listed = batch.rows_requested <= MAX_LISTED_IDS
-    ids = F.sort_array(F.collect_list(F.col(key).cast("bigint"))) if listed else F.array().cast("array<bigint>")
+def batch_manifest(
+    batch: Batch, run_id: str, status: str, key: str, target_removed: bool, folder: str | None = None
+) -> DataFrame:
+    """One-row manifest of a batch: planned, manifest_only or inserted.
+
+    The ids are rows at any size: with a ``folder`` they are written beside it, and the manifest names their
+    path, number and range. It lists none itself; lists in manifests of other origin are read as well.
+    """
+    path = None if folder is None else write_entity_ids(batch.ids, folder, run_id, key)
     bounds = batch.ids.agg(
         F.count(F.lit(1)).alias("rows_selected"),
         F.min(key).alias("sk_id_curr_min"),
         F.max(key).alias("sk_id_curr_max"),
-        (ids if listed else F.first(ids)).alias("entity_ids"),
     )
     inserted = F.col("rows_selected") if status == "inserted" else F.lit(0)
     return bounds.select(
@@ -110,7 +112,9 @@ def batch_manifest(batch: Batch, run_id: str, status: str, key: str, target_remo
         "rows_selected",
         F.col("rows_selected").alias("rows_prepared"),
         inserted.cast("bigint").alias("rows_inserted"),
-        "sk_id_curr_min", "sk_id_curr_max", "entity_ids",
+        "sk_id_curr_min", "sk_id_curr_max",
+        F.array().cast("array<bigint>").alias("entity_ids"),
+        F.lit(path).cast("string").alias("entity_ids_path"),
         F.lit(target_removed).alias("target_removed"),
     )
 
@@ -120,8 +124,8 @@ def batch_manifest(batch: Batch, run_id: str, status: str, key: str, target_remo
 
 def already_stored(storage: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """(key, rows) of the ids the storage table has rows for, in key order."""
-    found = semi_join(storage.select(key), ids, key)
-    return found.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).orderBy(key)
+    counted = storage.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    return semi_join(counted, ids, key).orderBy(key)
 
 
 def refresh_rows(staging: DataFrame, storage: DataFrame, ids: DataFrame, key: str) -> DataFrame:
@@ -130,7 +134,7 @@ def refresh_rows(staging: DataFrame, storage: DataFrame, ids: DataFrame, key: st
     require_unique(ids, key, "manifest entity_ids")
     stored = [str(r[key]) for r in already_stored(storage, ids, key).limit(10).collect()]
     if stored:
-        raise ValueError(f"storage table already contains selected ids: {', '.join(stored)}")
+        raise ValueError(f"storage has rows of these ids: {', '.join(stored)}")
     return semi_join(staging, ids, key)
 
 
@@ -190,7 +194,7 @@ def persist_predictions(spark: SparkSession, incoming: DataFrame, path: str) ->
 def top_n(df: DataFrame, column: str, n: int) -> DataFrame:
     """The ``n`` rows with the largest ``column``, ascending; ties by the other columns."""
     order = [F.col(column).desc_nulls_last(), *total_order(df, [column])[1:]]
-    return df.orderBy(*order).limit(n).orderBy(*total_order(df, [column]))
+    return first_rows(df, order, n).orderBy(*total_order(df, [column]))
 
 
 def top_n_preview(df: DataFrame, column: str, n: int) -> DataFrame:
@@ -232,4 +236,4 @@ def _without_first(df: DataFrame, n: int) -> DataFrame:
 
 def first_n(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows of a backup in key order."""
-    return df.orderBy(*total_order(df, order_by)).limit(n)
+    return first_rows(df, total_order(df, order_by), n)

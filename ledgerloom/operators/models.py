@@ -285,7 +285,7 @@ def search(
             metrics = _metrics(scored_rows(model, held_out, target), target, "validation_")
             record |= {"status": "COMPLETE", "validation_pr_auc": metrics["validation_pr_auc"], "error": None}
         except Exception as error:  # noqa: BLE001 - a failing trial is a result
-            record |= {"status": "FAIL", "validation_pr_auc": None, "error": str(error)[:500]}
+            record |= {"status": "FAIL", "validation_pr_auc": None, "error": str(error)}
         records.append(record)
         if on_trial:
             on_trial(record)
@@ -325,7 +325,7 @@ def score_models(
         except Exception as error:  # noqa: BLE001 - isolation of one model is the feature
             results.append(
                 {"model_name": name, "status": "failed", "rows_scored": 0,
-                 "inference_seconds": None, "error": str(error)[:500]}
+                 "inference_seconds": None, "error": str(error)}
             )
     return results
 

@@ -34,10 +34,10 @@ def prediction_list(
     predictions: Sequence[DataFrame] | DataFrame,
     run_id: str | None = None,
     model_name: str | None = None,
-    limit: int = 100,
+    limit: int | None = None,
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Predictions of one run or model, from tables whose columns may differ."""
+    """Predictions of one run or model, from tables whose columns may differ; all, or the first ``limit``."""
     frames = [predictions] if isinstance(predictions, DataFrame) else list(predictions)
     df = frames[0]
     for frame in frames[1:]:
@@ -46,7 +46,8 @@ def prediction_list(
         df = df.where(F.col("run_id") == run_id)
     if model_name is not None:
         df = df.where(F.col("model_name") == model_name)
-    return (df.orderBy(*order_by) if order_by else df).limit(limit)
+    ordered = df.orderBy(*order_by) if order_by else df
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def wide_preview(
@@ -76,9 +77,9 @@ def prediction_counts(predictions: DataFrame, groups: Sequence[str] = ()) -> Dat
 
 
 def prediction_distribution(
-    predictions: DataFrame, run_id: str | None = None, limit: int = 100
+    predictions: DataFrame, run_id: str | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Counts, score range and time range per (run, model, prediction)."""
+    """Counts, score range and time range per (run, model, prediction); all groups, or the first ``limit``."""
     keys = ["run_id", "model_name", "prediction"]
     df = predictions if run_id is None else predictions.where(F.col("run_id") == run_id)
     grouped = df.groupBy(*keys).agg(
@@ -89,7 +90,8 @@ def prediction_distribution(
         F.min("predicted_at").alias("first_prediction_at"),
         F.max("predicted_at").alias("last_prediction_at"),
     )
-    return grouped.orderBy(*keys).limit(limit)
+    ordered = grouped.orderBy(*keys)
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def top_predictions(predictions: DataFrame, key: str, n: int = 10) -> DataFrame:

@@ -266,3 +266,14 @@ def sorted_slice(
     kept = df.drop(*exclude)
     numbered = row_ids(kept, "__n", order_by)
     return numbered.where((F.col("__n") >= begin) & (F.col("__n") < end)).drop("__n")
+
+
+#: Rows up to which a plain sort with a limit is used.
+FEW_ROWS = 10_000
+
+
+def first_rows(df: DataFrame, order_by: Sequence[Column | str], n: int, few: int = FEW_ROWS) -> DataFrame:
+    """The first ``n`` rows in an order. Few rows pass one task; more are cut by their numbers, in parallel."""
+    if n <= few:
+        return df.orderBy(*order_by).limit(n)
+    return row_ids(df, "__first", order_by).where(F.col("__first") < n).drop("__first")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.naming import numeric_columns
 from ledgerloom.functions.numbers import ratio
-from ledgerloom.operators.ordering import exact_quantiles
+from ledgerloom.operators.ordering import exact_quantiles, first_rows
 from ledgerloom.operators.quality import _long
 
 # Pairs up to this number are one built-in aggregate each; more are summed per batch.
@@ -61,10 +61,15 @@ def column_profile(df: DataFrame) -> DataFrame:
     ).orderBy("column")
 
 
+def _number(column: str):
+    """A numeric column as double, NaN as null."""
+    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double"))
+
+
 def low_variance(df: DataFrame) -> DataFrame:
-    """(column, variance, distinct_values, is_constant) of numeric columns, least varying first."""
+    """(column, variance, distinct_values, is_constant) of numeric columns, least varying first; NaN is null."""
     columns = numeric_columns(df.schema)
-    counted = df.agg(*[F.var_samp(F.col(f"`{c}`")).alias(f"variance{i}") for i, c in enumerate(columns)])
+    counted = df.agg(*[F.var_samp(_number(c)).alias(f"variance{i}") for i, c in enumerate(columns)])
     long = _long(counted, columns, ["variance"])
     joined = long.join(_distinct_counts(df, columns), "column", "left")
     distinct = F.coalesce("distinct_values", F.lit(0))
@@ -74,11 +79,15 @@ def low_variance(df: DataFrame) -> DataFrame:
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(a, b, correlation) of column pairs over the rows where both are present."""
+    """(a, b, correlation) of column pairs over the rows where both are present; NaN is absent.
+
+    The number of pairs decides the plan only: both forms fold NaN and centre the values, and give null
+    where a column does not vary.
+    """
     if len(pairs) <= MAX_CORR_AGGREGATES:
         row = df.agg(
             *[
-                F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"r{i}")
+                F.nanvl(F.corr(_number(a), _number(b)), F.lit(None).cast("double")).alias(f"r{i}")
                 for i, (a, b) in enumerate(pairs)
             ]
         )
@@ -98,8 +107,7 @@ def _summed_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> Dat
     """
     columns = sorted({c for p in pairs for c in p})
     wanted = sorted({tuple(sorted((columns.index(a), columns.index(b)))) for a, b in pairs})
-    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    clean = numbers.select(*[F.nanvl(c, F.lit(None).cast("double")).alias(c) for c in columns])
+    clean = df.select(*[_number(c).alias(c) for c in columns])
     means = clean.agg(*[F.mean(c).alias(c) for c in columns]).first()
     centre = [float(means[c] or 0.0) for c in columns]
 
@@ -151,12 +159,13 @@ def correlation_matrix(df: DataFrame) -> DataFrame:
     return correlations(df, list(combinations(columns, 2)))
 
 
-def target_correlation(df: DataFrame, target: str, top: int = 10) -> DataFrame:
-    """(column, correlation) with the target, strongest first."""
+def target_correlation(df: DataFrame, target: str, top: int | None = None) -> DataFrame:
+    """(column, correlation) with the target, strongest first; all, or the first ``top``."""
     others = [c for c in numeric_columns(df.schema) if c != target]
     found = correlations(df, [(target, c) for c in others])
     ranked = found.select(F.col("b").alias("column"), "correlation")
-    return ranked.orderBy(F.abs("correlation").desc_nulls_last(), "column").limit(top)
+    ordered = ranked.orderBy(F.abs("correlation").desc_nulls_last(), "column")
+    return ordered if top is None else ordered.limit(top)
 
 
 def describe_numeric(df: DataFrame) -> DataFrame:
@@ -185,7 +194,7 @@ def describe_numeric(df: DataFrame) -> DataFrame:
 def reproducible_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """``n`` rows chosen by the md5 of key and seed; a smaller table comes back whole."""
     text = F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in key], F.lit(str(seed)))
-    return df.withColumn("__h", F.md5(text)).orderBy("__h", *key).limit(n).drop("__h")
+    return first_rows(df.withColumn("__h", F.md5(text)), ["__h", *key], n).drop("__h")
 
 
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -195,16 +204,16 @@ def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def profile_report(
-    df: DataFrame, name: str, target: str | None = None, max_rows: int = 120
+    df: DataFrame, name: str, target: str | None = None
 ) -> str:
-    """Markdown summary of one table, written from its (small) profile frames."""
+    """Markdown summary of one table, with all rows of its profile frames (one per column)."""
     lines = [f"# {name}", "", "| column | type | nulls | null % | distinct |", "|---|---|---|---|---|"]
-    for r in column_profile(df).limit(max_rows).toLocalIterator():
+    for r in column_profile(df).toLocalIterator():
         lines.append(
             f"| {r['column']} | {r['type']} | {r['null_count']} | {r['null_pct']} | {r['distinct_values']} |"
         )
     lines += ["", "## Lowest variance", ""]
-    for r in low_variance(df).limit(10).toLocalIterator():
+    for r in low_variance(df).toLocalIterator():
         lines.append(f"- {r['column']}: {r['variance']} ({r['distinct_values']} values)")
     if target in df.columns:
         lines += ["", f"## Correlation with {target}", ""]

@@ -18,16 +18,18 @@ from ledgerloom.operators.incremental import (
     scoped_counts,
 )
 from ledgerloom.operators.joins import anti_join
+from ledgerloom.operators.metrics import one_row, truth_metrics
 from ledgerloom.operators.models import Bundle, score_models
+from ledgerloom.operators.profile import throughput
 from ledgerloom.sources.ledger import (
     MANIFEST,
     MODEL_RESULT,
     read_entity_ids,
     read_ledger,
-    write_entity_ids,
+    update_manifest,
     write_manifest,
 )
-from ledgerloom.sources.tables import exists, write_table
+from ledgerloom.sources.tables import exists, write_metrics, write_table
 
 
 def ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,44 +53,85 @@ def insert_batch(
         raise FileExistsError(f"manifest of run {run_id!r} already exists")
     batch = next_batch(ranks, ledger(spark, folder), rows, key, read_entity_ids(spark, folder))
     prepared = prepare_batch(batch, source, key, target)
-    manifest = batch_manifest(batch, run_id, mode, key, target in source.columns)
+    manifest = batch_manifest(
+        batch, run_id, mode, key, target in source.columns, None if mode == "planned" else folder
+    )
     if mode == "inserted":
         if exists(spark, table):
             prepared = anti_join(prepared, spark.read.parquet(table).select(key), key)
         write_table(prepared, table, "append")
     if mode != "planned":
-        write_entity_ids(batch.ids, folder, run_id, key)
         write_manifest(manifest, folder, run_id)
     return manifest
 
 
 def refresh_batch(
     spark: SparkSession, staging: DataFrame, storage: str, ids: DataFrame, key: str,
-    report_rows: DataFrame | None = None,
+    report_rows: DataFrame | None = None, folder: str | None = None, run_id: str | None = None,
 ) -> DataFrame:
-    """Append the batch's staging rows to storage and count what belongs to the batch."""
+    """Append the batch's staging rows to storage and count what belongs to the batch.
+
+    With the ledger's ``folder`` and the run the counts are recorded in its manifest.
+    """
     stored = spark.read.parquet(storage)
     write_table(refresh_rows(staging, stored, ids, key).select(*stored.columns), storage, "append")
     counted = {"storage_count": spark.read.parquet(storage)}
     if report_rows is not None:
         counted["reporting_count"] = report_rows
-    return scoped_counts(ids, counted, key)
+    counts = scoped_counts(ids, counted, key)
+    if folder is not None and run_id is not None:
+        update_manifest(spark, folder, run_id, dw_refresh={"status": "refreshed", **counts.first().asDict()})
+    return counts
 
 
 def score_batch(
     spark: SparkSession, bundles: Mapping[str, Bundle | Exception], features: DataFrame, key: str,
-    run_id: str, predictions: str,
+    run_id: str, predictions: str, folder: str | None = None, truth: DataFrame | None = None,
+    target: str = "TARGET",
 ) -> tuple[str, DataFrame]:
-    """Score and persist all models; returns the run's status and its model results."""
+    """Score and persist all models; returns the run's status and its model results.
+
+    Per model the metrics (throughput, and against ``truth`` if given) are written beside the predictions. With the
+    ledger's ``folder`` the results are recorded in the run's manifest. A model whose predictions are stored
+    already is reported as ``already_present``.
+    """
+    kept: dict[str, str] = {}
+
+    def of_run(name: str) -> DataFrame:
+        stored = spark.read.parquet(predictions)
+        return stored.where((F.col("run_id") == run_id) & (F.col("model_name") == name))
+
+    def metrics_path(name: str) -> str:
+        return f"{predictions.rstrip('/')}_metrics/run_id={run_id}/model_name={name}"
+
     def sink(name: str, scored: DataFrame) -> int:
         path = f"{predictions}/{name}_{run_id}_predictions"
-        rows = prediction_rows(scored, run_id, F.current_timestamp(), path, f"{path}_metrics", key)
+        rows = prediction_rows(scored, run_id, F.current_timestamp(), path, metrics_path(name), key)
+        before = exists(spark, predictions) and not of_run(name).isEmpty()
         persist_predictions(spark, rows, predictions)
-        stored = spark.read.parquet(predictions)
-        return stored.where((F.col("run_id") == run_id) & (F.col("model_name") == name)).count()
+        kept[name] = "already_present" if before else "inserted"
+        return of_run(name).count()
 
     results = score_models(bundles, features, key, sink)
+    for r in results:
+        if r["status"] == "scored":
+            name = r["model_name"]
+            r.update(prediction_path=predictions, metrics_path=metrics_path(name), clickhouse_status=kept[name])
+            timed = spark.createDataFrame(
+                [(r["rows_scored"], r["inference_seconds"])], "rows_scored bigint, deployment_inference_seconds double"
+            )
+            row = throughput(timed, "rows_scored", "deployment_inference_seconds")
+            write_metrics(one_row(row, truth_metrics(of_run(name), truth, key, target)), metrics_path(name))
     fields: list[dict[str, Any]] = [{**dict.fromkeys(MODEL_RESULT.names), **r} for r in results]
     scored = sum(r["status"] == "scored" for r in results)
     status = "scored" if results and scored == len(results) else "partial" if scored else "failed"
+    if folder is not None:
+        update_manifest(spark, folder, run_id, inference={"status": status, "source": predictions, "models": fields})
     return status, spark.createDataFrame([tuple(f[n] for n in MODEL_RESULT.names) for f in fields], MODEL_RESULT)
+
+
+def read_metrics(spark: SparkSession, predictions: str) -> DataFrame:
+    """Written metrics of all runs and models of a predictions table, with run_id and model_name."""
+    path = f"{predictions.rstrip('/')}_metrics"
+    rows = spark.read.option("basePath", path).json(f"{path}/*/*")
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("run_id", "model_name")})

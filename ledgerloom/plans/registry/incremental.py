@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.incremental import (
+    RANK,
     already_stored,
     batch_manifest,
     holdout_ranks,
@@ -15,6 +16,7 @@ from ledgerloom.operators.incremental import (
     prepare_batch,
     scoped_counts,
 )
+from ledgerloom.operators.ordering import row_ids
 from ledgerloom.plans.registry.base import APPLICATIONS_SQL, CREDITS_SQL, applications, credits, query, table
 from ledgerloom.sources.ledger import (
     consumed_rank_max,
@@ -130,6 +132,17 @@ def _inserted(spark, root):
     return inserted_entity_ids(manifests(spark, root), KEY)
 
 
+@query("inserted_ids_large", """SELECT o_orderkey AS "SK_ID_CURR" FROM orders""")
+def _inserted_large(spark, root):
+    """A batch of any size leaves its ids as rows; the manifest names them and later batches see them."""
+    ids = table(spark, root, "orders").select(F.col("o_orderkey").alias(KEY))
+    placed = row_ids(ids, RANK, [F.col(KEY)], start=1, unique_order=True)
+    folder = staging_path(spark, "runs")
+    batch = next_batch(placed, manifests(spark, root).limit(0), 1 << 40, KEY)
+    write_manifest(batch_manifest(batch, "all", "inserted", KEY, True, folder), folder, "all")
+    return inserted_entity_ids(read_ledger(spark, folder), KEY)
+
+
 _NEXT_SQL = f"""(SELECT holdout_rank, "SK_ID_CURR" FROM {RANKS_SQL} WHERE holdout_rank BETWEEN
  (SELECT max(last_rank) + 1 FROM {LEDGER_SQL} WHERE status = 'inserted') AND
  (SELECT max(last_rank) + 100 FROM {LEDGER_SQL} WHERE status = 'inserted'))"""

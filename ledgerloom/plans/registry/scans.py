@@ -66,6 +66,20 @@ def _files(spark, root):
     return _rows({name: table(spark, root, name) for name in found})
 
 
+_SOME = ("customer", "nation", "orders", "supplier")
+
+
+@query("file_catalog_folders", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in _SOME))
+def _folders(spark, root):
+    """Tables that are folders of several files, some of them nested."""
+    path = staging_path(spark, "folders")
+    for n, name in enumerate(_SOME):
+        below = path if n % 2 else f"{path}/nested"
+        write_table(table(spark, root, name).repartition(3), f"{below}/{name}.parquet")
+    found = file_catalog(spark, path, "*.parquet").collect()
+    return _rows({r["table"]: spark.read.parquet(r["path"]) for r in found})
+
+
 @query("scan_limit", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 250")
 def _limit(spark, root):
     return scan_table(spark, root, "orders", ["o_orderkey", "o_totalprice"], limit=250, order_by=["o_orderkey"])

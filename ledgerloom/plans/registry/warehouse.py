@@ -94,12 +94,12 @@ def _refresh(spark, root):
     return scoped_counts(ids, tables, "SK_ID_CURR")
 
 
-_PRINT = """SELECT '{name}' AS "table", count(*) AS rows, sum(b)::BIGINT AS digest_sum, bit_xor(b) AS digest_xor FROM
- (SELECT ('0x' || substr(md5(concat_ws('|', {columns})), 1, 8))::BIGINT AS b FROM {source})"""
+_PRINT = """SELECT '{name}' AS "table", count(*) AS rows, sum(b)::VARCHAR AS digest_sum, bit_xor(b) AS digest_xor FROM
+ (SELECT ('0x' || substr(md5({columns}), 1, 15))::BIGINT AS b FROM {source})"""
 
 
 def _print(name: str, source: str, *columns: str) -> str:
-    text = ", ".join(f"coalesce({c}::VARCHAR, '~')" for c in columns)
+    text = " || ".join(f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in columns)
     return _PRINT.format(name=name, columns=text, source=source)
 
 

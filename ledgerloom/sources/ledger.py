@@ -40,7 +40,16 @@ MANIFEST = T.StructType(
         T.StructField("sk_id_curr_min", T.LongType()),
         T.StructField("sk_id_curr_max", T.LongType()),
         T.StructField("entity_ids", T.ArrayType(T.LongType())),
+        T.StructField("entity_ids_path", T.StringType()),
         T.StructField("target_removed", T.BooleanType()),
+        T.StructField("dw_refresh", T.StructType(
+            [
+                T.StructField("status", T.StringType()),
+                T.StructField("entity_count", T.LongType()),
+                T.StructField("storage_count", T.LongType()),
+                T.StructField("reporting_count", T.LongType()),
+            ]
+        )),
         T.StructField("inference", T.StructType(
             [
                 T.StructField("status", T.StringType()),
@@ -92,8 +101,13 @@ def consumed_rank_max(manifests: DataFrame) -> DataFrame:
 def inserted_entity_ids(
     manifests: DataFrame, key: str = "SK_ID_CURR", stored: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct entity ids of inserted manifests: listed in them, or in the stored id rows."""
+    """Distinct entity ids of inserted manifests: the rows at the paths they name, in ``stored``, and lists they hold."""
     inserted = manifests.where(is_inserted())
+    if stored is None and "entity_ids_path" in manifests.columns:
+        # ids of all runs lie below one folder; one path leads to it
+        named = inserted.where(F.col("entity_ids_path").isNotNull()).select("entity_ids_path").first()
+        if named is not None:
+            stored = read_id_rows(manifests.sparkSession, named[0].rpartition("/")[0])
     listed = inserted.select(F.explode("entity_ids").alias(key))
     if stored is not None:
         rows = stored.join(inserted.select("run_id").distinct(), "run_id", "left_semi")
@@ -101,16 +115,20 @@ def inserted_entity_ids(
     return listed.distinct()
 
 
-def write_entity_ids(ids: DataFrame, folder: str, run_id: str, key: str = "SK_ID_CURR") -> None:
-    """Id rows of a run; writing the same run again replaces them."""
-    ids.select(F.col(key).cast("bigint").alias(key)).write.mode("overwrite").parquet(
-        f"{folder.rstrip('/')}_ids/run_id={run_id}"
-    )
+def write_entity_ids(ids: DataFrame, folder: str, run_id: str, key: str = "SK_ID_CURR") -> str:
+    """Write the id rows of a run and return their path; writing the same run again replaces them."""
+    path = f"{folder.rstrip('/')}_ids/run_id={run_id}"
+    ids.select(F.col(key).cast("bigint").alias(key)).write.mode("overwrite").parquet(path)
+    return path
 
 
 def read_entity_ids(spark: SparkSession, folder: str) -> DataFrame | None:
     """(key, run_id) rows of all runs, None before the first."""
-    path = f"{folder.rstrip('/')}_ids"
+    return read_id_rows(spark, f"{folder.rstrip('/')}_ids")
+
+
+def read_id_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """(key, run_id) rows below a folder of ids, None if it does not exist."""
     if not exists(spark, path):
         return None
     rows = spark.read.option("basePath", path).parquet(path)
@@ -132,6 +150,18 @@ def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return read_manifests(spark, folder)
 
 
+def update_manifest(spark: SparkSession, folder: str, run_id: str, **fields: dict) -> None:
+    """Set structs of a run's manifest, such as ``dw_refresh`` and ``inference``; nothing for a run without one."""
+    if not exists(spark, f"{folder.rstrip('/')}/{run_id}"):
+        return
+    schema = T.StructType([f for f in MANIFEST if f.name != "_corrupt"])
+    # one row by contract
+    found = read_ledger(spark, folder).where(F.col("run_id") == run_id).first()
+    if found is not None:
+        row = {**found.asDict(recursive=True), **fields}
+        write_manifest(spark.createDataFrame([row], schema), folder, run_id, replace=True)
+
+
 def upsert_results(results: DataFrame, updates: DataFrame) -> DataFrame:
     """Model results with updates replacing earlier ones of the same (run, model)."""
     keys = ["run_id", "model_name"]

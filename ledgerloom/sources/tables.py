@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from ledgerloom.functions.naming import REPORT_PREFIX
 from ledgerloom.functions.text import null_token_to_null
 from ledgerloom.operators.joins import semi_join
+from ledgerloom.operators.ordering import first_rows
 
 # Tokens read as missing by the usual CSV readers (compared exactly).
 CSV_NULL_TOKENS = (
@@ -46,13 +48,27 @@ def header(spark: SparkSession, path: str) -> list[str]:
 
 
 def file_catalog(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """(table, path, bytes) of the files below ``root``, listed by the executors."""
+    """(table, path, files, bytes) of the tables below ``root``, listed by the executors.
+
+    A table is a file or a folder of files: its name is the first part of the path below ``root`` that
+    ends like the pattern. Hidden files and folders are no tables.
+    """
+    suffix = pattern.rpartition("*")[2]
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern).load(root).select("path", "length")
+        .load(root).select("path", "length")
+    )
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    top = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toUri().getPath().rstrip("/")
+    below = F.element_at(F.split("path", re.escape(top + "/"), 2), 2)
+    named = files.select(
+        F.regexp_extract(below, rf"^((?:[^/]*/)*?[^/]*{re.escape(suffix)})(?:/|$)", 1).alias("name"), below.alias("below"), "path", "length"
+    ).where((F.col("name") != "") & ~F.col("below").rlike(r"(^|/)[._][^/]*(/|$)"))
+    stem = F.regexp_replace(F.element_at(F.split("name", "/"), -1), r"\.[^.]*$", "")
+    whole = F.concat(F.left("path", F.length("path") - F.length("below")), F.col("name"))
+    return named.groupBy(F.lower(stem).alias("table"), whole.alias("path")).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
-    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
-    return files.select(F.lower(stem).alias("table"), "path", F.col("length").alias("bytes"))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -86,7 +102,7 @@ def scoped(
     if entity_ids is not None and entity_key is not None:
         df = semi_join(df, entity_ids, entity_key)
     if limit is not None:
-        df = (df.orderBy(*order_by) if order_by else df).limit(limit)
+        df = first_rows(df, order_by, limit) if order_by else df.limit(limit)
     return df
 
 

@@ -6,6 +6,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.incremental import (
@@ -19,7 +20,8 @@ from ledgerloom.operators.incremental import (
     without_top_n,
 )
 from ledgerloom.operators.models import AnomalyModel, Bundle, parameter_grid, random_parameters, search, train_model
-from ledgerloom.plans.deployment import insert_batch, ledger, refresh_batch, score_batch
+from ledgerloom.operators.monitor import model_results, model_summaries, run_list
+from ledgerloom.plans.deployment import insert_batch, ledger, read_metrics, refresh_batch, score_batch
 from ledgerloom.plans.maintenance import backup_rows, delete_rows, restore_rows
 from ledgerloom.plans.warehouse import build_warehouse, storage_layout, with_row_id
 from ledgerloom.sources.ledger import consumed_rank_max, read_entity_ids, read_manifests, run_status
@@ -61,11 +63,11 @@ def test_only_inserted_manifests_advance(spark):
 def test_batch_errors(spark):
     ids, _ = _assets(spark, 3)
     taken = {"run_id": "a", "status": "inserted", "rows_inserted": 1, "holdout_end_rank": 1, "entity_ids": [100002]}
-    with pytest.raises(ValueError, match="already inserted ids: 100002"):
+    with pytest.raises(ValueError, match="inserted before: 100002"):
         next_batch(ids, _parsed(spark, taken), 2, KEY)
-    with pytest.raises(ValueError, match="duplicate values: 100001"):
+    with pytest.raises(ValueError, match="repeat: 100001"):
         next_batch(ids.withColumn(KEY, F.lit(100001).cast("long")), _parsed(spark, taken), 2, KEY)
-    with pytest.raises(ValueError, match="must not be empty"):
+    with pytest.raises(ValueError, match="no rows in"):
         next_batch(ids, _parsed(spark, {**taken, "holdout_end_rank": 3}), 2, KEY)
     # a batch may be shorter than asked
     assert next_batch(ids, _parsed(spark, {**taken, "entity_ids": [], "holdout_end_rank": 2}), 9, KEY).ids.count() == 1
@@ -87,7 +89,8 @@ def test_runs_append_in_order(spark, folder):
     planned = insert_batch(spark, ids, source, runs, table, "r0", 3, KEY, "TARGET", "planned").first()
     assert planned["status"] == "planned" and planned["rows_inserted"] == 0 and not os.path.exists(table)
     first = insert_batch(spark, ids, source, runs, table, "r1", 3, KEY, "TARGET").first()
-    assert first["entity_ids"] == [100001, 100002, 100003] and first["target_removed"]
+    assert first["entity_ids"] == [] and first["target_removed"] and first["rows_selected"] == 3
+    assert sorted(r[KEY] for r in spark.read.parquet(first["entity_ids_path"]).collect()) == [100001, 100002, 100003]
     insert_batch(spark, ids, source, runs, table, "r2", 3, KEY, "TARGET", "manifest_only")
     third = insert_batch(spark, ids, source, runs, table, "r3", 3, KEY, "TARGET").first()
     assert (third["holdout_start_rank"], third["holdout_end_rank"]) == (4, 6)
@@ -119,11 +122,11 @@ def test_refresh(spark, folder):
     new = source.where(F.col(KEY) > 100007).select(KEY)
     counts = refresh_batch(spark, source, f"{folder}/storage", new, KEY).first()
     assert tuple(counts) == (3, 3) and spark.read.parquet(f"{folder}/storage").count() == 7
-    with pytest.raises(ValueError, match="already contains selected ids: 100008, 100009, 100010"):
+    with pytest.raises(ValueError, match="rows of these ids: 100008, 100009, 100010"):
         refresh_batch(spark, source, f"{folder}/storage", new, KEY)
-    with pytest.raises(ValueError, match="duplicate values"):
+    with pytest.raises(ValueError, match="repeat"):
         refresh_rows(source, source.limit(0), new.union(new), KEY)
-    with pytest.raises(ValueError, match="must not be empty"):
+    with pytest.raises(ValueError, match="no rows in"):
         refresh_rows(source, source.limit(0), new.limit(0), KEY)
 
 
@@ -294,6 +297,25 @@ def test_one_failing_model_gives_a_partial_run(spark, folder, features):
         spark, {"good": good, "bad": FileNotFoundError("no bundle")}, features, KEY, "run_1", f"{folder}/p"
     )
     assert status == "partial"
+    # the run's manifest and the metrics are what the lists show
+    runs = f"{folder}/runs"
+    source = features.select(KEY, "TARGET")
+    insert_batch(spark, source.select(KEY, F.row_number().over(W.orderBy(KEY)).alias(RANK)), source, runs, f"{folder}/t", "run_1", 600, KEY, "TARGET")
+    refresh_batch(spark, source.drop("TARGET").limit(0).union(source.select((F.col(KEY) + 10**6).alias(KEY))), f"{folder}/t", source.select((F.col(KEY) + 10**6).alias(KEY)), KEY, None, runs, "run_1")
+    again, _ = score_batch(
+        spark, {"good": good, "bad": FileNotFoundError("no bundle")}, features, KEY, "run_1", f"{folder}/p", runs, source
+    )
+    shown = run_list(ledger(spark, runs)).first()
+    assert again == "partial" and shown["inference_status"] == "partial" and shown["rows_inserted"] == 600
+    manifest = ledger(spark, runs).first()
+    assert manifest["dw_refresh"]["entity_count"] == 600 and manifest["dw_refresh"]["storage_count"] == 600
+    assert {m["model_name"]: m["clickhouse_status"] for m in manifest["inference"]["models"]} == {"good": "already_present", "bad": None}
+    found = model_results(ledger(spark, runs))
+    counts = spark.read.parquet(f"{folder}/p").groupBy("run_id", "model_name").agg(F.count(F.lit(1)).alias("rows_scored")).withColumns(
+        {"prediction_status": F.lit("available"), "positive_predictions": F.lit(0), "negative_predictions": F.lit(0)})
+    summary = {r["model_name"]: r for r in model_summaries(found, counts, read_metrics(spark, f"{folder}/p")).collect()}
+    assert summary["good"]["truth_status"] == "evaluated" and summary["good"]["truth_rows_matched"] == 600
+    assert summary["good"]["rows_per_second"] > 0 and summary["bad"]["rows_scored"] == 0
     assert {(r["model_name"], r["status"], r["rows_scored"]) for r in results.collect()} == {("good", "scored", 600), ("bad", "failed", 0)}
 
 

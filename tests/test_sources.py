@@ -25,8 +25,11 @@ def test_files_are_found_at_any_depth(spark, folder):
     write_csv(spark.range(2), f"{folder}/deep/er/Bureau.csv")
     with open(f"{folder}/POS_Cash.csv", "w") as file:
         file.write("a\n1\n")
-    found = {r["table"] for r in file_catalog(spark, folder).collect()}
-    assert "pos_cash" in found and len(found) >= 2
+    write_csv(spark.range(9).repartition(3), f"{folder}/Many.csv")
+    found = {r["table"]: r for r in file_catalog(spark, folder).collect()}
+    assert set(found) == {"pos_cash", "bureau", "many"}
+    assert found["many"]["files"] == 3 and found["pos_cash"]["files"] == 1 and found["pos_cash"]["bytes"] == 4
+    assert found["bureau"]["path"].endswith("deep/er/Bureau.csv") and found["many"]["path"].endswith("Many.csv")
 
 
 def test_table_selection(spark):
