@@ -41,7 +41,7 @@ SEARCH_RANGES: dict[str, dict[str, tuple[float, float, bool]]] = {
     "xgboost": {
         "n_estimators": (50, 500, False), "max_depth": (2, 10, False), "learning_rate": (0.01, 0.2, True),
     },
-    "local_neural_net": {"epochs": (5, 50, False), "learning_rate": (1e-4, 1e-2, True)},
+    "local_neural_net": {"epochs": (5, 50, False)},
 }
 
 
@@ -56,7 +56,10 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 
 
 def estimator(name: str, params: Mapping[str, Any], size: int, seed: int = 42):
-    """Spark ML estimator of a model name; tree depth is limited to 30 by Spark."""
+    """Spark ML estimator of a model name; tree depth is limited to 30 by Spark.
+
+    The net is fitted by L-BFGS, which finds its own step: its learning rate has no effect and is not searched.
+    """
     p = {**DEFAULTS[name], **params}
     common = {"featuresCol": "features", "labelCol": "label"}
     if name == "random_forest":
@@ -71,7 +74,7 @@ def estimator(name: str, params: Mapping[str, Any], size: int, seed: int = 42):
     if name == "local_neural_net":
         return MultilayerPerceptronClassifier(
             layers=[size, *p["hidden_units"], 2], maxIter=p["epochs"], blockSize=p["batch_size"],
-            stepSize=p["learning_rate"], seed=seed, **common,
+            seed=seed, **common,
         )
     raise ValueError(f"unknown model: {name}")
 
