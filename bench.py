@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 HEADLINE = (
@@ -24,6 +25,9 @@ HEADLINE = (
     "preprocess_matrix",
     "predictions_idempotent",
     "prediction_distribution",
+    "holdout_next_batch",
+    "refresh_scope",
+    "batch_score",
 )
 
 
@@ -33,7 +37,9 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    settings = {"spark.ui.enabled": "false", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"}
+    # one machine: its own temporary folder is shared by all of Spark here
+    shared = os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-")
+    settings = {"spark.checkpoint.dir": shared, "spark.ui.enabled": "false", "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"}
     spark = build_session("bench", f"local[{cpus}]", int(cpus) if cpus.isdigit() else None, settings)
     spark.sparkContext.setLogLevel("OFF")
     names = sys.argv[1:] or HEADLINE

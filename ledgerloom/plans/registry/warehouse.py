@@ -39,14 +39,18 @@ def _layout(spark, root):
 @query(
     "dw_row_id",
     """SELECT count(*) AS rows, count(*) AS distinct_ids, 0::BIGINT AS min_id, count(*) - 1 AS max_id,
- sum(l_quantity)::BIGINT AS quantity FROM lineitem""",
+ sum(l_quantity)::BIGINT AS quantity, (count(*) * (count(*) - 1) // 2)::BIGINT AS id_sum, count(DISTINCT (l_orderkey,
+ l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate)) AS distinct_rows FROM lineitem""",
 )
 def _row_id(spark, root):
     numbered = with_row_id(table(spark, root, "lineitem"))
     return numbered.agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("_DW_ID").alias("distinct_ids"),
         F.min("_DW_ID").alias("min_id"), F.max("_DW_ID").alias("max_id"),
-        F.sum("l_quantity").cast("bigint").alias("quantity"),
+        F.sum("l_quantity").cast("bigint").alias("quantity"), F.sum("_DW_ID").cast("bigint").alias("id_sum"),
+        F.count_distinct(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
+        ).alias("distinct_rows"),
     )
 
 
