@@ -69,17 +69,18 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Only ids of dropped rows meet the wide rows. Rows that share id and text with the row that
     stays cannot be told apart by id and are made one by their content.
     """
-    lost = stage(exact_groups(docs, id_col, text_col).where("not kept"), "copies")
-    same = F.col("id").eqNullSafe(F.col("keep_id"))
-    key = digest(F.col(text_col))
+    lost = exact_groups(docs, id_col, text_col).where("not kept")
+    # whether a key's rows all go, or one of them stays
+    keys = stage(
+        lost.groupBy(F.struct("id").alias("__id"), F.col("digest").alias("__digest"))
+        .agg(F.max(~F.col("id").eqNullSafe(F.col("keep_id"))).alias("__gone")), "copies",
+    )
     names = docs.columns
-    marked = docs.withColumns({"__id": F.struct(F.col(id_col).alias("id")), "__digest": key})
-    gone = lost.where(~same).select(F.struct("id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    twice = lost.where(same).select(F.struct("id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    rest = marked.join(gone, ["__id", "__digest"], "left_anti")
-    single = rest.join(twice, ["__id", "__digest"], "left_anti")
-    merged = rest.join(twice, ["__id", "__digest"], "left_semi").dropDuplicates(["__id", "__digest"])
-    return single.union(merged).select(*names)
+    marked = docs.withColumns({"__id": F.struct(F.col(id_col).alias("id")), "__digest": digest(F.col(text_col))})
+    known = marked.join(keys, ["__id", "__digest"], "left")
+    single = known.where("__gone is null")
+    merged = known.where("not __gone").dropDuplicates(["__id", "__digest"])
+    return single.select(*names).union(merged.select(*names))
 
 
 @query("op2_exact_dedup", """
