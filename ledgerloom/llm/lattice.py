@@ -31,6 +31,8 @@ BLOCKS_IN_ROW = 10_000
 PARTITIONS = 8
 #: What a character without a piece costs beyond the least piece.
 UNKNOWN_COST = 10.0
+#: Compression of what is shuffled.
+LEVEL = 6
 _MARK = "▁"
 
 
@@ -98,10 +100,19 @@ def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None
         "score": pa.array([s for _, _, s in pieces.rows], pa.float64()),
     })))
     length = F.char_length("word")
+    # no piece is longer than the longest one that begins with the same two characters
+    reach: dict[str, int] = {}
+    for piece, _, _ in pieces.rows:
+        if len(piece) > 1:
+            reach[piece[:2]] = max(reach.get(piece[:2], 1), len(piece))
+    reaches = F.broadcast(spark.createDataFrame(pa.table({
+        "two": pa.array(list(reach), pa.string()), "reach": pa.array(list(reach.values()), pa.int32()),
+    })))
     parts = (
         (words.select("word").repartition(partitions, "word") if partitions else words.select("word").repartition("word"))
         .withColumn("start", F.explode(F.sequence(F.lit(0), length - 1)))
-        .withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), length - F.col("start")))))
+        .withColumn("two", F.substring("word", F.col("start") + 1, F.lit(2))).join(reaches, "two", "left").drop("two")
+        .withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(1)), length - F.col("start"))))).drop("reach")
         .withColumn("part", F.substring("word", F.col("start") + 1, F.col("size")))
     )
 
@@ -169,7 +180,8 @@ def _packed(array) -> bytes:
 
     sink = pa.BufferOutputStream()
     batch = pa.RecordBatch.from_arrays(array, [str(i) for i in range(len(array))])
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
         writer.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -232,18 +244,22 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     spelled = {i: p.encode() for p, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
 
     def pack_codes(batches: Iterator) -> Iterator:
-        """One row per block and task: words and their codes."""
+        """One row per block and task: words, their codes, and whether a code decodes to its word."""
         import pyarrow as pa
 
-        held: dict[int, tuple[list[str], list[bytes]]] = {}
+        import numpy as np
+
+        kind_of = "<u2" if width == 2 else "<u4"
+        held: dict[int, list[tuple[str, bytes, bool]]] = {}
         for batch in batches:
             for blocks, word, code in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                decoded = b"".join(map(spelled.__getitem__, np.frombuffer(code, kind_of).tolist()))
+                answer = (word, code, decoded == word.encode("utf-8", "replace"))
                 for block in blocks:
-                    of = held.setdefault(block, ([], []))
-                    of[0].append(word)
-                    of[1].append(code)
-        for block, (words, codes) in held.items():
-            data = _packed([pa.array(words, pa.string()), pa.array(codes, pa.binary())])
+                    held.setdefault(block, []).append(answer)
+        for block, answers in held.items():
+            words, codes, right = zip(*sorted(answers), strict=True)
+            data = _packed([pa.array(words, pa.string()), pa.array(codes, pa.binary()), pa.array(right, pa.bool_())])
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["block", "data"])
 
     def join(left, right):
@@ -251,14 +267,13 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         import pyarrow as pa
 
         codes: dict[str, bytes] = {}
+        wrong: set[str] = set()
         for data in right.column("data").to_pylist():
-            codes.update(zip(*_unpacked(data), strict=True))
-        kind_of = f"<i{width}" if width == 4 else "<u2"
-        # a word whose ids do not spell it: none is expected, and every word is tried
-        wrong = {
-            w for w, c in codes.items()
-            if b"".join(map(spelled.__getitem__, np.frombuffer(c, kind_of).tolist())) != w.encode("utf-8", "replace")
-        }
+            words, of, decoded = _unpacked(data)
+            codes.update(zip(words, of, strict=True))
+            if not all(decoded):
+                wrong.update(w for w, d in zip(words, decoded, strict=True) if not d)
+        kind_of = "<u2" if width == 2 else "<u4"
         ids, found, sizes, exact = [], [], [], []
         for own, data in zip(left.column("ids").to_pylist(), left.column("data").to_pylist(), strict=True):
             for i, text in zip(own, _unpacked(data)[1], strict=True):
