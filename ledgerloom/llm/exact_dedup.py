@@ -66,7 +66,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's rows without exact copies, all columns kept; see ``exact_groups`` for which one stays.
 
-    Only ids of dropped rows meet the wide rows. Rows that share id and text with the row that
+    Only keys of dropped rows meet the wide rows, in one join; a second one is needed only where rows repeat whole. Rows that share id and text with the row that
     stays cannot be told apart by id and are made one by their content.
     """
     lost = exact_groups(docs, id_col, text_col).where("not kept")
@@ -79,6 +79,8 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     marked = docs.withColumns({"__id": F.struct(F.col(id_col).alias("id")), "__digest": digest(F.col(text_col))})
     known = marked.join(keys, ["__id", "__digest"], "left")
     single = known.where("__gone is null")
+    if keys.where("not __gone").isEmpty():
+        return single.select(*names)
     merged = known.where("not __gone").dropDuplicates(["__id", "__digest"])
     return single.select(*names).union(merged.select(*names))
 
