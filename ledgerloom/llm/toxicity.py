@@ -24,6 +24,8 @@ TRAIN_ROWS = 20_000
 ENTRIES = 2_000
 #: Lengths of word beginnings, rows that must hold one, and least log odds.
 SHORTEST, LONGEST, SUPPORT, LEAST_WEIGHT = 4, 12, 5, 2.0
+#: Counts that a task holds before it hands them on.
+TERMS_HELD = 100_000
 #: Fixed: harmless phrases, lower case.
 EXCEPTIONS = (
     "clown fish", "clownfish", "trash can", "trash bag", "trash bin", "trash collection", "pond scum",
@@ -74,16 +76,22 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            found: dict[str, list[int]] = {}
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for term in {b for w in set(_TOKEN.findall(fold(text))) for b in _beginnings(w)}:
-                    found.setdefault(term, [0, 0])[1 if label else 0] += 1
-            yield pa.RecordBatch.from_arrays([
+        def counted(found):
+            return pa.RecordBatch.from_arrays([
                 pa.array(list(found), pa.string()), pa.array([v[1] for v in found.values()], pa.int64()),
                 pa.array([v[0] for v in found.values()], pa.int64()),
             ], ["term", "toxic", "clean"])
 
+        found: dict[str, list[int]] = {}
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1), strict=True):
+                for term in {b for w in set(_TOKEN.findall(fold(text.as_py()))) for b in _beginnings(w)}:
+                    found.setdefault(term, [0, 0])[1 if label.as_py() else 0] += 1
+                if len(found) >= TERMS_HELD:
+                    yield counted(found)
+                    found = {}
+        yield counted(found)
+
     sizes = rows.agg(F.sum((F.col("label") > 0).cast("int")), F.sum((F.col("label") <= 0).cast("int"))).first()
     bad, good = sizes[0] or 0, sizes[1] or 0
     counted = rows.select("text", "label").mapInArrow(count, "term string, toxic bigint, clean bigint")
