@@ -12,6 +12,7 @@ the full Hamming check. No candidate is lost and no bucket is capped.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,181 +162,156 @@ def op7(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-# Near duplicates by similarity: fingerprints find candidates, a sketch of the shingles decides.
+# Near duplicates by similarity: common shingles of short prefixes give candidates, whole sets decide.
 
-#: Fingerprints of a text's distinct words; one within MAX_DISTANCE is enough for a candidate.
-SEEDS = (42, 43, 44)
-#: Smallest shingle hashes kept (one byte of each), for the share that two texts have in common.
-SKETCH = 128
-#: What the sketch may read below the similarity asked for: about one deviation at 0.8.
-TOLERANCE = 0.03
-_ROWS_AT_ONCE = 1024
+#: Rows whose shingles are counted to put common ones last, and how many such shingles a task holds.
+SAMPLE_ROWS = 16_384
+COMMON = 1 << 16
 
 
-def _word_print(words: set[bytes], seed: int) -> int:
+def _shingles(text: str | None, n: int):
+    """Distinct hashes of the lower-cased (A-Z) text's n-word shingles, ascending; fewer words are one, no words none."""
     import numpy as np
-    import xxhash
-
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words)).astype(">u8")
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), _CHUNK):
-        part = hashes[at: at + _CHUNK]
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes)).view(">u8")[0])
-
 
-def _sketch(hashes) -> bytes:
-    """One byte of the smallest hash in each of SKETCH classes of shingles (one-permutation MinHash).
+    words = (text or "").encode("utf-8", "replace").lower().split()
+    return np.unique(_hashes(words, n, 42)).view(np.int64) if words else np.zeros(0, np.int64)
 
-    An empty class takes the byte of the next filled one, mixed with its distance, so that short texts compare too.
-    """
-    import numpy as np
 
-    lowest = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
-    mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(32)
-    np.minimum.at(lowest, (mixed % np.uint64(SKETCH)).astype(np.int64), hashes)
-    filled = np.flatnonzero(lowest != np.iinfo(np.uint64).max)
-    following = filled[np.searchsorted(filled, np.arange(SKETCH)) % len(filled)]
-    distance = ((following - np.arange(SKETCH)) % SKETCH).astype(np.uint64)
-    value = (lowest[following] + distance * np.uint64(0xC2B2AE3D27D4EB4F)) * np.uint64(0x9E3779B97F4A7C15)
-    return (value >> np.uint64(56)).astype(np.uint8).tobytes()
+def _share(similarity: float) -> tuple[int, int]:
+    """The similarity as an exact fraction of what its decimals say."""
+    if not 0 < similarity <= 1:
+        raise ValueError(f"a similarity above 0 and up to 1 is needed: {similarity}")
+    return Fraction(str(similarity)).as_integer_ratio()
 
 
-def similarity_rows(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(id, prints, sketch): word fingerprints and a sketch of the n-word shingles; rows without words are left out."""
-    rows = pick(docs, id=id_col, text=text_col)
+def common_shingles(rows: DataFrame, n: int) -> list[int]:
+    """Shingles of several sampled rows, at most COMMON. They only order the prefixes; no result depends on them."""
+    count = rows.count()
+    sample = rows if count <= SAMPLE_ROWS else rows.where(
+        F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < max(1, (SAMPLE_ROWS << 20) // count)
+    )
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            ids, prints, sketches = [], [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = (t or "").encode("utf-8", "replace").lower().split()
-                if words:
-                    distinct = set(words)
-                    ids.append(i)
-                    prints.append(np.array([_word_print(distinct, s) for s in SEEDS], np.uint64).view(np.int64).tolist())
-                    sketches.append(_sketch(np.unique(_hashes(words, n, SEEDS[0]))))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids, batch.column(0).type), pa.array(prints, pa.list_(pa.int64())), pa.array(sketches, pa.binary()),
-            ], ["id", "prints", "sketch"])
-
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, prints array<bigint>, sketch binary")
+            found = [_shingles(t, n) for t in batch.column(1).to_pylist()]
+            values, counts = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts.astype(np.int64))], ["shingle", "n"])
 
+    counted = sample.mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 2")
+    return [r["shingle"] for r in counted.orderBy(F.desc("n"), "shingle").limit(COMMON).collect()]
 
-def _forest(limit: int, least: float):
-    """Links of each bucket that connect whatever its similar pairs connect: at most one per row."""
-    def within(x, start: int):
-        """Candidates whose chain from ``start`` stays within its shares, then the full distance."""
-        import numpy as np
-
-        bits = np.uint64(WIDTH * start)
-        turned = x if not start else (x << bits) | (x >> np.uint64(64 - WIDTH * start))
-        holds = np.bitwise_count(turned >> np.uint64(64 - WIDTH)) <= limit // SEGMENTS
-        for length in range(2, SEGMENTS + 1):
-            holds &= np.bitwise_count(turned >> np.uint64(64 - length * WIDTH)) <= length * limit // SEGMENTS
-        return holds
 
-    def joined(fp, sketch, start: int) -> list[tuple[int, int]]:
-        import numpy as np
+def prefix_rows(rows: DataFrame, n: int, similarity: float) -> DataFrame:
+    """(key, digest, size, front) of rows (key, text) with words: digest and size of the shingle set, and its prefix.
 
-        root = list(range(len(fp)))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        found = []
-        for a in range(0, len(fp), _ROWS_AT_ONCE):
-            for b in range(a, len(fp), _ROWS_AT_ONCE):
-                near = within(fp[a: a + _ROWS_AT_ONCE, None] ^ fp[None, b: b + _ROWS_AT_ONCE], start)
-                left, right = np.nonzero(near)
-                later = left + a < right + b
-                left, right = left[later] + a, right[later] + b
-                for at in range(0, len(left), 1 << 16):
-                    l, r = left[at: at + (1 << 16)], right[at: at + (1 << 16)]
-                    alike = (sketch[l] == sketch[r]).mean(axis=1) >= least
-                    for i, j in zip(l[alike].tolist(), r[alike].tolist(), strict=True):
-                        x, y = find(i), find(j)
-                        if x != y:
-                            root[y] = x
-                            found.append((i, j))
-        return found
+    Sets of similarity s or more share ceil(s * size) of either one's shingles, so in any one order of all shingles
+    each has a shared one among its first size - ceil(s * size) + 1: no pair is lost. The order is by
+    hash with common shingles last, so that prefixes hold rare ones.
+    """
+    over, under = _share(similarity)
+    common = common_shingles(rows, n)
 
     def run(batches: Iterator) -> Iterator:
+        import hashlib
+
         import numpy as np
         import pyarrow as pa
 
-        def links_of(held):
-            key, start = held.column("key").to_numpy(), held.column("start").to_numpy()
-            node, fp = held.column("node").to_numpy(), held.column("fp").to_numpy().view(np.uint64)
-            sketch = np.frombuffer(b"".join(held.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-            edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-            pairs = [
-                (node[s + i], node[s + j]) for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True) if e - s > 1
-                for i, j in joined(fp[s:e], sketch[s:e], int(start[s]))
-            ]
-            return pa.RecordBatch.from_arrays([
-                pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())
-            ], ["a", "b"])
-
-        held = None
+        last = np.sort(np.array(common, np.int64))
         for batch in batches:
-            now = pa.Table.from_batches([batch])
-            held = (pa.concat_tables([held, now]) if held is not None else now).combine_chunks()
-            key = held.column("key").to_numpy()
-            # the last key may go on in the next batch
-            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            if cut:
-                yield links_of(held.slice(0, cut).combine_chunks())
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield links_of(held.combine_chunks())
+            rows, digests, sizes, fronts = [], [], [], []
+            for at, text in enumerate(batch.column(1).to_pylist()):
+                found = _shingles(text, n)
+                if len(found):
+                    rows.append(at)
+                    digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                    sizes.append(len(found))
+                    late = np.searchsorted(last, found, "right") > np.searchsorted(last, found)
+                    fronts.append(np.r_[found[~late], found[late]][: len(found) + over * -len(found) // under + 1])
+            ends = np.cumsum([0, *map(len, fronts)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(pa.array(rows, pa.int64())), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*fronts, np.zeros(0, np.int64)]))),
+            ], ["key", "digest", "size", "front"])
+
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(run, f"key {kind}, digest binary, size int, front array<bigint>")
+
+
+def _possible(a: str, b: str, similarity: float) -> Column:
+    """Whether the sizes of two sets, and the places of a shingle that both have, leave room for the similarity."""
+    over, under = _share(similarity)
+    size_a, size_b, place_a, place_b = (F.col(x) for x in (f"{a}.size", f"{b}.size", f"{a}.place", f"{b}.place"))
+    most = F.least(place_a, place_b) + F.least(size_a - place_a, size_b - place_b)
+    return (F.least(size_a, size_b) * under >= F.greatest(size_a, size_b) * over) & (
+        most * (over + under) >= (size_a + size_b).cast("bigint") * over
+    )
 
-    return run
+
+def similar_links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose whole sets (node, shingles) have at least the similarity, decided on all shingles."""
+    over, under = _share(similarity)
+    shared = F.size(F.array_intersect("left", "right")).cast("bigint")
+    return (
+        pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
+        .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
+        .where(shared * under >= (F.size("left") + F.size("right") - shared) * over).select("a", "b")
+    )
+
+
+def _pairs(left: DataFrame, right: DataFrame, similarity: float, which: Column | None = None) -> DataFrame:
+    """Pairs of nodes under one key that can be similar, each once."""
+    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.node") != F.col("r.node")))
+    near = met.where(_possible("l", "r", similarity) if which is None else _possible("l", "r", similarity) & which)
+    return near.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
-                    similarity: float = 0.8, limit: int = MAX_DISTANCE) -> DataFrame:
+                    similarity: float = 0.8) -> DataFrame:
     """(id, mark, class) of rows with words: texts linked by a share of ``similarity`` of their n-word shingles.
 
-    Candidates have one of their word fingerprints within ``limit`` bits, by pigeonring keys; a link needs the
-    sketch's share to be ``similarity`` less TOLERANCE. Buckets give a spanning forest of their links, never all
-    pairs, and rows whose fingerprints and sketch are equal are one node. ``mark`` tells rows with one id apart.
+    Rows with equal shingle sets are one node. Nodes that share a shingle of their prefixes are candidates, and
+    the whole sets decide. ``mark`` tells rows with one id apart.
     """
-    marked = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("mark")))
-    rows = stage(similarity_rows(marked, "__key", text_col, n), "similar-rows")
+    texts = _marked(docs, id_col, text_col).select("__key", F.col(text_col).alias("text"))
+    rows = stage(prefix_rows(texts.withColumnRenamed("__key", "key"), n, similarity), "similar-rows")
     nodes = stage(
-        rows.groupBy("prints", "sketch").agg(F.min("id").alias("first"))
+        rows.groupBy("digest").agg(F.min("key").alias("first"), F.first("size").alias("size"), F.first("front").alias("front"))
         .withColumn("node", F.monotonically_increasing_id()), "similar-nodes",
     )
-    number = F.posexplode(_all_keys(F.col("prints"), limit)).alias("place", "key")
-    keyed = nodes.select("node", number)
-    # a key that one node has needs no sketch: most keys end here
+    keyed = nodes.select("node", "size", F.posexplode("front").alias("place", "key"))
+    # most keys are of one node and end here
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    per_print = SEGMENTS * 2
-    rich = (
-        keyed.join(shared, "key", "left_semi").join(nodes.select("node", "prints", "sketch"), "node")
-        .select(
-            "key", "node", F.element_at("prints", F.floor(F.col("place") / per_print).cast("int") + 1).alias("fp"),
-            F.floor(F.pmod("place", F.lit(per_print)) / 2).cast("int").alias("start"), "sketch",
-        ).repartition("key").sortWithinPartitions("key")
-    )
-    found = rich.mapInArrow(_forest(limit, similarity - TOLERANCE), "a bigint, b bigint")
+    keyed = stage(keyed.join(shared, "key", "left_semi"), "similar-keys")
+    sets = stage(_sets(texts, nodes, keyed, n), "similar-sets")
+    found = similar_links(_pairs(keyed, keyed, similarity, F.col("l.node") < F.col("r.node")), sets, similarity)
     roots = components(found)
-    named = nodes.join(roots, "node", "left").select("prints", "sketch", F.coalesce("root", "node").alias("class"))
-    return rows.join(named, ["prints", "sketch"]).select("id.id", "id.mark", "class")
+    named = nodes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("class"))
+    return rows.join(named, "digest").select("key.id", "key.mark", "class")
 
 
-def _all_keys(prints: Column, limit: int) -> Column:
-    return F.flatten(F.array(*[
-        F.transform(_keys(F.element_at(prints, i + 1), limit), lambda k, i=i: F.xxhash64(F.lit(i), k)) for i in range(len(SEEDS))
-    ]))
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("mark")))
+
+
+def _sets(texts: DataFrame, nodes: DataFrame, keyed: DataFrame, n: int) -> DataFrame:
+    """(node, shingles) of the nodes that have a shared key, from their texts."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0), pa.array([_shingles(t, n) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
+            ], ["node", "shingles"])
+
+    wanted = nodes.select("node", F.col("first").alias("__key")).join(keyed.select("node").distinct(), "node")
+    # rows that repeat an id and its text are one
+    return texts.join(wanted, "__key").dropDuplicates(["__key"]).select("node", "text").mapInArrow(
+        run, "node bigint, shingles array<bigint>"
+    )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -349,5 +325,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.struct("id", "mark").alias("__key")
     ).distinct()
     names = docs.columns
-    marked = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("mark")))
-    return marked.join(lost, "__key", "left_anti").select(*names)
+    return _marked(docs, id_col, text_col).join(lost, "__key", "left_anti").select(*names)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
 
 import numpy as np
 import pytest
@@ -165,10 +166,12 @@ def test_components_of_chains_and_hubs(spark):
     assert {got[n] for n in range(61)} == {0} and {got[n] for n in range(1000, 1200)} == {1000}
 
 
-def jaccard(a, b, n=5):
-    def grams(t):
-        parts = lower(t).encode().split()
-        return {b" ".join(parts[i: i + n]) for i in range(max(1, len(parts) - n + 1))}
+def grams(t, n=5):
+    parts = lower(t).encode().split()
+    return {b" ".join(parts[i: i + n]) for i in range(max(1, len(parts) - n + 1))}
+
+
+def jaccard(a, b):
     x, y = grams(a), grams(b)
     return len(x & y) / len(x | y)
 
@@ -193,3 +196,50 @@ def test_near_copies(spark):
     assert sum(i in kept for i, _, _ in rows) <= 32
     assert min(jaccard(rows[0][1], rows[k][1]) for k in (1, 2, 3)) > 0.8
     assert simhash.drop_near_copies(df.limit(0)).count() == 0
+
+
+def edited(base, share, seed):
+    """Word lists from ``base`` at falling similarity: substitutions, and a new tail."""
+    draw = random.Random(seed)
+    out = list(base)
+    for k in range(max(1, int(len(base) * share))):
+        out[draw.randrange(len(out))] = f"edit{seed}x{k}"
+    return out, base + [f"tail{seed}x{k}" for k in range(max(1, int(len(base) * share * 4)))]
+
+
+def brute_similar(rows, least=0.8):
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    found = 0
+    sets = [grams(t) for _, t, _ in rows]
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]):
+            found += 1
+            root[find(b)] = find(a)
+    smallest: dict[int, int] = {}
+    for n, (i, _, _) in enumerate(rows):
+        smallest[find(n)] = min(smallest.get(find(n), i), i)
+    return found, {i: smallest[find(n)] for n, (i, _, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("size", [30, 120])
+def test_near_copies_lose_no_pair(spark, size):
+    rows = []
+    for n in range(12):
+        base = words(size, 5000 + 100 * size + n).split()
+        rows.append((10 * n, " ".join(base), "a"))
+        for k, share in enumerate((0.01, 0.02, 0.03, 0.04)):
+            for m, text in enumerate(edited(base, share, 10 * n + k)):
+                rows.append((10 * n + 1 + 2 * k + m, " ".join(text), "a"))
+    count, want = brute_similar(rows)
+    assert count > 12
+    found = simhash.similar_classes(documents(spark, rows)).collect()
+    least: dict[int, int] = {}
+    for r in found:
+        least[r["class"]] = min(least.get(r["class"], r["id"]), r["id"])
+    assert {r["id"]: least[r["class"]] for r in found} == want
