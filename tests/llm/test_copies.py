@@ -243,3 +243,16 @@ def test_near_copies_lose_no_pair(spark, size):
     for r in found:
         least[r["class"]] = min(least.get(r["class"], r["id"]), r["id"])
     assert {r["id"]: least[r["class"]] for r in found} == want
+
+
+@pytest.mark.parametrize("size", [30, 60])
+def test_pairs_below_the_similarity_stay(spark, size):
+    rows = []
+    for n in range(150):
+        base = words(size, 40_000 + 1000 * size + n).split()
+        shares = {k: len(base) - 4 for k in range(1, len(base) // 2)}
+        tail = next(k for k, own in shares.items() if own / (own + k) < 0.8)
+        rows += [(2 * n, " ".join(base), "a"), (2 * n + 1, " ".join(base + [f"t{n}x{k}" for k in range(tail)]), "a")]
+    near = [jaccard(rows[i][1], rows[i + 1][1]) for i in range(0, len(rows), 2)]
+    assert 0.74 < min(near) and max(near) < 0.8
+    assert simhash.drop_near_copies(documents(spark, rows)).count() == len(rows)
