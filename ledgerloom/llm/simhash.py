@@ -269,6 +269,27 @@ def _pairs(left: DataFrame, right: DataFrame, similarity: float, which: Column |
     return near.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
 
 
+def connected(keyed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect whatever the similar pairs among rows (key, node, size, place) connect.
+
+    Each key first compares its nodes with one of them, which is linear in a key of any size. Pairs that these
+    links connect need no comparison. Of the others each has a node outside its key's largest class:
+    only those nodes are paired, by an ordinary join that splits skewed keys over tasks.
+    """
+    hubs = keyed.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node", "size", "place")).alias("hub"))
+    stars = stage(similar_links(_pairs(keyed, hubs.select("key", "hub.node", "hub.size", "hub.place"), similarity), sets, similarity), "similar-stars")
+    parted = stage(
+        keyed.join(components(stars), "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root"), "similar-parts"
+    )
+    mixed = (
+        parted.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "part")).alias("most")).where("parts > 1")
+    )
+    held = stage(parted.join(mixed.select("key", F.col("most.part").alias("main")), "key"), "similar-mixed")
+    rest = _pairs(held.where("part <> main"), held, similarity, F.col("l.part") != F.col("r.part"))
+    return stars.union(similar_links(rest, sets, similarity))
+
+
 def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                     similarity: float = 0.8) -> DataFrame:
     """(id, mark, class) of rows with words: texts linked by a share of ``similarity`` of their n-word shingles.
@@ -287,8 +308,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     keyed = stage(keyed.join(shared, "key", "left_semi"), "similar-keys")
     sets = stage(_sets(texts, nodes, keyed, n), "similar-sets")
-    found = similar_links(_pairs(keyed, keyed, similarity, F.col("l.node") < F.col("r.node")), sets, similarity)
-    roots = components(found)
+    roots = components(connected(keyed, sets, similarity))
     named = nodes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("class"))
     return rows.join(named, "digest").select("key.id", "key.mark", "class")
 

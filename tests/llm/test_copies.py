@@ -256,3 +256,19 @@ def test_pairs_below_the_similarity_stay(spark, size):
     near = [jaccard(rows[i][1], rows[i + 1][1]) for i in range(0, len(rows), 2)]
     assert 0.74 < min(near) and max(near) < 0.8
     assert simhash.drop_near_copies(documents(spark, rows)).count() == len(rows)
+
+
+def test_hot_group_of_near_copies_is_not_compared_all_by_all(spark, monkeypatch):
+    base = words(150, 77).split()
+    rows = [(n, " ".join([*base[: n % 140], f"own{n}", *base[n % 140 + 1:]]), "a") for n in range(500)]
+    rows += [(1000 + n, " ".join([*base[:70], *words(60, 3000 + n).split()]), "a") for n in range(5)]
+    compared = []
+
+    def links(pairs, *rest, inner=simhash.similar_links):
+        compared.append(pairs.count())
+        return inner(pairs, *rest)
+
+    monkeypatch.setattr(simhash, "similar_links", links)
+    kept = {r["doc_id"] for r in simhash.drop_near_copies(documents(spark, rows)).select("doc_id").collect()}
+    assert kept == {0, *range(1000, 1005)}
+    assert sum(compared) < 500 * 499 // 8
