@@ -4,14 +4,17 @@ Every substring of a word up to the longest piece's length is a row; an equi-joi
 turns substrings into edges; the edges of a word are grouped, and a higher-order fold over them in order of
 their end keeps the best path to every position (Viterbi). Words repeat across documents, so blocks of
 documents send their distinct words, each distinct word of the corpus is encoded once, and its ids go
-back to the blocks that have it.
+back to the blocks that have it. Words over ``LONGEST_WORD`` characters would be rows times their own length;
+they are folded whole, position by position, with the scores of the last longest piece carried along.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +24,10 @@ from ledgerloom.llm.common import pick, query, table
 #: A public piece model; any path can be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A word: an optional space and a run of letters and digits, or of other characters, or one white-space
-#: character. Longer runs are cut; pieces never reach over a word's end.
+#: character. Runs of any length are whole. Where a piece reaches over a word's end, the words are one.
+_WORD = re.compile(r" ?(?:\w+|[^\w\s]+)|\s")
+#: Longest word in characters whose substrings become rows.
 LONGEST_WORD = 64
-_WORD = re.compile(r" ?(?:\w{1,%d}|[^\w\s]{1,%d})|\s" % (LONGEST_WORD, LONGEST_WORD))
 #: Characters of text in a block; words of a bucket are those of about so many characters.
 BLOCK = 24_000_000
 #: Blocks in one row of a word; partitions of words for each bucket, so that a task's edges stay in memory.
@@ -81,6 +85,73 @@ def split_words(text: str | None) -> list[str]:
     return _WORD.findall(" " + text) if text else []
 
 
+class Words:
+    """Words of a text that no piece reaches over: those of ``split_words``, joined where a piece spans them."""
+
+    def __init__(self, pieces: Pieces) -> None:
+        spanning = [(p, _WORD.findall(p)) for p, _, _ in pieces.rows]
+        self.spanning = {p for p, words in spanning if len(words) > 1}
+        self.longest = max(map(len, self.spanning), default=0)
+        # the two characters at each inner end, and characters of which every spanning piece has one
+        self.ends = {p[at - 1: at + 1] for p, words in spanning for at in accumulate(map(len, words[:-1]))}
+        self.marks: list[str] = []
+        left = set(self.spanning)
+        while left:
+            counts = Counter(c for p in left for c in set(p))
+            self.marks.append(min(counts, key=lambda c: (-counts[c], c)))
+            left = {p for p in left if self.marks[-1] not in p}
+
+    def __call__(self, text: str | None) -> list[str]:
+        words = split_words(text)
+        if not text or not any(m in text for m in self.marks):
+            return words
+        text, out, end = " " + text, [], 0
+        for word in words:
+            if out and text[end - 1: end + 1] in self.ends and self._spanned(text, end):
+                out[-1].append(word)
+            else:
+                out.append([word])
+            end += len(word)
+        return ["".join(w) for w in out]
+
+    def _spanned(self, text: str, end: int) -> bool:
+        return any(
+            text[start:stop] in self.spanning
+            for start in range(max(0, end - self.longest + 1), end) for stop in range(end + 1, min(len(text), start + self.longest) + 1)
+        )
+
+
+def best_path(word: str, known: dict[str, tuple[float, bytes]], pieces: Pieces, longest: int, unknown: float) -> bytes:
+    """The code that ``encode_words`` gives a word, by one pass in time and memory that grow with its length."""
+    width, scores, back = pieces.width, [0.0], [0]
+    for stop in range(1, len(word) + 1):
+        best, begin = float("-inf"), stop - 1
+        # longest pieces first: of equal scores the first stays
+        for start in range(max(0, stop - longest), stop):
+            found = known.get(word[start:stop])
+            if found is not None:
+                score = scores[start - stop] + found[0]
+            elif start == stop - 1:
+                score = scores[-1] + unknown
+            else:
+                continue
+            if score > best:
+                best, begin = score, start
+        back.append(begin)
+        scores.append(best)
+        if len(scores) > longest:
+            del scores[0]
+    parts, stop = [], len(word)
+    while stop:
+        part = word[back[stop]:stop]
+        found = known.get(part)
+        parts.append(found[1] if found is not None else b"".join(
+            pieces.byte_ids[b].to_bytes(width, "little") for b in part.encode("utf-8", "replace")
+        ))
+        stop = back[stop]
+    return b"".join(reversed(parts))
+
+
 def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None) -> DataFrame:
     """(word, code) for rows of distinct words: the ids of the best path, ``pieces.width`` bytes each.
 
@@ -201,6 +272,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     kind = rows.schema["id"].dataType.simpleString()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BLOCK))
+    words_of = Words(pieces)
 
     def distinct_words(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -209,7 +281,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         for ids, texts in _batches(batches, BLOCK):
             block, words = _block_of(ids, texts), set()
             for text in texts:
-                words.update(split_words(text))
+                words.update(words_of(text))
             shares: dict[int, list[str]] = {}
             for word in sorted(words):
                 shares.setdefault(xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) % buckets, []).append(word)
@@ -235,10 +307,15 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
             for word in _unpacked(data)[0]:
                 blocks.setdefault(word, []).append(block)
         out = [(w, n, b[at: at + BLOCKS_IN_ROW]) for w, b in blocks.items() for n, at in enumerate(range(0, len(b), BLOCKS_IN_ROW))]
+        known: dict[str, tuple[float, bytes]] = {}
+        if any(len(w) > LONGEST_WORD for w in blocks):
+            known = {p: (s, i.to_bytes(width, "little")) for p, i, s in pieces.rows}
+        longest, unknown = pieces.longest, pieces.unknown
+        folded = {w: best_path(w, known, pieces, longest, unknown) for w in blocks if len(w) > LONGEST_WORD}
         return pa.table([
             pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.int32()),
-            pa.array([o[2] for o in out], pa.list_(pa.int64())),
-        ], ["word", "part", "blocks"])
+            pa.array([o[2] for o in out], pa.list_(pa.int64())), pa.array([folded.get(o[0]) for o in out], pa.binary()),
+        ], ["word", "part", "blocks", "whole"])
 
     width = pieces.width
     spelled = {i: p.encode() for p, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
@@ -277,7 +354,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
         ids, found, sizes, exact = [], [], [], []
         for own, data in zip(left.column("ids").to_pylist(), left.column("data").to_pylist(), strict=True):
             for i, text in zip(own, _unpacked(data)[1], strict=True):
-                words = split_words(text)
+                words = words_of(text)
                 code = b"".join(map(codes.__getitem__, words))
                 ids.append(i)
                 found.append(code)
@@ -294,9 +371,9 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
 
     id_arrow = to_arrow_type(rows.schema["id"].dataType)
     sent = rows.mapInArrow(distinct_words, "block bigint, bucket bigint, data binary")
-    words = sent.groupBy("bucket").applyInArrow(holders, "word string, part int, blocks array<bigint>")
-    codes = encode_words(words.where("part = 0"), pieces, PARTITIONS * buckets)
-    answers = words.join(codes, "word").select("blocks", "word", "code").mapInArrow(pack_codes, "block bigint, data binary")
+    words = sent.groupBy("bucket").applyInArrow(holders, "word string, part int, blocks array<bigint>, whole binary")
+    codes = encode_words(words.where("part = 0 and whole is null"), pieces, PARTITIONS * buckets)
+    answers = words.join(codes, "word", "left").select("blocks", "word", F.coalesce("whole", "code").alias("code")).mapInArrow(pack_codes, "block bigint, data binary")
     texts = rows.mapInArrow(texts_of, f"block bigint, ids array<{kind}>, data binary")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         join, f"id {kind}, ids array<int>, n_tokens int, exact boolean"

@@ -277,6 +277,15 @@ def test_encoding_against_brute_force(spark, pieces, scored):
     assert lattice.encode(df.limit(0), pieces).count() == 0
 
 
+def test_long_runs_and_pieces_over_words_are_encoded_whole(spark, pieces, scored):
+    joined = ["".join(words(40, 70 + n).split()) for n in range(6)]
+    texts = [*joined, "x " + joined[0] + "." * 150, "漢字" * 90, "aGVsbG8" * 40 + "==", "a_{bc}_{d} $_x;\r\n(_y)\r\n.", "wörter" * 30 + "🙂" * 70]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["id"]: r for r in lattice.encode(df, pieces).collect()}
+    assert all(r["exact"] for r in got.values())
+    assert [got[n]["ids"] for n in range(len(texts))] == [brute_word(" " + t, pieces, scored) for t in texts]
+
+
 # neighbours
 
 
