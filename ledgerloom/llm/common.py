@@ -58,6 +58,23 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def frequent(counts: DataFrame, most: int, n: str = "n") -> tuple[DataFrame, DataFrame]:
+    """The rows with the largest counts, at most ``most`` of them, and all other rows.
+
+    The cut lies between bins of the counts' logarithm, so the bound holds whatever the counts are, and
+    only the bins' sizes (a few hundred numbers) reach the driver. Counts must be 1 or more.
+    """
+    bins = counts.withColumn("__bin", F.floor(F.log2(n) * 8).cast("int"))
+    held, cut = 0, None
+    for row in sorted(bins.groupBy("__bin").agg(F.count(F.lit(1)).alias("rows")).collect(), reverse=True):
+        held += row["rows"]
+        if held > most:
+            break
+        cut = row["__bin"]
+    high = F.lit(False) if cut is None else F.col("__bin") >= cut
+    return bins.where(high).drop("__bin"), bins.where(~high).drop("__bin")
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable node of every linked node: (node, root), by alternating stars.
 
