@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +58,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def spans(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of about ``most`` characters in all, one text at least."""
+    start = chars = 0
+    for at, text in enumerate(texts):
+        if at > start and chars >= most:
+            yield start, at
+            start, chars = at, 0
+        chars += len(text or "")
+    if texts:
+        yield start, len(texts)
+
+
 def frequent(counts: DataFrame, most: int, n: str = "n") -> tuple[DataFrame, DataFrame]:
     """The rows with the largest counts, at most ``most`` of them, and all other rows.
 
