@@ -12,14 +12,17 @@ pairs, whose number is bounded whatever the corpus, go to every task; the others
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import frequent, pick, query, table
+from ledgerloom.llm.common import frequent, pick, query, spans, table
 from ledgerloom.sources.staging import stage
 
 #: Public vocabularies; any paths of the same kinds can be given.
@@ -27,8 +30,8 @@ BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs of ids that every task gets.
 FREQUENT = 1 << 18
-#: Characters of text in a batch; characters of distinct parts whose answers a task keeps for later batches.
-BATCH, KEPT = 4_000_000, 3_000_000
+#: Characters of text in a batch, and of the distinct parts that are tokenised as one text.
+BATCH, JOINED = 8_000_000, 50_000
 #: Links of a group up to which they are listed singly; beyond it distinct pairs are counted instead.
 LISTED = 4096
 _MARK = "▁"
@@ -49,6 +52,7 @@ class Pair:
     def __init__(self, byte_model: str, piece_model: str) -> None:
         import os
 
+        import numpy as np
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -65,6 +69,7 @@ class Pair:
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)
         ]
+        self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         # a piece that holds a space after another character would reach over a cut
         self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in pieces)
 
@@ -76,11 +81,40 @@ class Pair:
             return [p[1:] for p in _CUT.split(" " + text)]
         return text.split(" ")
 
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        return (
-            [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)],
-            self.b.encode(parts, num_threads=1),
-        )
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+        """Ids of each text with a space before it, by both sides, and whether both give its bytes back."""
+        a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        b = self.b.encode(texts, num_threads=1)
+        a_bytes, b_bytes = self.a_bytes.__getitem__, self.b_bytes.__getitem__
+        good = [
+            b"".join(map(a_bytes, x)) == (" " + t).encode() == b"".join(map(b_bytes, y)) for x, y, t in zip(a, b, texts, strict=True)
+        ]
+        return a, b, good
+
+    def encode_parts(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]], list[list[int]], list[int]]:
+        """(ids of a, ids of b, numbers of the parts) by texts, and the parts whose bytes are not given back.
+
+        Parts without white space at their ends are tokenised side by side in long texts, for no token
+        reaches over a cut; where such a text is not given back, its parts are tokenised one by one.
+        """
+        texts, numbers, single, chars = [], [], [], JOINED
+        for at, part in enumerate(parts):
+            if not self.cuts or part[:1].isspace() or part[-1:].isspace() or not part:
+                single.append(at)
+                continue
+            if chars >= JOINED:
+                numbers.append([])
+                chars = 0
+            numbers[-1].append(at)
+            chars += len(part)
+        texts = [" ".join([parts[at] for at in held]) for held in numbers]
+        a, b, good = self.encode(texts)
+        single += [at for held, g in zip(numbers, good, strict=True) if not g for at in held]
+        a1, b1, good1 = self.encode([parts[at] for at in single])
+        bad = [at for at, g in zip(single, good1, strict=True) if not g]
+        whole = [(x, y, n) for x, y, n, g in zip(a, b, numbers, good, strict=True) if g]
+        whole += [(x, y, [n]) for x, y, n, g in zip(a1, b1, single, good1, strict=True) if g]
+        return [w[0] for w in whole], [w[1] for w in whole], [w[2] for w in whole], bad
 
 
 @lru_cache(maxsize=2)
@@ -97,94 +131,118 @@ def coalesce(starts, ends):
     return order, np.r_[True, starts[order][1:] >= reached[:-1]][: len(order)]
 
 
-def align_parts(a_ids: list, b_ids: list, a_bytes: list, b_bytes: list, texts: list[bytes]) -> list[tuple | None]:
-    """For each text (n_a, n_b, n_groups, n_links, groups as text, pairs, links of the pairs); None if bytes differ.
+@dataclass
+class Parts:
+    """Alignments of distinct parts by number: sizes, groups as text, and a run of (pair, links) for each."""
+
+    n_a: object
+    n_b: object
+    n_groups: object
+    n_links: object
+    groups: list[str]
+    pairs: object
+    links: object
+    ends: object
 
-    A pair is a's id * 2**32 + b's id; both lists are int64 as bytes.
+
+def align_parts(a_ids: list, b_ids: list, numbers: list, sizes, a_size, b_size) -> Parts:
+    """Groups and linked pairs of every part.
+
+    ``numbers``: the parts of each tokenised text in order; ``sizes``: bytes of all parts, 0 for one that is in no text;
+    ``a_size`` and ``b_size``: bytes of the ids. A pair is a's id * 2**32 + b's id.
     """
     import numpy as np
 
-    good = [
-        b"".join([a_bytes[i] for i in a]) == t == b"".join([b_bytes[i] for i in b])
-        for a, b, t in zip(a_ids, b_ids, texts, strict=True)
-    ]
-    rows = [at for at, g in enumerate(good) if g and texts[at]]
-    out: list[tuple | None] = [(0, 0, 0, 0, "", b"", b"") if g else None for g in good]
-    if not rows:
-        return out
-    sides = []
-    for ids, values in ((a_ids, a_bytes), (b_ids, b_bytes)):
-        counts = np.array([len(ids[at]) for at in rows])
-        flat = np.fromiter((i for at in rows for i in ids[at]), np.int64, counts.sum())
-        ends = np.cumsum(np.fromiter((len(values[i]) for i in flat.tolist()), np.int64, len(flat)))
-        sides.append((counts, flat, np.r_[0, ends[:-1]], ends))
-    (n_a, a, a_from, a_to), (n_b, b, b_from, b_to) = sides
-    order, first = coalesce(np.r_[a_from, b_from], np.r_[a_to, b_to])
-    group = np.empty(len(order), np.int64)
-    group[order] = np.cumsum(first) - 1
-    ga, gb, size = group[: len(a)], group[len(a):], int(first.sum())
-    in_a, in_b = np.bincount(ga, minlength=size), np.bincount(gb, minlength=size)
+    order = np.array([n for held in numbers for n in held], np.int64)
+    stops = np.cumsum(sizes[order])
+    sides, tokens = [], []
+    for ids, size in ((a_ids, a_size), (b_ids, b_size)):
+        flat = np.fromiter((i for x in ids for i in x), np.int64, sum(map(len, ids)))
+        ends = np.cumsum(size[flat])
+        sides.append((flat, ends - size[flat], ends))
+        held = np.zeros(len(sizes), np.int64)
+        held[order] = np.diff(np.searchsorted(ends, stops, "right"), prepend=0)
+        tokens.append(held)
+    (a, a_from, a_to), (b, b_from, b_to) = sides
+    sort, first = coalesce(np.r_[a_from, b_from], np.r_[a_to, b_to])
+    group = np.empty(len(sort), np.int64)
+    group[sort] = np.cumsum(first) - 1
+    ga, gb, count = group[: len(a)], group[len(a):], int(first.sum())
+    in_a, in_b = np.bincount(ga, minlength=count), np.bincount(gb, minlength=count)
     from_a, from_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
-    # every text ends with the end of a group
-    text_end = ga[np.cumsum(n_a) - 1] + 1
-    text_from = np.r_[0, text_end[:-1]]
+    # every part ends with the end of a group
+    last = np.searchsorted(a_to[from_a + in_a - 1], stops, "right") if count else np.zeros(0, np.int64)
+    n_groups, n_links = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    n_groups[order] = np.diff(last, prepend=0)
     links = in_a * in_b
-    total = np.add.reduceat(links, text_from)
+    n_links[order] = np.diff(np.r_[0, np.cumsum(links)][last], prepend=0)
 
     # listed links: the token of side a is repeated for each token of side b in its group
-    small = links <= LISTED
-    n = np.where(small, links, 0)
+    n = np.where(links <= LISTED, links, 0)
     at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     wide = np.repeat(in_b, n)
-    pair = (a[np.repeat(from_a, n) + at // wide] << 32) | b[np.repeat(from_b, n) + at % wide]
-    ends = np.r_[0, np.cumsum(n)]
+    pairs = (a[np.repeat(from_a, n) + at // wide] << 32) | b[np.repeat(from_b, n) + at % wide]
+    owner = np.repeat(np.repeat(order, n_groups[order]), n)
+    weight = np.ones(len(pairs), np.int64)
+    for g in np.flatnonzero(links > LISTED):
+        ua, ca = np.unique(a[from_a[g]: from_a[g] + in_a[g]], return_counts=True)
+        ub, cb = np.unique(b[from_b[g]: from_b[g] + in_b[g]], return_counts=True)
+        pairs, weight = np.r_[pairs, ((ua << 32)[:, None] | ub).ravel()], np.r_[weight, (ca[:, None] * cb).ravel()]
+        owner = np.r_[owner, np.full(len(ua) * len(ub), order[np.searchsorted(last, g, "right")])]
+    by_part = np.argsort(owner, kind="stable")
 
     words_a, words_b = [f"{i}" for i in a.tolist()], [f"{i}" for i in b.tolist()]
     shown = [
-        f"{','.join(words_a[i: i + k])}|{','.join(words_b[j: j + m])}"
+        f"{words_a[i]}|{words_b[j]}" if k == m == 1 else f"{','.join(words_a[i: i + k])}|{','.join(words_b[j: j + m])}"
         for i, k, j, m in zip(from_a.tolist(), in_a.tolist(), from_b.tolist(), in_b.tolist(), strict=True)
     ]
-    for row, start, end, ka, kb, all_links in zip(rows, text_from.tolist(), text_end.tolist(), n_a.tolist(), n_b.tolist(), total.tolist(), strict=True):
-        pairs = [pair[ends[start]: ends[end]]]
-        weights = [np.ones(len(pairs[0]), np.int64)]
-        for g in np.flatnonzero(~small[start:end]) + start:
-            ua, ca = np.unique(a[from_a[g]: from_a[g] + in_a[g]], return_counts=True)
-            ub, cb = np.unique(b[from_b[g]: from_b[g] + in_b[g]], return_counts=True)
-            pairs.append(((ua << 32)[:, None] | ub).ravel())
-            weights.append((ca[:, None] * cb).ravel())
-        out[row] = (ka, kb, end - start, all_links, ";".join(shown[start:end]), np.concatenate(pairs).tobytes(), np.concatenate(weights).tobytes())
-    return out
-
-
-class Aligner:
-    """Alignments of texts; answers of distinct parts are kept for later texts up to ``KEPT`` characters."""
-
-    def __init__(self, pair: Pair) -> None:
-        self.pair, self.known, self.chars = pair, {}, 0
-
-    def __call__(self, texts: list[str | None]) -> list[tuple | None]:
-        split = [self.pair.parts(t) if t else [] for t in texts]
-        if self.chars > KEPT:
-            self.known, self.chars = {}, 0
-        new = list({p for parts in split for p in parts} - self.known.keys())
-        self.chars += sum(map(len, new)) + 16 * len(new)
-        if new:
-            a, b = self.pair.encode(new)
-            found = align_parts(a, b, self.pair.a_bytes, self.pair.b_bytes, [(" " + p).encode() for p in new])
-            self.known.update(zip(new, found, strict=True))
-        return [self._joined([self.known[p] for p in parts]) for parts in split]
-
-    @staticmethod
-    def _joined(parts: list[tuple | None]) -> tuple | None:
-        """n_a, n_b, n_groups, n_links, groups, distinct pairs, their links; None without tokens."""
-        import numpy as np
+    groups = [""] * len(sizes)
+    start = 0
+    for part, end in zip(order.tolist(), last.tolist(), strict=True):
+        groups[part] = shown[start] if end == start + 1 else ";".join(shown[start:end])
+        start = end
+    return Parts(
+        *tokens, n_groups, n_links, groups, pairs[by_part], weight[by_part], np.cumsum(np.bincount(owner, minlength=len(sizes)))
+    )
+
+
+def align_texts(pair: Pair, texts: list[str | None]) -> tuple:
+    """Of each text n_a, n_b, n_groups, n_links (a matrix) and the groups; the pairs, their links, and where a text's pairs end."""
+    import numpy as np
 
-        if not parts or None in parts:
-            return None
-        a, b, groups, links, shown, pairs, weights = zip(*parts, strict=True)
-        values, at = np.unique(np.frombuffer(b"".join(pairs), np.int64), return_inverse=True)
-        held = np.bincount(at, np.frombuffer(b"".join(weights), np.int64), len(values)).astype(np.int64)
-        return sum(a), sum(b), sum(groups), sum(links), ";".join(shown), values, held
+    split = [pair.parts(t) if t else [] for t in texts]
+    place: dict[str, int] = defaultdict()
+    place.default_factory = place.__len__
+    at = np.fromiter((place[p] for parts in split for p in parts), np.int64, sum(map(len, split)))
+    distinct = list(place)
+    a, b, numbers, bad = pair.encode_parts(distinct)
+    sizes = np.array([len(p.encode()) + 1 for p in distinct], np.int64)
+    sizes[bad] = 0
+    parts = align_parts(a, b, numbers, sizes, pair.a_size, pair.b_size)
+    stops = np.cumsum([0, *map(len, split)])
+    # texts with a part that is not given back have no tokens
+    lost = np.zeros(len(distinct), np.int64)
+    lost[bad] = 1
+    kept = np.diff(np.r_[0, np.cumsum(lost[at])][stops]) == 0
+    own = np.repeat(np.arange(len(texts)), np.diff(stops))
+    at, own = at[kept[own]], own[kept[own]]
+    stops = np.searchsorted(own, np.arange(len(texts) + 1))
+    numbers = np.stack([
+        np.diff(np.r_[0, np.cumsum(x[at])][stops]) for x in (parts.n_a, parts.n_b, parts.n_groups, parts.n_links)
+    ], axis=1)
+    spelled = list(map(parts.groups.__getitem__, at.tolist()))
+    shown = [";".join(spelled[i:j]) for i, j in itertools.pairwise(stops.tolist())]
+
+    begins = np.r_[0, parts.ends[:-1]]
+    n = (parts.ends - begins)[at]
+    where = np.arange(n.sum()) + np.repeat(begins[at] - (np.cumsum(n) - n), n)
+    values, rank = np.unique(parts.pairs, return_inverse=True)
+    codes = np.repeat(own, n) * max(len(values), 1) + rank[where]
+    order = np.argsort(codes, kind="stable")
+    held, starts = np.unique(codes[order], return_index=True)
+    links = np.add.reduceat(parts.links[where][order], starts) if len(held) else np.zeros(0, np.int64)
+    ends = np.searchsorted(held, np.arange(1, len(texts) + 1) * max(len(values), 1))
+    return numbers, shown, values[held % len(values)] if len(held) else held, links, ends
 
 
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_model: str = BYTE_MODEL,
@@ -206,30 +264,19 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_
         import numpy as np
         import pyarrow as pa
 
-        aligner = Aligner(load(byte_model, piece_model))
+        pair = load(byte_model, piece_model)
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            start = 0
-            while start < len(texts):
-                end, chars = start, 0
-                while end < len(texts) and (end == start or chars < BATCH):
-                    chars += len(texts[end] or "")
-                    end += 1
-                found = aligner(texts[start:end])
-                numbers = np.array([f[:4] if f else (0, 0, 0, 0) for f in found], np.int64)
-                shown = [f[4] if f else "" for f in found]
-                ends = pa.array(np.cumsum([0, *(len(f[5]) if f else 0 for f in found)]).astype(np.int32))
-                lists = [
-                    pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int64), *(f[at] for f in found if f)])))
-                    for at in (5, 6)
-                ]
+            for start, end in spans(texts, BATCH):
+                numbers, shown, pairs, links, ends = align_texts(pair, texts[start:end])
+                ends = pa.array(np.r_[0, ends].astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     batch.column("row").slice(start, end - start), batch.column("id").slice(start, end - start),
                     *(pa.array(numbers[:, at]) for at in range(4)),
                     pa.array([s if keep_groups else None for s in shown], pa.string()),
-                    pa.array([hashlib.sha256(s.encode()).hexdigest() if s else "" for s in shown]), *lists,
+                    pa.array([hashlib.sha256(s.encode()).hexdigest() if s else "" for s in shown]),
+                    *(pa.ListArray.from_arrays(ends, pa.array(x)) for x in (pairs, links)),
                 ], ["row", "id", "n_a", "n_b", "n_groups", "n_links", "groups", "groups_sha256", "pairs", "links"])
-                start = end
 
     return rows.mapInArrow(
         run, f"row bigint, id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "

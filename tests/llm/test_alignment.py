@@ -90,30 +90,24 @@ def test_alignment_equals_offsets(spark, most):
 
 
 def test_large_groups_count_pairs_instead_of_listing(monkeypatch):
-    """Tokens of 2 and 3 letters over one run share one group; the answer does not depend on how links are held."""
-    values = [b"aa", b"aaa", b"aaaa", b"b"]
-    a, b = [[0] * 30 + [2]], [[1] * 21 + [3]]
-    texts = [b"a" * 64 + b"b"]
-    assert alignment.align_parts(a, b, values, values, texts) == [None]
-    a, b = [[0] * 30 + [2, 3]], [[1] * 21 + [3, 3]]
-    texts = [b"a" * 63 + b"bb"]
-    assert alignment.align_parts(a, b, values, values, texts) == [None]
-    a, b = [[0] * 33], [[1] * 22]
-    texts = [b"a" * 66]
+    """Where links of a group are many its pairs are counted; the answer does not depend on how links are held."""
+    size = np.array([2, 3, 4, 1])
     # every sixth byte ends both sides: 11 groups of 3 and 2 tokens
-    listed = alignment.align_parts(a, b, values, values, texts)[0]
-    assert listed[:4] == (33, 22, 11, 66)
-    a, b = [[2] * 30 + [1]], [[1, *[2] * 30]]
-    texts = [b"a" * 123]
-    whole = alignment.align_parts(a, b, values, values, texts)[0]
+    parts = alignment.align_parts([[0] * 33], [[1] * 22], [[0]], np.array([66]), size, size)
+    assert [x.tolist() for x in (parts.n_a, parts.n_b, parts.n_groups, parts.n_links)] == [[33], [22], [11], [66]]
+    # one group of 31 and 31 tokens beside a part with a group of one token each
+    a, b, sizes = [[2] * 30 + [1, 3]], [[1, *[2] * 30, 3]], np.array([1, 0, 123])
+    whole = alignment.align_parts(a, b, [[2, 0]], sizes, size, size)
     monkeypatch.setattr(alignment, "LISTED", 10)
-    counted = alignment.align_parts(a, b, values, values, texts)[0]
-    assert whole[:5] == counted[:5] and whole[2] == 1 and whole[3] == 31 * 31
+    counted = alignment.align_parts(a, b, [[2, 0]], sizes, size, size)
+    assert whole.groups == counted.groups and whole.n_groups.tolist() == [1, 0, 1] and whole.n_links.tolist() == [1, 0, 31 * 31]
+    assert whole.groups[:2] == ["3|3", ""]
 
-    def links(row):
+    def links(parts):
         sums = Counter()
-        for p, n in zip(np.frombuffer(row[5], np.int64), np.frombuffer(row[6], np.int64), strict=True):
-            sums[p] += int(n)
+        owner = np.repeat(np.arange(3), np.diff(np.r_[0, parts.ends]))
+        for o, p, n in zip(owner.tolist(), parts.pairs.tolist(), parts.links.tolist(), strict=True):
+            sums[o, p] += n
         return sums
 
     assert links(whole) == links(counted)
@@ -151,3 +145,16 @@ def test_registered_query(spark):
         if r["doc_id"] in short:
             ((a, b, groups),) = brute([short[r["doc_id"]]])
             assert (r["n_a"], r["n_b"], r["n_groups"]) == (len(a), len(b), len(groups))
+
+
+def test_parts_that_are_not_given_back_empty_their_text_only():
+    pair = alignment.load(alignment.BYTE_MODEL, alignment.PIECE_MODEL)
+    kept = pair.b_bytes[5000]
+    texts = ["one two", "zwei " + kept.decode().strip() + " drei", "one three", None]
+    try:
+        pair.b_bytes[5000] = b"?"
+        numbers, shown, pairs, links, ends = alignment.align_texts(pair, texts)
+    finally:
+        pair.b_bytes[5000] = kept
+    assert numbers[:, 2].tolist() == [2, 0, 2, 0] or 5000 not in pair.b.encode(texts[1])
+    assert shown[3] == "" and ends[3] == ends[2] == len(pairs) == len(links)
