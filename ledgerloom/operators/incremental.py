@@ -12,6 +12,7 @@ from ledgerloom.operators.joins import anti_join, lookup_join, semi_join
 from ledgerloom.operators.ordering import dedup_by_key, first_rows, row_ids, total_order
 from ledgerloom.operators.quality import require_columns, require_non_empty, require_positive, require_unique
 from ledgerloom.sources.ledger import consumed_rank_max, inserted_entity_ids, write_entity_ids
+from ledgerloom.sources.staging import stage
 
 RANK = "holdout_rank"
 
@@ -45,25 +46,29 @@ class Batch:
 
 
 def next_batch(
-    ranks: DataFrame, manifests: DataFrame, rows: int, key: str, stored_ids: DataFrame | None = None
+    ranks: DataFrame, manifests: DataFrame, rows: int, key: str, stored_ids: DataFrame | None = None,
+    unique_ranks: bool = False,
 ) -> Batch:
     """Ids that follow the highest rank of an inserted manifest, up to ``rows`` of them.
 
-    Errors: no ids left, repeated ranks or ids, ids that were inserted before. Only the
-    rank mark, one number, comes to the driver.
+    Errors: no ids left, repeated ranks or ids, ids that were inserted before. ``unique_ranks`` says
+    that the ranks come from ``holdout_ranks``, which repeats none; others are checked in full. Only the
+    rank mark and the batch's bounds, a few numbers, come to the driver.
     """
     require_positive(rows, "rows")
     require_columns(ranks, [RANK, key], "holdout ids")
-    require_unique(ranks, RANK, RANK)
-    require_unique(ranks, key, key)
+    if not unique_ranks:
+        require_unique(ranks, RANK, RANK)
+        require_unique(ranks, key, key)
     consumed = consumed_rank_max(manifests).first()["consumed_rank_max"]
-    ids = rank_range(ranks, consumed + 1, consumed + rows)
-    require_non_empty(ids, "holdout batch")
+    ids = stage(rank_range(ranks, consumed + 1, consumed + rows).select(RANK, key), "batch")
+    last = ids.agg(F.max(RANK).alias("m")).first()["m"]
+    if last is None:
+        require_non_empty(ids, "holdout batch")
     overlap = semi_join(ids, inserted_entity_ids(manifests, key, stored_ids), key)
     taken = [str(r[key]) for r in overlap.orderBy(key).limit(10).collect()]
     if taken:
         raise ValueError(f"ids of the next batch were inserted before: {', '.join(taken)}")
-    last = ids.agg(F.max(RANK).alias("m")).first()["m"]
     return Batch(ids, consumed + 1, last, rows, consumed)
 
 

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions.naming import numeric_columns
 from ledgerloom.functions.numbers import ratio
 from ledgerloom.operators.ordering import exact_quantiles, first_rows
 from ledgerloom.operators.quality import _long
+from ledgerloom.sources.commits import Conflict
+from ledgerloom.sources.versions import VersionedTable
 
 # Pairs up to this number are one built-in aggregate each; more are summed per batch.
 MAX_CORR_AGGREGATES = 300
@@ -191,10 +195,48 @@ def describe_numeric(df: DataFrame) -> DataFrame:
     return _long(basic, columns, list(fields)).join(named, "column", "left")
 
 
+def _sample_hash(key: Sequence[str], seed: int):
+    return F.md5(F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in key], F.lit(str(seed))))
+
+
 def reproducible_sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """``n`` rows chosen by the md5 of key and seed; a smaller table comes back whole."""
-    text = F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in key], F.lit(str(seed)))
-    return first_rows(df.withColumn("__h", F.md5(text)), ["__h", *key], n).drop("__h")
+    """``n`` rows chosen by the md5 of key and seed; a smaller table comes back whole.
+
+    The rows with the smallest hashes are the sample. The row count tells below which hash they must lie, so one scan keeps
+    little more than ``n`` rows and only those are ordered; a bound that keeps too few is doubled.
+    """
+    hashed = df.withColumn("__h", _sample_hash(key, seed))
+    total = df.count()
+    share = 1.0 if total <= n else min(1.0, (n + 8 * math.sqrt(n) + 32) / total)
+    while share < 1.0:
+        # the first 15 hexadecimal digits are a number below 2**60
+        low = hashed.where(F.conv(F.left("__h", F.lit(15)), 16, 10).cast("bigint") < F.lit(int(share * (1 << 60))))
+        if low.count() >= n:
+            hashed = low
+            break
+        share *= 2
+    return first_rows(hashed, ["__h", *key], n).drop("__h")
+
+
+def running_sample(state: DataFrame | None, batch: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
+    """The sample of all rows so far from that of the earlier ones and a batch: the same for any split into batches."""
+    rows = reproducible_sample(batch, n, key, seed)
+    return rows if state is None else reproducible_sample(state.unionByName(rows), n, key, seed)
+
+
+def maintain_sample(stream: DataFrame, output: str, checkpoint: str, n: int, key: Sequence[str], seed: int = 42) -> StreamingQuery:
+    """Keep the sample of a stream's rows in the versioned table ``output``; a batch that is redone counts once."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table = VersionedTable(batch.sparkSession, output)
+        name = f"{checkpoint}#{batch_id}"
+        while name not in table.inputs():
+            state = table.read() if table.version() else None
+            try:
+                table.replace(running_sample(state, batch, n, key, seed), [name])
+            except Conflict:
+                continue
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +24,15 @@ from ledgerloom.operators.profile import throughput
 from ledgerloom.sources.ledger import (
     MANIFEST,
     MODEL_RESULT,
-    read_entity_ids,
+    claim_ranks,
+    has_run,
     read_ledger,
     update_manifest,
     write_manifest,
 )
-from ledgerloom.sources.tables import exists, write_metrics, write_table
+from ledgerloom.sources.tables import exists, write_metrics
+from ledgerloom.sources.versions import append_rows, open_rows
+from ledgerloom.streaming.report_stream import read_report, refresh_report
 
 
 def ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,24 +45,28 @@ def ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 def insert_batch(
     spark: SparkSession, ranks: DataFrame, source: DataFrame, folder: str, table: str, run_id: str,
-    rows: int, key: str, target: str, mode: str = "inserted",
+    rows: int, key: str, target: str, mode: str = "inserted", unique_ranks: bool = False,
 ) -> DataFrame:
     """Append the next batch to ``table`` and record it; returns the manifest.
 
-    ``mode`` planned writes nothing, manifest_only does not append. The manifest is written
+    ``mode`` planned writes nothing, manifest_only does not append. The ranks are claimed before
+    anything is written, so of two writers one fails or takes the ranks after the other's. The manifest is written
     last: a run that died before it starts over, and rows it had appended are not repeated.
     """
-    if exists(spark, f"{folder}/{run_id}"):
-        raise FileExistsError(f"manifest of run {run_id!r} already exists")
-    batch = next_batch(ranks, ledger(spark, folder), rows, key, read_entity_ids(spark, folder))
+    if has_run(spark, folder, run_id):
+        raise FileExistsError(f"the ledger {folder} has run {run_id!r} already")
+    while True:
+        batch = next_batch(ranks, ledger(spark, folder), rows, key, unique_ranks=unique_ranks)
+        if mode != "inserted" or claim_ranks(spark, folder, run_id, batch.start_rank, batch.end_rank):
+            break
     prepared = prepare_batch(batch, source, key, target)
     manifest = batch_manifest(
         batch, run_id, mode, key, target in source.columns, None if mode == "planned" else folder
     )
     if mode == "inserted":
         if exists(spark, table):
-            prepared = anti_join(prepared, spark.read.parquet(table).select(key), key)
-        write_table(prepared, table, "append")
+            prepared = anti_join(prepared, open_rows(spark, table).select(key), key)
+        append_rows(prepared, table)
     if mode != "planned":
         write_manifest(manifest, folder, run_id)
     return manifest
@@ -67,17 +74,20 @@ def insert_batch(
 
 def refresh_batch(
     spark: SparkSession, staging: DataFrame, storage: str, ids: DataFrame, key: str,
-    report_rows: DataFrame | None = None, folder: str | None = None, run_id: str | None = None,
+    report: str | None = None, folder: str | None = None, run_id: str | None = None,
+    dictionaries: Callable[[], Mapping[str, DataFrame]] = dict,
 ) -> DataFrame:
-    """Append the batch's staging rows to storage and count what belongs to the batch.
+    """Append the batch's staging rows to storage, bring the report up to date, and count what belongs to the batch.
 
-    With the ledger's ``folder`` and the run the counts are recorded in its manifest.
+    The report takes every storage file that it does not hold yet, with the dictionaries as they are now. With
+    the ledger's ``folder`` and the run the counts are recorded in its manifest.
     """
-    stored = spark.read.parquet(storage)
-    write_table(refresh_rows(staging, stored, ids, key).select(*stored.columns), storage, "append")
-    counted = {"storage_count": spark.read.parquet(storage)}
-    if report_rows is not None:
-        counted["reporting_count"] = report_rows
+    stored = open_rows(spark, storage)
+    append_rows(refresh_rows(staging, stored, ids, key).select(*stored.columns), storage)
+    counted = {"storage_count": open_rows(spark, storage)}
+    if report is not None:
+        refresh_report(spark, storage, report, dictionaries)
+        counted["reporting_count"] = read_report(spark, report)
     counts = scoped_counts(ids, counted, key)
     if folder is not None and run_id is not None:
         update_manifest(spark, folder, run_id, dw_refresh={"status": "refreshed", **counts.first().asDict()})

@@ -17,15 +17,19 @@ from ledgerloom.operators.incremental import (
     scoped_counts,
 )
 from ledgerloom.operators.ordering import row_ids
+from ledgerloom.plans.deployment import insert_batch
 from ledgerloom.plans.registry.base import APPLICATIONS_SQL, CREDITS_SQL, applications, credits, query, table
 from ledgerloom.sources.ledger import (
     consumed_rank_max,
     inserted_entity_ids,
     latest_results,
     parse_manifests,
+    read_id_rows,
     read_ledger,
     run_status,
+    update_manifest,
     upsert_results,
+    write_entity_ids,
     write_manifest,
 )
 from ledgerloom.sources.staging import staging_path
@@ -138,7 +142,7 @@ def _inserted_large(spark, root):
     ids = table(spark, root, "orders").select(F.col("o_orderkey").alias(KEY))
     placed = row_ids(ids, RANK, [F.col(KEY)], start=1, unique_order=True)
     folder = staging_path(spark, "runs")
-    batch = next_batch(placed, manifests(spark, root).limit(0), 1 << 40, KEY)
+    batch = next_batch(placed, manifests(spark, root).limit(0), 1 << 40, KEY, unique_ranks=True)
     write_manifest(batch_manifest(batch, "all", "inserted", KEY, True, folder), folder, "all")
     return inserted_entity_ids(read_ledger(spark, folder), KEY)
 
@@ -154,7 +158,7 @@ _NEXT_SQL = f"""(SELECT holdout_rank, "SK_ID_CURR" FROM {RANKS_SQL} WHERE holdou
  WHERE "SK_ID_CURR" IN (SELECT "SK_ID_CURR" FROM {_NEXT_SQL})""",
 )
 def _next(spark, root):
-    batch = next_batch(ranks(spark, root), manifests(spark, root), 100, KEY)
+    batch = next_batch(ranks(spark, root), manifests(spark, root), 100, KEY, unique_ranks=True)
     return prepare_batch(batch, applications(spark, root), KEY, TARGET)
 
 
@@ -167,7 +171,7 @@ def _next(spark, root):
 )
 def _manifest(spark, root):
     """The manifest is written to the ledger folder and read back."""
-    batch = next_batch(ranks(spark, root), manifests(spark, root), 100, KEY)
+    batch = next_batch(ranks(spark, root), manifests(spark, root), 100, KEY, unique_ranks=True)
     folder = staging_path(spark, "runs")
     write_manifest(batch_manifest(batch, "prod_next", "inserted", KEY, True), folder, "prod_next")
     return read_ledger(spark, folder).select(
@@ -176,13 +180,51 @@ def _manifest(spark, root):
     )
 
 
+_RUNS_OF = 15
+
+
+@query(
+    "batches_in_turn",
+    f"""SELECT CASE WHEN holdout_rank <= {_RUNS_OF} THEN 'r1' ELSE 'r2' END AS run_id, 'refreshed' AS refresh,
+ count(*) AS rows_inserted, min(holdout_rank) AS holdout_start_rank, max(holdout_rank) AS holdout_end_rank, sum("SK_ID_CURR")::BIGINT AS id_sum
+ FROM {RANKS_SQL} WHERE holdout_rank <= {2 * _RUNS_OF} GROUP BY 1""",
+)
+def _in_turn(spark, root):
+    """Two runs claim their ranks, append, commit their manifests, and commit a further version of them."""
+    placed, source = ranks(spark, root), applications(spark, root)
+    folder, storage = staging_path(spark, "runs"), staging_path(spark, "table")
+    for run in ("r1", "r2"):
+        insert_batch(spark, placed, source, folder, storage, run, _RUNS_OF, KEY, TARGET, unique_ranks=True)
+        update_manifest(spark, folder, run, dw_refresh={"status": "refreshed"})
+    found = read_ledger(spark, folder).select("run_id", "dw_refresh.status", "rows_inserted", "holdout_start_rank", "holdout_end_rank")
+    stored = spark.read.parquet(storage).select(KEY)
+    sums = read_id_rows(spark, f"{folder}_ids").join(stored, KEY, "left_semi").groupBy("run_id").agg(F.sum(KEY).cast("bigint").alias("id_sum"))
+    return found.withColumnRenamed("status", "refresh").join(sums, "run_id")
+
+
+@query(
+    "inserted_ids_folders",
+    """SELECT o_orderkey AS "SK_ID_CURR" FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+)
+def _inserted_folders(spark, root):
+    """Manifests of one ledger may name ids below several folders."""
+    ids = table(spark, root, "orders").select(F.col("o_orderkey").alias(KEY), "o_orderstatus")
+    folders = {s: staging_path(spark, f"runs-{s}") for s in ("F", "O")}
+    rows = []
+    for end, (status, folder) in enumerate(folders.items(), 1):
+        path = write_entity_ids(ids.where(F.col("o_orderstatus") == status), folder, f"run_{status}", KEY)
+        rows.append((f'{{"run_id": "run_{status}", "status": "inserted", "rows_inserted": 1, "holdout_end_rank": {end}, "entity_ids_path": "{path}"}}',))
+    found = parse_manifests(spark.createDataFrame(rows, "document string"), "document")
+    return inserted_entity_ids(found, KEY)
+
+
 @query(
     "preflight_duplicates",
     f"""SELECT "SK_ID_CURR", count(*) AS rows FROM {CREDITS_SQL}
  WHERE "SK_ID_CURR" IN (SELECT "SK_ID_CURR" FROM {_NEXT_SQL}) GROUP BY 1""",
 )
 def _preflight(spark, root):
-    batch = next_batch(ranks(spark, root), manifests(spark, root), 100, KEY)
+    batch = next_batch(ranks(spark, root), manifests(spark, root), 100, KEY, unique_ranks=True)
     return already_stored(credits(spark, root), batch.ids.select(KEY), KEY)
 
 
@@ -193,7 +235,7 @@ def _preflight(spark, root):
  (SELECT count(*) FROM {APPLICATIONS_SQL} WHERE "SK_ID_CURR" IN (SELECT "SK_ID_CURR" FROM {_NEXT_SQL})) AS application""",
 )
 def _counts(spark, root):
-    batch = next_batch(ranks(spark, root), manifests(spark, root), 100, KEY)
+    batch = next_batch(ranks(spark, root), manifests(spark, root), 100, KEY, unique_ranks=True)
     tables = {"bureau": credits(spark, root), "application": applications(spark, root)}
     return scoped_counts(batch.ids.select(KEY), tables, KEY)
 

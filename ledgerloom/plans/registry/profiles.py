@@ -14,11 +14,14 @@ from ledgerloom.operators.profile import (
     low_variance,
     profile_tables,
     reproducible_sample,
+    running_sample,
     target_correlation,
     throughput,
 )
 from ledgerloom.plans.registry.base import APPLICATIONS_SQL, applications, fixed, fixed_sql, query, table
 from ledgerloom.sources.catalog import storage_footprint, table_summary
+from ledgerloom.sources.staging import stage, staging_path
+from ledgerloom.sources.tables import write_table
 
 _ORDERS = """(SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'P') AS status, o_totalprice, o_orderdate FROM orders)"""
 
@@ -153,6 +156,21 @@ def _sample(spark, root):
     return reproducible_sample(o, 500, ["o_orderkey"], 42)
 
 
+@query(
+    "running_sample",
+    """SELECT o_orderkey, o_totalprice FROM (SELECT *, md5(o_orderkey::VARCHAR || '|42') AS h FROM orders)
+ ORDER BY h, o_orderkey LIMIT 500""",
+)
+def _running(spark, root):
+    """Three batches of different sizes, the state kept between them, give the sample of the whole table."""
+    o = table(spark, root, "orders").select("o_orderkey", "o_totalprice")
+    state = None
+    for low, high in ((0, 1), (1, 2), (2, 7)):
+        batch = o.where((F.col("o_orderkey") % 7 >= low) & (F.col("o_orderkey") % 7 < high))
+        state = stage(running_sample(state, batch, 500, ["o_orderkey"], 42), "sample")
+    return state
+
+
 @query(
     "table_summary",
     " UNION ALL ".join(
@@ -164,6 +182,19 @@ def _summary(spark, root):
     return table_summary({t: table(spark, root, t) for t in ("customer", "orders", "lineitem", "documents")})
 
 
+@query(
+    "storage_footprint_rows",
+    """SELECT 'orders' AS "table", count(*) AS rows, true AS stored FROM orders
+ UNION ALL SELECT 'nothing', 0, true""",
+)
+def _footprint_rows(spark, root):
+    """A table without rows has files and bytes too."""
+    path = staging_path(spark, "nothing")
+    write_table(table(spark, root, "orders").limit(0), path)
+    found = storage_footprint({"orders": table(spark, root, "orders"), "nothing": spark.read.parquet(path)})
+    return found.select("table", "rows", ((F.col("files") > 0) & (F.col("bytes") > 0)).alias("stored"))
+
+
 @query("storage_footprint")
 def _footprint(spark, root):
     return storage_footprint({t: table(spark, root, t) for t in ("customer", "orders", "lineitem", "events")})

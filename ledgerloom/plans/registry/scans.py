@@ -13,6 +13,7 @@ from ledgerloom.operators.incremental import first_n, id_range, top_n, top_n_pre
 from ledgerloom.operators.joins import semi_join
 from ledgerloom.operators.ordering import dedup_by_key, page_of, row_ids, sorted_slice, total_order
 from ledgerloom.operators.quality import range_exclusion
+from ledgerloom.plans.maintenance import backup_rows, delete_rows, restore_rows
 from ledgerloom.plans.registry.base import fixed, fixed_sql, query, table
 from ledgerloom.sources.catalog import drop_columns
 from ledgerloom.sources.staging import staging_path
@@ -28,6 +29,7 @@ from ledgerloom.sources.tables import (
     write_csv,
     write_table,
 )
+from ledgerloom.sources.versions import VersionedTable
 
 
 def _rows(tables):
@@ -180,6 +182,43 @@ def _delete(spark, root):
     return without_top_n(o, "o_totalprice", _TOP)
 
 
+@query(
+    "versioned_replace",
+    """SELECT 1 AS version, c_custkey, c_acctbal FROM customer
+ UNION ALL SELECT 2, c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0
+ UNION ALL SELECT 3, c_custkey, c_acctbal FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT 3, s_suppkey, s_acctbal FROM supplier""",
+)
+def _versions(spark, root):
+    """A table is replaced by rows read from itself, then appended to; every version stays readable."""
+    table_of = VersionedTable(spark, staging_path(spark, "versions"))
+    columns = ["c_custkey", "c_acctbal"]
+    table_of.replace(table(spark, root, "customer").select(*columns))
+    table_of.replace(table_of.read().where("c_acctbal >= 0"))
+    table_of.append(table(spark, root, "supplier").select("s_suppkey", "s_acctbal").toDF(*columns))
+    rows = [table_of.read(v).withColumn("version", F.lit(v)) for v in (1, 2, 3)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).select("version", *columns)
+
+
+@query(
+    "versioned_delete_restore",
+    f"""WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey DESC) AS rn FROM orders)
+ SELECT 2 AS version, o_orderkey, o_totalprice FROM r WHERE rn > {_TOP}
+ UNION ALL SELECT 3, o_orderkey, o_totalprice FROM r WHERE rn > {_TOP}
+ UNION ALL SELECT 3, o_orderkey, o_totalprice FROM (SELECT * FROM r WHERE rn <= {_TOP} ORDER BY o_orderkey LIMIT 50)""",
+)
+def _versioned_delete(spark, root):
+    """The latest rows are backed up, deleted by rewriting the files that hold them, and some restored."""
+    o = table(spark, root, "orders").select("o_orderkey", "o_totalprice").repartitionByRange(8, "o_orderkey")
+    path, backup = staging_path(spark, "versions"), staging_path(spark, "backup")
+    table_of = VersionedTable(spark, path)
+    table_of.replace(o)
+    backup_rows(table_of.read(), "o_orderkey", _TOP, backup)
+    delete_rows(spark, path, "o_orderkey", _TOP)
+    restore_rows(spark, backup, path, ["o_orderkey"], 50)
+    rows = [table_of.read(v).withColumn("version", F.lit(v)) for v in (2, 3)]
+    return rows[0].unionByName(rows[1]).select("version", "o_orderkey", "o_totalprice")
+
+
 # many lines share a quantity: exactly n of the tied rows go
 @query(
     "delete_top_n_ties",

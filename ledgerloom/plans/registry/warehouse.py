@@ -7,15 +7,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.incremental import refresh_rows, scoped_counts
 from ledgerloom.operators.lookup import report
 from ledgerloom.operators.quality import table_fingerprint
+from ledgerloom.plans.deployment import refresh_batch
 from ledgerloom.plans.registry.base import CREDITS_SQL, credits, query, table
 from ledgerloom.plans.registry.lookups import normalized_orders
 from ledgerloom.plans.warehouse import build_dictionaries, build_warehouse, storage_layout, with_row_id
 from ledgerloom.sources.staging import staging_path
 from ledgerloom.sources.tables import write_table
-from ledgerloom.streaming.report_stream import maintain_report, read_report, storage_stream
+from ledgerloom.streaming.report_stream import maintain_report, read_report, refresh_report, storage_stream
 
 _ORDERS = """(SELECT o_orderkey, o_custkey, o_orderstatus AS "STATUS",
  nullif(o_orderpriority, '3-MEDIUM') AS "PRIORITY" FROM orders)"""
@@ -82,20 +82,32 @@ _BATCH = "(SELECT c_custkey FROM customer WHERE c_acctbal < 0)"
     "refresh_scope",
     f"""SELECT (SELECT count(*) FROM {_BATCH}) AS entity_count,
  (SELECT count(*) FROM orders WHERE o_custkey IN {_BATCH}) AS storage_count,
- 0::BIGINT AS reporting_count""",
+ (SELECT count(*) FROM orders WHERE o_custkey IN {_BATCH}) AS reporting_count""",
 )
 def _refresh(spark, root):
-    """Batch ids are new to storage; the report table has not been told yet."""
+    """Batch ids are new to storage; the refresh brings storage and report up to date."""
     ids = table(spark, root, "customer").where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("SK_ID_CURR"))
     staging = credits(spark, root)
-    path = staging_path(spark, "storage")
-    write_table(staging.join(ids, "SK_ID_CURR", "left_anti"), path)
-    stored = spark.read.parquet(path)
-    report_path = staging_path(spark, "report")
-    write_table(stored, report_path)
-    write_table(refresh_rows(staging, stored, ids, "SK_ID_CURR"), path, "append")
-    tables = {"storage_count": spark.read.parquet(path), "reporting_count": spark.read.parquet(report_path)}
-    return scoped_counts(ids, tables, "SK_ID_CURR")
+    storage, output = staging_path(spark, "storage"), staging_path(spark, "report")
+    write_table(staging.join(ids, "SK_ID_CURR", "left_anti"), storage)
+    refresh_report(spark, storage, output)
+    return refresh_batch(spark, staging, storage, ids, "SK_ID_CURR", output)
+
+
+@query("report_refresh", f"SELECT * FROM {_ORDERS}")
+def _report_refresh(spark, root):
+    """A stream, a refresh and a stream with a new checkpoint share a report that holds every row once."""
+    fact, dims = normalized_orders(spark, root)
+    dictionaries = build_dictionaries(dims)
+    storage, output = staging_path(spark, "storage"), staging_path(spark, "report")
+    for part, state in enumerate(("first", None, "second")):
+        write_table(fact.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == part).select(*fact.columns), storage, "append")
+        if state is None:
+            refresh_report(spark, storage, output, lambda: dictionaries)
+        else:
+            stream = storage_stream(spark, storage, fact.schema)
+            maintain_report(stream, lambda: dictionaries, output, staging_path(spark, state)).awaitTermination()
+    return read_report(spark, output)
 
 
 _PRINT = """SELECT '{name}' AS "table", count(*) AS rows, sum(b)::VARCHAR AS digest_sum, bit_xor(b) AS digest_xor FROM

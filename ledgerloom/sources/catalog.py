@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.naming import DIMENSION_PREFIX
+from ledgerloom.operators.metrics import one_row
 from ledgerloom.operators.ordering import first_n_per_group
 
 
@@ -193,20 +194,23 @@ def table_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def storage_footprint(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table, rows, files, bytes, megabytes) from the files a scan reads."""
+    """(table, rows, files, bytes, megabytes) from the files a scan reads; files without rows count too."""
     parts = []
     for name, df in tables.items():
-        per_file = df.select(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
-        ).groupBy("path", "size").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(
-            per_file.agg(
-                F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")
-            ).select(
-                F.lit(name).alias("table"), "rows", "files", "bytes",
-                F.round(F.col("bytes") / F.lit(1024.0 * 1024.0), 6).alias("megabytes"),
+        rows = df.agg(F.count(F.lit(1)).alias("rows"))
+        files = df.inputFiles()
+        if files:
+            # the listing reads names and lengths, never the content
+            sizes = df.sparkSession.read.format("binaryFile").load(files).agg(
+                F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
             )
-        )
+        else:
+            sizes = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("files"), F.lit(0).cast("bigint").alias("bytes"))
+        # two frames of one row each
+        parts.append(one_row(rows, sizes).select(
+            F.lit(name).alias("table"), "rows", "files", "bytes",
+            F.round(F.col("bytes") / F.lit(1024.0 * 1024.0), 6).alias("megabytes"),
+        ))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -1,4 +1,7 @@
-"""Run ledger: manifests as JSON documents, one file per run, plus their entity ids as rows.
+"""Run ledger: manifests as JSON documents, numbered versions per run, plus their entity ids as rows.
+
+A manifest is never changed: an update is a further version, created only if no other writer created it, and the
+ledger is the fold over the versions. Ranks are claimed in the same way before a batch is written.
 
 The ids of a batch are a Parquet table partitioned by run. A manifest lists them only
 for batches of a bounded size; lists found in manifests written elsewhere are read too.
@@ -6,11 +9,14 @@ for batches of a bounded size; lists found in manifests written elsewhere are re
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sources.commits import CommitLog, Conflict
 from ledgerloom.sources.tables import exists
 
 MODEL_RESULT = T.StructType(
@@ -63,13 +69,18 @@ MANIFEST = T.StructType(
 
 
 def read_manifests(spark: SparkSession, path: str) -> DataFrame:
-    """Manifests of a folder, one document per file; documents that are not JSON are skipped."""
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    """Manifests of a folder: of a run with numbered versions the last one; documents that are not JSON are skipped."""
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
+    number = F.regexp_extract(name, r"^v(\d{8})$", 1)
     text = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-        .text(path, wholetext=True).select("value", stem.alias("stem"))
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "[!.]*.json").text(path, wholetext=True)
+        .select("value", name.alias("stem"), F.col("_metadata.file_path").alias("file"), number.try_cast("bigint").alias("version"))
     )
-    return parse_manifests(text, "value", "stem")
+    folder = F.regexp_replace("file", r"/[^/]*$", "")
+    # a document of other origin stands for itself, a version for the run whose folder it lies in
+    run = F.when(F.col("version").isNotNull(), folder).otherwise(F.col("file"))
+    last = text.groupBy(run.alias("run")).agg(F.max_by(F.struct("value", "stem"), F.coalesce("version", F.lit(0))).alias("m"))
+    return parse_manifests(last.select("m.*"), "value", "stem")
 
 
 def parse_manifests(documents: DataFrame, column: str, stem: str | None = None) -> DataFrame:
@@ -103,15 +114,17 @@ def inserted_entity_ids(
 ) -> DataFrame:
     """Distinct entity ids of inserted manifests: the rows at the paths they name, in ``stored``, and lists they hold."""
     inserted = manifests.where(is_inserted())
-    if stored is None and "entity_ids_path" in manifests.columns:
-        # ids of all runs lie below one folder; one path leads to it
-        named = inserted.where(F.col("entity_ids_path").isNotNull()).select("entity_ids_path").first()
-        if named is not None:
-            stored = read_id_rows(manifests.sparkSession, named[0].rpartition("/")[0])
     listed = inserted.select(F.explode("entity_ids").alias(key))
-    if stored is not None:
-        rows = stored.join(inserted.select("run_id").distinct(), "run_id", "left_semi")
-        listed = listed.unionByName(rows.select(F.col(key).cast("bigint").alias(key)))
+    sources = [] if stored is None else [stored]
+    if "entity_ids_path" in manifests.columns:
+        # the runs' ids lie below a folder or a few
+        above = F.regexp_replace("entity_ids_path", r"/[^/]*/?$", "")
+        folders = inserted.where(F.col("entity_ids_path").isNotNull()).select(above).distinct().collect()
+        found = (read_id_rows(manifests.sparkSession, f[0]) for f in folders)
+        sources += [f for f in found if f is not None]
+    runs = inserted.select("run_id").distinct()
+    for rows in sources:
+        listed = listed.unionByName(rows.join(runs, "run_id", "left_semi").select(F.col(key).cast("bigint").alias(key)))
     return listed.distinct()
 
 
@@ -135,31 +148,75 @@ def read_id_rows(spark: SparkSession, path: str) -> DataFrame | None:
     return rows.withColumn("run_id", F.col("run_id").cast("string"))
 
 
-def write_manifest(manifest: DataFrame, folder: str, run_id: str, replace: bool = False) -> None:
-    """Write the one-row manifest of a run; an existing run id is an error."""
-    spark = manifest.sparkSession
-    path = f"{folder.rstrip('/')}/{run_id}"
-    if not replace and exists(spark, path):
-        raise FileExistsError(f"manifest of run {run_id!r} already exists: {path}")
-    # one row by contract, so one output file
-    manifest.coalesce(1).write.mode("overwrite" if replace else "errorifexists").json(path)
+def _log(spark: SparkSession, folder: str, run_id: str) -> CommitLog:
+    return CommitLog(spark, f"{folder.rstrip('/')}/{run_id}")
+
+
+def write_manifest(manifest: DataFrame, folder: str, run_id: str) -> None:
+    """Commit the one-row manifest of a run as its first version; a run that has one is an error."""
+    # one row by contract
+    text = manifest.toJSON().first()
+    if not _log(manifest.sparkSession, folder, run_id).commit(1, json.loads(text)):
+        raise FileExistsError(f"the ledger {folder} has run {run_id!r} already")
+
+
+def has_run(spark: SparkSession, folder: str, run_id: str) -> bool:
+    """Whether the ledger has a manifest of the run."""
+    return _log(spark, folder, run_id).last() > 0
 
 
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    """All manifests written below ``folder``."""
+    """The last version of every manifest below ``folder``."""
     return read_manifests(spark, folder)
 
 
-def update_manifest(spark: SparkSession, folder: str, run_id: str, **fields: dict) -> None:
-    """Set structs of a run's manifest, such as ``dw_refresh`` and ``inference``; nothing for a run without one."""
-    if not exists(spark, f"{folder.rstrip('/')}/{run_id}"):
-        return
-    schema = T.StructType([f for f in MANIFEST if f.name != "_corrupt"])
-    # one row by contract
-    found = read_ledger(spark, folder).where(F.col("run_id") == run_id).first()
-    if found is not None:
-        row = {**found.asDict(recursive=True), **fields}
-        write_manifest(spark.createDataFrame([row], schema), folder, run_id, replace=True)
+def update_manifest(spark: SparkSession, folder: str, run_id: str, **fields: dict) -> int:
+    """Commit a further version of a run's manifest with these fields set, such as ``dw_refresh`` and ``inference``.
+
+    Fields that are not set stay, known or not; versions of writers that came between are built upon. Returns the version,
+    0 for a run without a manifest.
+    """
+    log = _log(spark, folder, run_id)
+    while (last := log.last()) and not log.commit(last + 1, {**log.read(last), **fields}):
+        continue
+    return last + 1 if last else 0
+
+
+# ---------------------------------------------------------------- claims
+
+
+def claim_ranks(spark: SparkSession, folder: str, run_id: str, start: int, end: int) -> bool:
+    """Take the ranks from ``start`` on for a run before any of its rows are written; at most one run holds them.
+
+    True: the run holds them, perhaps since an attempt that died. False: they were inserted meanwhile, so the
+    caller's view of the ledger is old. Another run's claim without an end is a ``Conflict``; ``give_up`` ends it.
+    """
+    # beside the ledger, as the rows of ids are: claims are no manifests
+    log = CommitLog(spark, f"{folder.rstrip('/')}_claims/{start:020d}")
+    while True:
+        last = log.last()
+        if last:
+            holder = log.read(last)["run_id"]
+            manifest = _log(spark, folder, holder)
+            done = manifest.last()
+            status = manifest.read(done).get("status") if done else None
+            if holder == run_id and status is None:
+                return True
+            if status == "inserted":
+                return False
+            if status != "given_up":
+                raise Conflict(f"ranks from {start} are held by run {holder!r}, which has not ended")
+        if log.commit(last + 1, {"run_id": run_id, "start": start, "end": end}):
+            return True
+
+
+def give_up(spark: SparkSession, folder: str, run_id: str) -> None:
+    """End a run that died before its manifest, so that another can take its ranks; a run with a manifest is an error.
+
+    Rows that it may have appended stay; the run that takes the ranks does not repeat them.
+    """
+    if not _log(spark, folder, run_id).commit(1, {"run_id": run_id, "status": "given_up", "rows_inserted": 0}):
+        raise FileExistsError(f"run {run_id!r} has ended: it is in the ledger {folder}")
 
 
 def upsert_results(results: DataFrame, updates: DataFrame) -> DataFrame:

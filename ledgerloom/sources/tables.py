@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -167,9 +168,24 @@ def normalize_nulls(df: DataFrame) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
 ) -> None:
-    """Parquet sink: ``overwrite`` replaces the table, ``append`` adds to it."""
-    writer = df.write.mode(mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Parquet sink: ``overwrite`` replaces the table, ``append`` adds to it.
+
+    A table is replaced by a folder that is written in full beside it, so the rows may be read from the table
+    itself, and a failure while they are written leaves it as it was. Where readers and writers
+    work at once, use ``versions.VersionedTable``.
+    """
+    spark, target = df.sparkSession, path.rstrip("/")
+    replaces = mode == "overwrite" and exists(spark, target)
+    parent, _, name = target.rpartition("/")
+    aside = f"{parent}/.{name}-{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists" if replaces else mode)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{aside}.new" if replaces else target)
+    if replaces:
+        place, new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (target, f"{aside}.new", f"{aside}.old"))
+        fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not (fs.rename(place, old) and fs.rename(new, place)):
+            raise OSError(f"{target} was not replaced; its rows are in {aside}.old, the new ones in {aside}.new")
+        fs.delete(old, True)
 
 
 def write_jdbc(
