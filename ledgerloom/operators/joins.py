@@ -1,7 +1,8 @@
-"""Lookup joins that broadcast only a measured small side and salt otherwise."""
+"""Lookup joins that broadcast only a measured small side and spread measured hot keys otherwise."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from functools import reduce
 
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
-_SALT = "__salt"
+#: Keys that a sketch of the key column names at most, its counters, and the pieces into which a task's fair share is cut.
+HOT_KEYS, COUNTERS, PIECES = 1024, 8192, 16
+_SALT, _HASH, _COPIES = "__salt", "__key_hash", "__copies"
 
 
 def broadcast_size(df: DataFrame) -> tuple[int, int]:
@@ -38,6 +40,21 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
+def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(hash of the key, copies) of keys with many rows: a key gets a copy for each piece of a task's fair share.
+
+    One pass counts the rows and sketches the keys' frequencies. At most ``HOT_KEYS`` rows, and in all not
+    more copies than ``PIECES`` a task and one a key, whatever the data.
+    """
+    spark = df.sparkSession
+    row = df.select(F.xxhash64(*keys).alias(_HASH)).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k({_HASH}, {HOT_KEYS}, {COUNTERS})").alias("top")
+    ).first()
+    piece = max(1.0, row["n"] / (PIECES * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    found = [(t["item"], math.ceil(t["count"] / piece)) for t in row["top"] or ()]
+    return spark.createDataFrame([f for f in found if f[1] > 1], f"{_HASH} bigint, {_COPIES} int")
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
@@ -48,19 +65,23 @@ def lookup_join(
 ) -> DataFrame:
     """Join a possibly skewed ``left`` to a ``lookup`` with unique keys.
 
-    A lookup within the bounds is broadcast, so ``left`` is not shuffled. A larger
-    one is repeated ``SALTS`` times and ``left`` is spread over the salts by a hash
-    of its other columns, so that a hot or null key is shared by many tasks.
+    A lookup within the bounds is broadcast, so ``left`` is not shuffled. For a larger one the
+    frequencies of the keys are measured: rows of a hot or null key are spread over as many tasks as its share asks
+    for, and only that key's lookup row is copied; all other rows are joined plainly. Rows that are alike are spread
+    too, as far as they come from different tasks.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(lookup, max_rows, max_bytes):
         return left.join(F.broadcast(lookup), keys, how)
-    salted = left.withColumn(_SALT, F.pmod(F.xxhash64(*_hashable(left)), F.lit(SALTS)).cast("int"))
-    repeated = lookup.withColumn(
-        _SALT, F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    )
-    joined = salted.join(repeated, [*keys, _SALT], how)
-    return joined.drop(_SALT)
+    hot = F.broadcast(hot_keys(left, keys))
+    copies = F.coalesce(F.col(_COPIES), F.lit(1))
+    # the same on every run of a task, for a task always holds the same rows
+    spread = F.xxhash64(F.spark_partition_id(), *_hashable(left))
+    marked = left.withColumns({_HASH: F.xxhash64(*keys), _SALT: spread}).join(hot, _HASH, "left")
+    salted = marked.withColumn(_SALT, F.pmod(_SALT, copies).cast("int")).drop(_HASH, _COPIES)
+    copied = lookup.withColumn(_HASH, F.xxhash64(*keys)).join(hot, _HASH, "left")
+    copied = copied.withColumn(_SALT, F.explode(F.sequence(F.lit(0), copies - 1))).drop(_HASH, _COPIES)
+    return salted.join(copied, [*keys, _SALT], how).drop(_SALT)
 
 
 def left_join_all(base: DataFrame, frames: Iterable[DataFrame], key: str) -> DataFrame:

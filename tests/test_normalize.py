@@ -142,3 +142,29 @@ def test_model_name_from_file(spark):
     df = spark.createDataFrame(rows, "n string")
     got = [r[0] for r in df.select(model_from_file_name(F.col("n"), F.lit("run_1"))).collect()]
     assert got == ["xgboost", "tabpfn_mix", "other"]
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_a_hot_key_is_spread_by_its_measured_share(spark, same):
+    """Half of the rows have one key: no task holds above twice the median, and only hot lookup rows are copied."""
+    from ledgerloom.operators import joins
+
+    rows = spark.range(200_000, numPartitions=16).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"),
+        F.when(F.lit(not same) | (F.col("id") % 2 == 1), F.col("id")).otherwise(F.lit(0)).alias("v"),
+    )
+    lookup = spark.range(200_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    hot = {r[0]: r[1] for r in joins.hot_keys(rows, ["k"]).collect()}
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ((_, copies),) = hot.items()
+    assert parts * joins.PIECES // 3 < copies <= parts * joins.PIECES
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup_join(rows, lookup, "k", max_rows=0)
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 200_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert joined.agg(F.sum(F.col("w") - 2 * F.col("k"))).first()[0] == 0
+    # without a hot key nothing is copied
+    assert joins.hot_keys(lookup, ["k"]).count() == 0
