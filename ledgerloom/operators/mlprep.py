@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import json
 from collections.abc import Collection, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.naming import NUMERIC_TYPES
-from ledgerloom.operators.joins import lookup_join
+from ledgerloom.operators.joins import fits_broadcast, lookup_join
 from ledgerloom.operators.ordering import exact_quantiles, rank_within
 from ledgerloom.sources.staging import stage
 from pyspark.sql import types as T
@@ -140,18 +141,13 @@ def _filled(column: str, fill: float) -> Column:
     return F.coalesce(F.nanvl(value, F.lit(None).cast("double")), F.lit(fill))
 
 
-def _one_hot(slot: Column, width: int) -> Column:
-    """Array of ``width`` zeros with a one at ``slot``; all zeros for a null slot."""
-    places = F.sequence(F.lit(0), F.lit(width - 1))
-    return F.transform(places, lambda i: F.coalesce((slot == i).cast("double"), F.lit(0.0)))
-
-
 @dataclass
 class Preprocessor:
     """Column-typed preparation: fill and scale numbers, fill and one-hot encode the rest.
 
     Parameters per column are held here; the category table, whose size follows the
-    data, stays a staged DataFrame and is joined, not collected.
+    data, stays a staged DataFrame and is joined, not collected. Vectors are sparse: a row takes a number for each
+    numeric column and one for each text column, however many categories there are.
     """
 
     medians: dict[str, float]
@@ -159,6 +155,7 @@ class Preprocessor:
     modes: dict[str, str]
     widths: dict[str, int]
     categories: DataFrame | None
+    few: bool | None = field(default=None, repr=False)
 
     @classmethod
     def fit(cls, train: DataFrame, min_frequency: int = 10, skip: Collection[str] = ()) -> Preprocessor:
@@ -199,23 +196,51 @@ class Preprocessor:
         return out
 
     def slots(self, df: DataFrame) -> DataFrame:
-        """Add ``<column>__slot`` per text column; null for a category not seen in training."""
-        for c in self.widths:
-            pairs = self.categories.where(F.col("column") == c).select(
-                F.col("value").alias("__value"), F.col("slot").alias(f"{c}__slot")
-            )
-            value = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(self.modes[c]))
-            df = lookup_join(df.withColumn("__value", value), pairs, "__value", "left").drop("__value")
-        return df
+        """Add ``<column>__slot`` per text column; null for a category not seen in training.
+
+        The category table is measured once. Within the broadcast bounds every column is looked up in the task that
+        holds its rows; beyond them all columns' values are joined in one long form and come back by row.
+        """
+        if not self.widths:
+            return df
+        if self.few is None:
+            self.few = fits_broadcast(self.categories)
+        value = {c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(self.modes[c])) for c in self.widths}
+        if self.few:
+            for c in self.widths:
+                pairs = self.categories.where(F.col("column") == c).select(
+                    F.col("value").alias("__value"), F.col("slot").alias(f"{c}__slot")
+                )
+                df = df.withColumn("__value", value[c]).join(F.broadcast(pairs), "__value", "left").drop("__value")
+            return df
+        rows = stage(df.withColumn("__row", F.monotonically_increasing_id()), "encoded-rows")
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), v.alias("value")) for c, v in value.items()])
+        long = rows.select("__row", F.explode(cells).alias("x")).select("__row", "x.column", "x.value")
+        found = lookup_join(long, self.categories.select("column", "value", "slot"), ["column", "value"], "inner", max_rows=0)
+        wide = found.groupBy("__row").agg(*[
+            F.max(F.when(F.col("column") == c, F.col("slot"))).alias(f"{c}__slot") for c in self.widths
+        ])
+        return rows.join(wide, "__row", "left").drop("__row")
 
     def transform(self, df: DataFrame, keep: Sequence[str], output: str = "features") -> DataFrame:
         """``keep`` columns and the feature vector; columns never seen are zeros."""
         names = [*self.medians, *self.widths]
         ready = self.slots(align_columns(df, names, [c for c in keep if c not in names]))
-        parts = [F.array(*[n for n in self.numbers()])] if self.medians else []
-        for c, width in self.widths.items():
-            parts.append(_one_hot(F.col(f"{c}__slot"), width))
-        return ready.select(*keep, array_to_vector(F.concat(*parts)).alias(output))
+        numbers = array_to_vector(F.array(*self.numbers())) if self.medians else array_to_vector(F.array().cast("array<double>"))
+        # a category that was not seen is the one beyond the last, which the encoder leaves out
+        slots = {f"__slot{i}": F.coalesce(F.col(f"`{c}__slot`"), F.lit(w)).cast("double") for i, (c, w) in enumerate(self.widths.items())}
+        ready = ready.select(*keep, numbers.alias("__numbers"), *[v.alias(n) for n, v in slots.items()])
+        if not slots:
+            return ready.withColumnRenamed("__numbers", output)
+        hot = [f"__hot{i}" for i in range(len(slots))]
+        sized = VectorSizeHint(inputCol="__numbers", size=len(self.medians), handleInvalid="optimistic").transform(ready)
+        encoded = self._encoder(ready, list(slots), hot).transform(sized)
+        return VectorAssembler(inputCols=["__numbers", *hot], outputCol=output).transform(encoded).select(*keep, output)
+
+    def _encoder(self, ready: DataFrame, slots: list[str], hot: list[str]) -> OneHotEncoderModel:
+        """Encoder of the known widths, from one row that holds the largest slots."""
+        row = ready.sparkSession.createDataFrame([tuple(float(w - 1) for w in self.widths.values())], slots)
+        return OneHotEncoder(inputCols=slots, outputCols=hot, handleInvalid="keep", dropLast=True).fit(row)
 
     def size(self) -> int:
         """Length of the feature vector."""
@@ -223,7 +248,7 @@ class Preprocessor:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Parameters as one JSON row, categories as a Parquet table."""
-        state = {k: v for k, v in self.__dict__.items() if k != "categories"}
+        state = {k: v for k, v in self.__dict__.items() if k not in ("categories", "few")}
         spark.createDataFrame([(json.dumps(state),)], "state string").write.parquet(f"{path}/state")
         if self.categories is not None:
             self.categories.write.parquet(f"{path}/categories")

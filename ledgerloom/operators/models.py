@@ -6,10 +6,12 @@ import json
 import random
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import product
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -43,6 +45,8 @@ SEARCH_RANGES: dict[str, dict[str, tuple[float, float, bool]]] = {
     },
     "local_neural_net": {"epochs": (5, 50, False)},
 }
+#: Memory of a task for the statistics of the nodes that are split at once.
+NODE_MEMORY_MB = 512
 
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
@@ -62,14 +66,16 @@ def estimator(name: str, params: Mapping[str, Any], size: int, seed: int = 42):
     """
     p = {**DEFAULTS[name], **params}
     common = {"featuresCol": "features", "labelCol": "label"}
+    # tasks keep the node that each row has come to, instead of being sent all trees at every level
+    grown = {"cacheNodeIds": True, "maxMemoryInMB": NODE_MEMORY_MB}
     if name == "random_forest":
         weight = {"weightCol": "weight"} if p.get("class_weight") == "balanced" else {}
         return RandomForestClassifier(
-            numTrees=p["n_estimators"], maxDepth=min(p["max_depth"] or 30, 30), seed=seed, **common, **weight
+            numTrees=p["n_estimators"], maxDepth=min(p["max_depth"] or 30, 30), seed=seed, **common, **weight, **grown
         )
     if name == "xgboost":
         return GBTClassifier(
-            maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"], seed=seed, **common
+            maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"], seed=seed, **common, **grown
         )
     if name == "local_neural_net":
         return MultilayerPerceptronClassifier(
@@ -271,30 +277,40 @@ def random_parameters(model_name: str, trials: int, seed: int = 42) -> list[dict
 def search(
     features: DataFrame, key: str, target: str, model_name: str, trials: Sequence[Mapping[str, Any]],
     exclude: Sequence[str] = (), min_frequency: int = 10, seed: int = 42,
-    on_trial: Callable[[dict[str, Any]], None] | None = None,
+    on_trial: Callable[[dict[str, Any]], None] | None = None, parallel: int = 4,
 ) -> DataFrame:
-    """(trial, parameters, status, validation_pr_auc, error) with failed trials kept.
+    """(trial, parameters, status, validation_pr_auc, error) in the order of the trials, failed ones kept.
 
-    Split and preparation are shared by all trials.
+    Split and preparation are shared by all trials: one staged table. At most ``parallel`` trials run at a time, each in a
+    scheduler pool of its own, so that the jobs of one fill the gaps of another. ``on_trial`` is called in order.
     """
+    spark = features.sparkSession
     prepared, ready, _ = prepare_splits(features, key, target, exclude, min_frequency, seed)
     train = ready.where(F.col("split") == "train")
     held_out = ready.where(F.col("split") == "validation")
-    records = []
-    for number, params in enumerate(trials):
+
+    def run(trial: tuple[int, Mapping[str, Any]]) -> dict[str, Any]:
+        number, params = trial
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{number % parallel}")
         record = {"trial": number, "parameters": json.dumps(dict(params), sort_keys=True)}
         try:
             model = fit_model(model_name, train, params, prepared.size(), seed)
             metrics = _metrics(scored_rows(model, held_out, target), target, "validation_")
-            record |= {"status": "COMPLETE", "validation_pr_auc": metrics["validation_pr_auc"], "error": None}
+            return {**record, "status": "COMPLETE", "validation_pr_auc": metrics["validation_pr_auc"], "error": None}
         except Exception as error:  # noqa: BLE001 - a failing trial is a result
-            record |= {"status": "FAIL", "validation_pr_auc": None, "error": str(error)}
-        records.append(record)
-        if on_trial:
-            on_trial(record)
+            return {**record, "status": "FAIL", "validation_pr_auc": None, "error": str(error)}
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    records = []
+    with ThreadPoolExecutor(parallel) as pool:
+        for record in pool.map(inheritable_thread_target(spark)(run), enumerate(trials)):
+            records.append(record)
+            if on_trial:
+                on_trial(record)
     schema = "trial int, parameters string, status string, validation_pr_auc double, error string"
     rows = [tuple(r[k] for k in ("trial", "parameters", "status", "validation_pr_auc", "error")) for r in records]
-    return features.sparkSession.createDataFrame(rows, schema)
+    return spark.createDataFrame(rows, schema)
 
 
 def rank_models(metrics: DataFrame, metric: str = "test_pr_auc") -> DataFrame:
