@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import model_from_file_name
-from ledgerloom.operators.joins import lookup_join
-from ledgerloom.operators.ordering import first_n_per_group
+from ledgerloom.operators.joins import lookup_join, semi_join
+from ledgerloom.operators.ordering import first_n_per_group, first_rows
 
 # Metrics shown for a model.
 MODEL_METRICS = (
@@ -51,13 +51,14 @@ def prediction_list(
 
 
 def wide_preview(
-    predictions: DataFrame, key: str, models: Sequence[str], limit: int = 50
+    predictions: DataFrame, key: str, models: Sequence[str], limit: int | None = None
 ) -> DataFrame:
-    """The first ``limit`` entities, one row each, score and prediction per fixed model."""
+    """The first ``limit`` entities, all without one; one row each, score and prediction per fixed model."""
     shown = predictions.where(F.col("model_name").isin(*models) & F.col(key).isNotNull())
-    entities = shown.select(key).distinct().orderBy(key).limit(limit)
-    # at most `limit` entities: the preview size is the feature
-    kept = shown.join(F.broadcast(entities), key, "left_semi")
+    kept = shown
+    if limit is not None:
+        # Spark broadcasts the ids where they are few
+        kept = semi_join(shown, first_rows(shown.select(key).distinct(), [F.col(key)], limit), key)
     cells: list[Column] = []
     for model in models:
         own = F.col("model_name") == model

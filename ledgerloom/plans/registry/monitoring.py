@@ -74,7 +74,7 @@ def _preview(spark, root):
  WHERE model_name = 'xgboost' GROUP BY 1 ORDER BY 1 LIMIT 50""",
 )
 def _missing(spark, root):
-    return wide_preview(predictions(spark, root), KEY, ["xgboost", "absent"])
+    return wide_preview(predictions(spark, root), KEY, ["xgboost", "absent"], 50)
 
 
 _COUNTS_SQL = f"""(SELECT run_id, model_name, count(*) AS rows_scored, count(*) FILTER (WHERE prediction = 1) AS
