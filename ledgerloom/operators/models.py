@@ -237,9 +237,11 @@ def train_model(
     }
     for part in ("validation", "test"):
         started = time.perf_counter()
-        scored = scored_rows(model, ready.where(F.col("split") == part), target)
-        metrics |= _metrics(scored, target, f"{part}_")
+        rows = ready.where(F.col("split") == part)
+        metrics |= _metrics(scored_rows(model, rows, target), target, f"{part}_")
         metrics[f"{part}_predict_seconds"] = time.perf_counter() - started
+        counts = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("p")).first()
+        metrics |= {f"{part}_rows": float(counts["n"]), f"{part}_positives": counts["p"]}
     return Bundle(model_name, target, columns, prepared, model, metrics)
 
 

@@ -24,6 +24,7 @@ from ledgerloom.operators.mlprep import (
 )
 from ledgerloom.operators.models import (
     DEFAULTS,
+    Bundle,
     parameter_grid,
     random_parameters,
     rank_models,
@@ -260,7 +261,8 @@ def _best(spark, root):
 
 # ---------------------------------------------------------------- models
 
-# Fits cannot be said in SQL: what they must report can, and every metric must lie in its range.
+# Fits cannot be said in SQL: what they must report can: the rows and positives of each part that they were measured on
+# and that every metric lies in its range.
 _MEASURED = ("precision", "recall", "f1", "roc_auc", "pr_auc")
 
 
@@ -269,26 +271,39 @@ def _features(spark, root):
     return stage(wide_features(spark, root).drop("c_acctbal"), "features")
 
 
-def _report(spark, name, metrics, prefixes):
-    rows = [(name, f"{p}{m}", 0.0 <= metrics[f"{p}{m}"] <= 1.0) for p in prefixes for m in _MEASURED]
-    return spark.createDataFrame(rows, "model_name string, metric string, valid boolean")
+def _in_range(metrics, prefix):
+    return all(0.0 <= metrics[f"{prefix}{m}"] <= 1.0 for m in _MEASURED)
 
 
-def _report_sql(name, prefixes):
-    named = ", ".join(f"'{p}{m}'" for p in prefixes for m in _MEASURED)
-    return f"""SELECT '{name}' AS model_name, unnest([{named}]) AS metric, count(*) > 0 AS valid FROM {APPLICATIONS_SQL}"""
+def _report(spark, name, metrics):
+    rows = [
+        (name, part, int(metrics[f"{part}_rows"]), int(metrics[f"{part}_positives"]), _in_range(metrics, f"{part}_"))
+        for part in ("validation", "test")
+    ]
+    return spark.createDataFrame(rows, "model_name string, split string, rows bigint, positives bigint, valid boolean")
+
+
+def _report_sql(name):
+    return f"""SELECT '{name}' AS model_name, split, count(*) AS rows, sum("TARGET")::BIGINT AS positives, true AS valid
+ FROM {_SPLIT_SQL} WHERE split <> 'train' GROUP BY split"""
 
 
 def _trained(name):
     def run(spark, root):
-        bundle = train_model(_features(spark, root), KEY, "TARGET", name)
-        return _report(spark, name, bundle.metrics, ("validation_", "test_"))
+        return _report(spark, name, train_model(_features(spark, root), KEY, "TARGET", name).metrics)
 
     return run
 
 
 for _name in DEFAULTS:
-    query(f"train_{_name}", _report_sql(_name, ("validation_", "test_")))(_trained(_name))
+    query(f"train_{_name}", _report_sql(_name))(_trained(_name))
+
+
+def stored_bundle(spark, root, name="random_forest"):
+    """Folder of a bundle trained on the feature table, and of the features."""
+    features, path = _features(spark, root), staging_path(spark, "bundle")
+    train_model(features, KEY, "TARGET", name).save(spark, path)
+    return path, features
 
 
 @query(
@@ -297,26 +312,30 @@ for _name in DEFAULTS:
 )
 def _batch_score(spark, root):
     """A saved bundle is read back and scores every entity, one of its columns missing."""
-    from ledgerloom.operators.models import Bundle
-
-    features = _features(spark, root)
-    path = staging_path(spark, "bundle")
-    train_model(features, KEY, "TARGET", "random_forest").save(spark, path)
+    path, features = stored_bundle(spark, root)
     scored = Bundle.load(spark, path).score(features.drop("bureau__cents__std"), KEY)
     return scored.select(KEY, (F.col("score").between(0, 1) & F.col("prediction").isin(0, 1)).alias("valid"))
 
 
-@query("evaluate_bundle", _report_sql("local_neural_net", ("holdout_",)))
+@query(
+    "evaluate_bundle",
+    f"""SELECT 'local_neural_net' AS model_name, count(*) AS rows, sum("TARGET")::BIGINT AS positives, true AS valid FROM {APPLICATIONS_SQL}""",
+)
 def _evaluate(spark, root):
+    """A bundle is measured on all labelled rows: as many as there are, each scored once."""
     features = _features(spark, root)
     bundle = train_model(features, KEY, "TARGET", "local_neural_net")
-    return _report(spark, "local_neural_net", bundle.evaluate(features, KEY, "holdout_"), ("holdout_",))
+    valid = _in_range(bundle.evaluate(features, KEY, "holdout_"), "holdout_")
+    return bundle.score(features, KEY, ["TARGET"]).agg(
+        F.lit("local_neural_net").alias("model_name"), F.count("score").alias("rows"),
+        F.sum("TARGET").cast("bigint").alias("positives"), F.lit(valid).alias("valid"),
+    )
 
 
 @query(
     "param_grid",
-    """SELECT * FROM (VALUES (50, 3, 'COMPLETE'), (50, -1, 'FAIL'), (100, 3, 'COMPLETE'), (100, -1, 'FAIL'))
- v(n_estimators, max_depth, status) WHERE (SELECT count(*) FROM customer) > 0""",
+    """SELECT n_estimators, max_depth, CASE WHEN max_depth < 0 THEN 'FAIL' ELSE 'COMPLETE' END AS status
+ FROM (SELECT unnest([50, 100]) AS n_estimators), (SELECT unnest([3, -1]) AS max_depth) WHERE (SELECT count(*) FROM customer) > 0""",
 )
 def _grid(spark, root):
     """Four trials of a grid, two of which cannot be fitted and are kept as failed."""
@@ -326,9 +345,10 @@ def _grid(spark, root):
     return found.select(params.alias("p"), "status").select("p.n_estimators", "p.max_depth", "status")
 
 
-@query("random_search", """SELECT i AS trial, 'COMPLETE' AS status FROM range(2) r(i) WHERE (SELECT count(*) FROM customer) > 0""")
+@query("random_search", """SELECT i AS trial, 'COMPLETE' AS status FROM range(20) r(i) WHERE (SELECT count(*) FROM customer) > 0""")
 def _random(spark, root):
-    trials = random_parameters("random_forest", 2)
+    """Twenty trials on one prepared table, four at a time."""
+    trials = random_parameters("random_forest", 20)
     return search(_features(spark, root), KEY, "TARGET", "random_forest", trials).select(
         F.col("trial").cast("bigint").alias("trial"), "status"
     )
