@@ -51,7 +51,7 @@ def prediction_list(
 
 
 def wide_preview(
-    predictions: DataFrame, key: str, models: Sequence[str], limit: int | None = None
+    predictions: DataFrame, key: str, models: Sequence[str], limit: int | None = 50
 ) -> DataFrame:
     """The first ``limit`` entities, all without one; one row each, score and prediction per fixed model."""
     shown = predictions.where(F.col("model_name").isin(*models) & F.col(key).isNotNull())

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,18 +23,34 @@ MAX_CORR_AGGREGATES = 300
 
 
 def _distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, distinct_values): values are deduplicated as narrow rows before the shuffle."""
-    kinds = dict(df.dtypes)
-
-    def text(c: str):
-        v = F.col(f"`{c}`")
-        if kinds[c] in ("float", "double"):
-            v = F.nanvl(v, F.lit(None).cast(kinds[c])) + F.lit(0.0)
-        return v.cast("string").alias(c)
+    """(column, distinct_values): values are deduplicated as narrow rows before the shuffle.
 
-    long = df.select(*[text(c) for c in columns]).unpivot([], list(columns), "column", "value")
-    values = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.lit(1).alias("o"))
-    return values.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values"))
+    Whole numbers, dates and times travel as eight bytes and floats as doubles; only what is text stays text.
+    """
+    kinds = dict(df.dtypes)
+    groups: dict[str, list[Column]] = {"bigint": [], "double": [], "string": []}
+    for c in columns:
+        v, kind = F.col(f"`{c}`"), kinds[c]
+        if kind in ("float", "double"):
+            # -0.0 becomes 0.0
+            group, v = "double", (F.nanvl(v, F.lit(None).cast(kind)) + F.lit(0.0)).cast("double")
+        elif kind in ("tinyint", "smallint", "int", "bigint", "boolean"):
+            group = "bigint"
+        elif kind == "date":
+            group, v = "bigint", F.unix_date(v)
+        elif kind == "timestamp":
+            group, v = "bigint", F.unix_micros(v)
+        else:
+            group = "string"
+        groups[group].append(v.cast(group).alias(c))
+    counts = []
+    for cells in groups.values():
+        if cells:
+            chosen = df.select(*cells)
+            long = chosen.unpivot([], chosen.columns, "column", "value")
+            values = long.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.lit(1).alias("o"))
+            counts.append(values.groupBy("column").agg(F.count(F.lit(1)).alias("distinct_values")))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def column_profile(df: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from ledgerloom.operators.quality import (
     table_fingerprint,
     tolerance_compare,
 )
+from ledgerloom.operators.digests import narrowed_cell_diff
 from ledgerloom.plans.registry.base import fixed, fixed_sql, query, table
 
 # A second copy of the orders: prices of status P moved, priorities of LOW lost, one status renamed
@@ -245,6 +246,22 @@ def _cells(spark, root):
     return cell_diff(table(spark, root, "orders"), _copy(spark, root), "o_orderkey")
 
 
+# twelve orders of the copy have another price, and nothing else differs
+@query(
+    "digest_cell_diff",
+    """SELECT o_orderkey, 'o_totalprice' AS "column", floor(o_totalprice * 10000.0::DOUBLE + 0.5::DOUBLE)::BIGINT::VARCHAR AS left_value,
+ floor((o_totalprice + 1) * 10000.0::DOUBLE + 0.5::DOUBLE)::BIGINT::VARCHAR AS right_value
+ FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 12)""",
+)
+def _digest_cells(spark, root):
+    """Both copies are narrowed by their digest trees to the few ranges that differ."""
+    o = table(spark, root, "orders")
+    first = o.select("o_orderkey").orderBy("o_orderkey").limit(12).withColumn("changed", F.lit(True))
+    price = F.when(F.col("changed"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    copy = o.join(first, "o_orderkey", "left").withColumn("o_totalprice", price).drop("changed")
+    return narrowed_cell_diff(o, copy, "o_orderkey")
+
+
 @query(
     "sampled_compare",
     _mismatch_sql(

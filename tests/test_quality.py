@@ -251,3 +251,58 @@ def test_preview_is_capped(spark):
     df = spark.createDataFrame(rows, "SK_ID_CURR long, score double, prediction int, model_name string")
     got = [r["SK_ID_CURR"] for r in wide_preview(df, "SK_ID_CURR", ("xgboost",)).collect()]
     assert got == list(range(100, 150))
+
+
+# ---------------------------------------------------------------- digest trees
+
+
+@pytest.mark.parametrize("changed", [0, 1, 7, 4000])
+def test_narrowed_cells_equal_all_cells(spark, changed):
+    from ledgerloom.operators.digests import narrow, narrowed_cell_diff
+    from ledgerloom.operators.quality import cell_diff
+
+    left = spark.range(4000).select(F.col("id").cast("int").alias("k"), (F.col("id") % 7).alias("a"), F.concat(F.lit("t"), "id").alias("b"))
+    right = left.select(
+        F.col("k").cast("long").alias("k"), F.when(F.col("k") < changed, F.lit(None)).otherwise(F.col("a")).alias("a"), "b"
+    ).where("k <> 3999").union(spark.createDataFrame([(9999, 1, "new")], "k long, a long, b string"))
+    want = sorted(map(str, cell_diff(left, right, "k").collect()))
+    assert sorted(map(str, narrowed_cell_diff(left, right, "k").collect())) == want
+    # what is compared follows what differs: at most the leaves of the changed, the lost and the new row
+    kept = narrow(left, right, ["k"])[0].count()
+    assert kept <= min(4000, 3 * 512 * (changed + 2))
+    same = narrow(left, left.repartition(5), ["k"])
+    assert same[0].count() == same[1].count() == 0
+
+
+def test_a_tree_is_its_levels_sum(spark):
+    from ledgerloom.operators.digests import differing_leaves, digest_tree, level, tree_bits
+    from ledgerloom.operators.quality import table_fingerprint
+
+    df = spark.range(5000).select("id", F.md5(F.col("id").cast("string")).alias("v"))
+    tree = digest_tree(df, ["id"], 10)
+    top = level(tree, 10).drop("leaf").first()
+    whole = table_fingerprint(df).first()
+    assert (top["rows"], str(top["digest_sum"]), top["digest_xor"]) == tuple(whole)
+    other = digest_tree(df.withColumn("v", F.when(F.col("id") == 77, F.lit("x")).otherwise(F.col("v"))), ["id"], 10)
+    assert differing_leaves(tree, other, 10).count() == 1 and differing_leaves(tree, tree, 10).count() == 0
+    assert [tree_bits(n) for n in (0, 511, 512, 1 << 60)] == [1, 1, 1, 30]
+
+
+def test_a_value_against_null_is_a_difference(spark):
+    from ledgerloom.operators.quality import content_diff_pct
+
+    left = spark.createDataFrame([(1, 1.0, 1.0), (2, float("nan"), 2.0), (3, 5.0, None)], "k int, a double, b double")
+    right = spark.createDataFrame([(1, 1.0, 1.0), (2, 7.0, 2.0 + 1e-9), (3, 5.0, None)], "k int, a double, b double")
+    assert [tuple(r)[:2] for r in content_diff_pct(left, right, ["k"]).collect()] == [("a", 1)]
+    same = spark.createDataFrame([(1, 1.0, 1.0), (2, None, 2.0), (3, 5.0, None)], "k int, a double, b double")
+    assert content_diff_pct(left, same, ["k"]).count() == 0
+
+
+def test_typed_distinct_counts(spark):
+    from ledgerloom.operators.profile import column_profile
+
+    df = spark.sql("""SELECT * FROM VALUES (1, 1.0D, DATE'2020-01-01', TIMESTAMP'2020-01-01 00:00:00.000001', true, 'a', 1.50BD),
+     (1, -0.0D, DATE'2020-01-02', TIMESTAMP'2020-01-01 00:00:00.000002', false, 'b', 1.5BD), (2, 0.0D, NULL, NULL, NULL, NULL, NULL),
+     (NULL, double('NaN'), DATE'2020-01-01', NULL, true, 'a', 2BD) t(i, d, day, at, flag, s, n)""")
+    got = {r["column"]: (r["null_count"], r["distinct_values"]) for r in column_profile(df).collect()}
+    assert got == {"i": (1, 2), "d": (1, 2), "day": (1, 2), "at": (2, 2), "flag": (1, 2), "s": (1, 2), "n": (1, 2)}
