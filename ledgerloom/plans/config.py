@@ -12,10 +12,6 @@ EXCLUDED_FROM_FEATURES = ("TARGET", "_DW_ID", "SK_ID_PREV", "SK_ID_BUREAU")
 MIN_CATEGORY_FREQUENCY = 10
 PREVIEW_MODELS = ("xgboost", "tabpfn_mix", "pyod_autoencoder")
 
-# Tables with a key of their own, and tables that get a synthetic row id.
-KEYED_TABLES = ("application_train", "bureau", "previous_application")
-KEYLESS_TABLES = ("bureau_balance", "credit_card_balance", "installments_payments", "pos_cash_balance")
-
 # Child tables of the feature table by feature prefix.
 FEATURE_TABLES: Mapping[str, Mapping[str, str]] = {
     "bureau": {"table": "bureau", "key": "SK_ID_CURR"},

@@ -18,6 +18,7 @@ from ledgerloom.operators.profile import (
     target_correlation,
     throughput,
 )
+from ledgerloom.operators.profile_state import profile_of, refresh_profile
 from ledgerloom.plans.registry.base import APPLICATIONS_SQL, applications, fixed, fixed_sql, query, table
 from ledgerloom.sources.catalog import storage_footprint, table_summary
 from ledgerloom.sources.staging import stage, staging_path
@@ -171,6 +172,33 @@ def _running(spark, root):
     return state
 
 
+def _state_sql(column, number):
+    value = f"{column}::DOUBLE" if number else "NULL::DOUBLE"
+    kept = f"nullif({column}, 'P')" if column == "o_orderstatus" else column
+    return f"""SELECT '{column}' AS "column", count(*) AS rows, count(*) - count({kept}) AS null_count, {fixed_sql(f'avg({value})')} AS mean,
+ {fixed_sql(f'stddev_samp({value})', 2)} AS std, min({value}) AS low, max({value}) AS high,
+ {'NULL' if number else f'min({kept})'} AS text_low, {'NULL' if number else f'max({kept})'} AS text_high, true AS near FROM orders"""
+
+
+@query(
+    "profile_state",
+    " UNION ALL ".join(_state_sql(c, n) for c, n in (("o_custkey", True), ("o_totalprice", True), ("o_orderstatus", False))),
+)
+def _profile_state(spark, root):
+    """A table is profiled, appended to, and profiled again from its new files alone; estimates lie near the exact counts."""
+    o = table(spark, root, "orders").select("o_custkey", "o_totalprice", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"))
+    path, state = staging_path(spark, "orders"), staging_path(spark, "state")
+    for part in (0, 1):
+        write_table(o.where(F.pmod(F.xxhash64("o_custkey"), F.lit(2)) == part), path, "append")
+        refresh_profile(spark, path, state)
+    exact = o.agg(*[F.count_distinct(c).alias(c) for c in o.columns]).unpivot([], o.columns, "column", "exact")
+    found = profile_of(spark, path, state).join(exact, "column")
+    return found.select(
+        "column", "rows", "null_count", fixed(F.col("mean")).alias("mean"), fixed(F.col("std"), 2).alias("std"), "low", "high",
+        "text_low", "text_high", (F.abs(F.col("distinct_values") - F.col("exact")) <= 0.1 * F.col("exact") + 1).alias("near"),
+    )
+
+
 @query(
     "table_summary",
     " UNION ALL ".join(

@@ -306,3 +306,39 @@ def test_typed_distinct_counts(spark):
      (NULL, double('NaN'), DATE'2020-01-01', NULL, true, 'a', 2BD) t(i, d, day, at, flag, s, n)""")
     got = {r["column"]: (r["null_count"], r["distinct_values"]) for r in column_profile(df).collect()}
     assert got == {"i": (1, 2), "d": (1, 2), "day": (1, 2), "at": (2, 2), "flag": (1, 2), "s": (1, 2), "n": (1, 2)}
+
+
+# ---------------------------------------------------------------- profiles that grow with a table
+
+
+def test_a_profile_reads_only_new_files(spark, folder):
+    from ledgerloom.operators.profile_state import file_states, merged, profile_of, refresh_profile
+    from ledgerloom.sources.tables import write_table
+    from ledgerloom.sources.versions import VersionedTable
+
+    df = spark.range(3000).select(
+        "id", (F.col("id") % 10 / 4.0).alias("x"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), F.col("id") % 5)).alias("s"),
+        F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(F.col("id") * 1.0).alias("y"), F.lit(None).cast("double").alias("z"),
+    )
+    table, state = f"{folder}/t", f"{folder}/state"
+    write_table(df.where("id < 100").coalesce(1), table)
+    assert refresh_profile(spark, table, state) == 1 and refresh_profile(spark, table, state) == 0
+    write_table(df.where("id >= 100").repartition(3), table, "append")
+    assert refresh_profile(spark, table, state) == 3
+    assert VersionedTable(spark, state).read().groupBy("file").count().count() == 4
+    got = {r["column"]: r.asDict() for r in profile_of(spark, table, state).collect()}
+    assert [got[c]["null_count"] for c in ("id", "x", "s", "y", "z")] == [0, 0, 1000, 1500, 3000] and got["id"]["rows"] == 3000
+    want = df.select(F.avg("id").alias("a"), F.stddev_samp("id").alias("b"), F.avg("x").alias("c"), F.stddev_samp("x").alias("d")).first()
+    assert [got["id"]["mean"], got["id"]["std"], got["x"]["mean"], got["x"]["std"]] == pytest.approx(list(want))
+    assert (got["id"]["low"], got["id"]["high"], got["s"]["text_low"], got["s"]["text_high"]) == (0, 2999, "t0", "t4")
+    assert got["z"]["mean"] is None and got["z"]["quantiles"] is None and got["z"]["distinct_values"] == 0
+    assert abs(got["id"]["distinct_values"] - 3000) < 150 and got["s"]["distinct_values"] == 5
+    assert all(abs(q - p * 3000) < 100 for q, p in zip(got["id"]["quantiles"], (0.25, 0.5, 0.75)))
+    # files of a versioned table that are no longer current are passed over
+    versions, kept = VersionedTable(spark, f"{folder}/v"), f"{folder}/kept"
+    versions.replace(df.where("id < 10"))
+    refresh_profile(spark, f"{folder}/v", kept)
+    versions.replace(df.where("id < 4"))
+    refresh_profile(spark, f"{folder}/v", kept)
+    assert {r["rows"] for r in profile_of(spark, f"{folder}/v", kept).collect()} == {4}
+    assert merged(file_states(spark.read.parquet(table).limit(0))).count() == 0
