@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.sources.staging import stage
+from ledgerloom.sources.staging import drop_staged, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +46,42 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return numbered.select(*[F.col(f"c{names.index(old)}").alias(new) for new, old in columns.items()])
 
 
+#: Name of the row number that ``numbered`` adds.
+ROW = "row"
+
+
+def renamed(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows with columns c0, c1, ..., so that no name is ambiguous or overwritten, and what gives the names back."""
+    names = list(docs.columns)
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]), lambda rows: rows.select(
+        *[f"c{i}" for i in range(len(names))]
+    ).toDF(*names)
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether a table is read straight from files, which give the same rows in the same order to every job."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() == "Project":
+        node = node.children().apply(0)
+    return node.nodeName().startswith("LogicalRelation")
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``renamed`` rows with a row number; what is not read straight from files is staged once.
+
+    Rows that repeat whole have numbers of their own, and a task that is run again finds the same rows under the
+    same numbers.
+    """
+    held, restored = renamed(docs)
+    number = F.monotonically_increasing_id()
+    return (held.withColumn(ROW, number) if is_scan(docs) else stage(held.withColumn(ROW, number), "rows")), restored
+
+
+def column_of(docs: DataFrame, name: str) -> str:
+    """The name that ``renamed`` gives the first column spelled exactly so."""
+    return f"c{list(docs.columns).index(name)}"
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     plain = F.octet_length(text) == F.char_length(text)
@@ -70,6 +107,25 @@ def spans(texts: list[str | None], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+#: A space beside other white space.
+_ODD = re.compile(r" (?:(?=\s)|(?<=[^\S ] ))")
+
+
+def cut_parts(text: str) -> list[str]:
+    """Parts of a text, cut at single spaces between other characters; each with a space before it, they join to space + text."""
+    found = text.split(" ")
+    if not _ODD.search(text) and not text[:1].isspace() and not text[-1:].isspace():
+        return found
+    out, closed = [[found[0]]], found[0] != "" and not found[0][-1].isspace()
+    for part in found[1:]:
+        if closed and part and not part[0].isspace():
+            out.append([part])
+        else:
+            out[-1].append(part)
+        closed = part != "" and not part[-1].isspace()
+    return [" ".join(parts) for parts in out]
+
+
 def frequent(counts: DataFrame, most: int, n: str = "n") -> tuple[DataFrame, DataFrame]:
     """The rows with the largest counts, at most ``most`` of them, and all other rows.
 
@@ -110,7 +166,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: a node and its smaller neighbours go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = once(small.union(least.select("u", F.col("m").alias("v"))))
+        older, edges = edges, once(small.union(least.select("u", F.col("m").alias("v"))))
+        drop_staged(older)
         after = sign(edges)
         if after == before:
             break

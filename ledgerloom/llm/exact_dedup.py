@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ascii_lower, pick, query, table
+from ledgerloom.llm.common import ROW, ascii_lower, column_of, numbered, pick, query, table
 from ledgerloom.sources.staging import stage
 
 #: Digests that the sketch may name; the bound of both broadcasts.
@@ -27,19 +27,8 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(ascii_lower(F.coalesce(text, F.lit(""))), 256))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, digest, keep_id, group_size, kept.
-
-    Of equal texts the row with the largest id stays; of rows that share id and text
-    exactly one stays; a null id is smaller than any other. Null and empty texts are one group.
-    An empty table gives an empty result. Other columns are ignored.
-    """
-    rows = stage(
-        pick(docs, id=id_col, text=text_col).select(
-            "id", digest(F.col("text")).alias("digest"), F.monotonically_increasing_id().alias("row")
-        ),
-        "digests",
-    )
+def grouped(rows: DataFrame) -> DataFrame:
+    """Staged rows (id, digest, row) with ``keep``, the (id, row) that stays of their digest, and group_size."""
     frequent = rows.agg(
         F.expr(f"approx_top_k(hex(digest), {CANDIDATES}, {COUNTERS})").alias("top")
     ).select(F.explode("top").alias("t")).select(F.unhex("t.item").alias("digest"))
@@ -54,10 +43,25 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = rows.join(F.broadcast(winners), "digest", "left")
     heavy = marked.where("group_size is not null")
     light = marked.where("group_size is null").select("digest", "id", "row")
-    decided = heavy.select("digest", "id", "row", "keep", "group_size").union(
+    return heavy.select("digest", "id", "row", "keep", "group_size").union(
         light.join(groups(light), "digest").select("digest", "id", "row", "keep", "group_size")
     )
-    return decided.select(
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, digest, keep_id, group_size, kept.
+
+    Of equal texts the row with the largest id stays; of rows that share id and text
+    exactly one stays; a null id is smaller than any other. Null and empty texts are one group.
+    An empty table gives an empty result. Other columns are ignored, whatever their names; texts of any length are hashed whole.
+    """
+    rows = stage(
+        pick(docs, id=id_col, text=text_col).select(
+            "id", digest(F.col("text")).alias("digest"), F.monotonically_increasing_id().alias("row")
+        ),
+        "digests",
+    )
+    return grouped(rows).select(
         "id", "digest", F.col("keep.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"),
     )
@@ -66,23 +70,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's rows without exact copies, all columns kept; see ``exact_groups`` for which one stays.
 
-    Only keys of dropped rows meet the wide rows, in one join; a second one is needed only where rows repeat whole. Rows that share id and text with the row that
-    stays cannot be told apart by id and are made one by their content.
+    Only numbers of dropped rows meet the wide rows, in one join. Columns may have any names, also ones that differ only
+    in case.
     """
-    lost = exact_groups(docs, id_col, text_col).where("not kept")
-    # whether a key's rows all go, or one of them stays
-    keys = stage(
-        lost.groupBy(F.struct("id").alias("__id"), F.col("digest").alias("__digest"))
-        .agg(F.max(~F.col("id").eqNullSafe(F.col("keep_id"))).alias("__gone")), "copies",
-    )
-    names = docs.columns
-    marked = docs.withColumns({"__id": F.struct(F.col(id_col).alias("id")), "__digest": digest(F.col(text_col))})
-    known = marked.join(keys, ["__id", "__digest"], "left")
-    single = known.where("__gone is null")
-    if keys.where("not __gone").isEmpty():
-        return single.select(*names)
-    merged = known.where("not __gone").dropDuplicates(["__id", "__digest"])
-    return single.select(*names).union(merged.select(*names))
+    held, restored = numbered(docs)
+    rows = stage(held.select(
+        F.col(column_of(docs, id_col)).alias("id"), digest(F.col(column_of(docs, text_col))).alias("digest"), F.col(ROW).alias("row")
+    ), "digests")
+    lost = grouped(rows).where(F.col("row") != F.col("keep.row")).select(F.col("row").alias(ROW))
+    return restored(held.join(lost, ROW, "left_anti"))
 
 
 @query("op2_exact_dedup", """

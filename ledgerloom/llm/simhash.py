@@ -5,24 +5,26 @@ most t bits, some segment starts a chain along the ring whose first l segments t
 differ in at most floor(l * t / SEGMENTS) bits, for every l. The first condition (no
 difference) and the next (at most one) are turned into join keys: the exact segments
 plus one half of the segments that allow a single difference, so that for t = 3 every
-fingerprint has 16 keys of 28 bits. Candidates that share a key must pass the whole chain before
-the full Hamming check. No candidate is lost and no bucket is capped.
+fingerprint has 16 keys of 28 bits. A key that too many fingerprints share is split by further segments of the
+ring. Candidates that share a key must pass the whole chain before the full Hamming check. No candidate is
+lost and no bucket is capped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import components, pick, query, table
+from ledgerloom.llm.common import ROW, column_of, components, numbered, pick, query, table
 from ledgerloom.sources.staging import stage
 
 SEGMENTS = 8
 WIDTH = 8
 MAX_DISTANCE = 3
+#: Fingerprints of one key that are paired; a key with more is split.
+MOST_IN_KEY = 256
 #: Shingle hashes whose bits are counted at a time.
 _CHUNK = 1 << 15
 
@@ -98,7 +100,13 @@ def _spans(limit: int) -> tuple[int, int]:
     return exact * WIDTH, once * WIDTH
 
 
+def _rest_width(limit: int) -> int:
+    exact, once = _spans(limit)
+    return 64 - exact - once // 2
+
+
 def _keys(fp: Column, limit: int) -> Column:
+    """(key, rest) for every start of the ring and each half of the bits that may differ once: rest is all but the key's bits."""
     exact, once = _spans(limit)
     half = once // 2
     keys = []
@@ -108,7 +116,11 @@ def _keys(fp: Column, limit: int) -> Column:
         for part, width, end in ((0, half, exact + half), (1, once - half, exact + once)):
             piece = _top(turned, end).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
             value = F.shiftleft(front, width).bitwiseOR(piece)
-            keys.append(F.xxhash64(F.lit(start * 2 + part), value))
+            low = turned.bitwiseAND(F.lit((1 << (64 - end)) - 1).cast("bigint"))
+            if part:
+                other = _top(turned, exact + half).bitwiseAND(F.lit((1 << half) - 1).cast("bigint"))
+                low = F.shiftleft(other, 64 - end).bitwiseOR(low)
+            keys.append(F.struct(F.xxhash64(F.lit(start * 2 + part), value).alias("key"), low.alias("rest")))
     return F.array(*keys)
 
 
@@ -124,15 +136,65 @@ def _chained(x: Column, limit: int) -> Column:
     return chains
 
 
-def links(values: DataFrame, limit: int = MAX_DISTANCE) -> DataFrame:
+def _parts(rest: Column, width: int, count: int) -> list[tuple[Column, Column]]:
+    """``rest`` of ``width`` bits in ``count`` parts: each part's value, and what is left without it."""
+    out, low = [], 0
+    for at in range(count):
+        size = width // count + (at < width % count)
+        value = F.shiftright(rest, low).bitwiseAND(F.lit((1 << size) - 1).cast("bigint"))
+        below = rest.bitwiseAND(F.lit((1 << low) - 1).cast("bigint"))
+        out.append((value, F.shiftleft(F.shiftright(rest, low + size), low).bitwiseOR(below)))
+        low += size
+    return out
+
+
+def split_keys(keyed: DataFrame, limit: int, most: int = MOST_IN_KEY) -> DataFrame:
+    """(key, fp) of rows (key, rest, fp), where no key has more than ``most`` fingerprints unless they are all alike.
+
+    ``rest`` holds the bits that a key does not fix. Fingerprints of one key that differ in at most ``limit`` bits agree in
+    one of limit + 1 parts of the rest, so a key with too many becomes one key for each part and its
+    value, again and again, until it is small or fixes all bits: no pair is lost, and none needs a cap.
+    """
+    done, width = None, _rest_width(limit)
+    while True:
+        counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        # rests of so few bits cannot differ in more than the limit
+        hot = stage(counts.where((F.col("n") > most) & F.lit(width > limit)).select("key"), "hot-keys")
+        # a key of one fingerprint has no pair
+        small = counts.where((F.col("n") > 1) & ((F.col("n") <= most) | F.lit(width <= limit))).select("key")
+        kept = keyed.join(small, "key", "left_semi").select("key", "fp")
+        done = kept if done is None else done.union(kept)
+        if hot.isEmpty():
+            return done
+        keys = keyed.join(hot, "key", "left_semi")
+        parts = F.array(*[
+            F.struct(F.xxhash64("key", F.lit(at), value).alias("key"), left.alias("rest"))
+            for at, (value, left) in enumerate(_parts(F.col("rest"), width, limit + 1))
+        ])
+        keyed = stage(keys.select("fp", F.explode(parts).alias("p")).select("p.key", "p.rest", "fp"), "split-keys")
+        width -= width // (limit + 1)
+
+
+def links(values: DataFrame, limit: int = MAX_DISTANCE, most: int = MOST_IN_KEY) -> DataFrame:
     """Pairs a < b of different fingerprints (column fp) that differ in at most ``limit`` bits."""
-    keyed = values.select("fp").distinct().select("fp", F.explode(_keys(F.col("fp"), limit)).alias("key"))
-    left, right = keyed.select("key", F.col("fp").alias("a")), keyed.select("key", F.col("fp").alias("b"))
+    keyed = stage(
+        values.select("fp").distinct().select("fp", F.explode(_keys(F.col("fp"), limit)).alias("k")).select("k.key", "k.rest", "fp"),
+        "print-keys",
+    )
+    paired = stage(split_keys(keyed, limit, most), "paired-keys")
+    left, right = paired.select("key", F.col("fp").alias("a")), paired.select("key", F.col("fp").alias("b"))
     x = F.col("a").bitwiseXOR(F.col("b"))
     near = (F.col("a") < F.col("b")) & _chained(x, limit) & (F.bit_count(x) <= limit)
     return left.join(right, (left["key"] == right["key"]) & near).select("a", "b").distinct()
 
 
+def roots(prints: DataFrame, limit: int = MAX_DISTANCE) -> DataFrame:
+    """(fp, root) for the distinct fingerprints of rows (fp): one root for all that links connect."""
+    nodes = prints.select("fp").distinct()
+    rooted = components(links(nodes, limit))
+    return nodes.join(rooted, nodes["fp"] == rooted["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def classes(prints: DataFrame, limit: int = MAX_DISTANCE) -> DataFrame:
     """(id, fp, component_id) for rows (id, fp): the smallest id reachable over links.
 
@@ -140,10 +202,7 @@ def classes(prints: DataFrame, limit: int = MAX_DISTANCE) -> DataFrame:
     the smallest; a class of null ids only has a null component_id.
     """
     nodes = prints.groupBy("fp").agg(F.min("id").alias("first"))
-    roots = components(links(nodes, limit))
-    rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = nodes.join(roots(nodes, limit), "fp")
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("id", "fp", "component_id")
@@ -162,187 +221,19 @@ def op7(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-# Near duplicates by similarity: common shingles of short prefixes give candidates, whole sets decide.
-
-#: Rows whose shingles are counted to put common ones last, and how many such shingles a task holds.
-SAMPLE_ROWS = 16_384
-COMMON = 1 << 16
-
-
-def _shingles(text: str | None, n: int):
-    """Distinct hashes of the lower-cased (A-Z) text's n-word shingles, ascending; fewer words are one, no words none."""
-    import numpy as np
-
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    return np.unique(_hashes(words, n, 42)).view(np.int64) if words else np.zeros(0, np.int64)
-
-
-def _share(similarity: float) -> tuple[int, int]:
-    """The similarity as an exact fraction of what its decimals say."""
-    if not 0 < similarity <= 1:
-        raise ValueError(f"a similarity above 0 and up to 1 is needed: {similarity}")
-    return Fraction(str(similarity)).as_integer_ratio()
-
-
-def common_shingles(rows: DataFrame, n: int) -> list[int]:
-    """Shingles of several sampled rows, at most COMMON. They only order the prefixes; no result depends on them."""
-    count = rows.count()
-    sample = rows if count <= SAMPLE_ROWS else rows.where(
-        F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < max(1, (SAMPLE_ROWS << 20) // count)
-    )
-
-    def run(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            found = [_shingles(t, n) for t in batch.column(1).to_pylist()]
-            values, counts = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts.astype(np.int64))], ["shingle", "n"])
-
-    counted = sample.mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 2")
-    return [r["shingle"] for r in counted.orderBy(F.desc("n"), "shingle").limit(COMMON).collect()]
-
-
-def prefix_rows(rows: DataFrame, n: int, similarity: float) -> DataFrame:
-    """(key, digest, size, front) of rows (key, text) with words: digest and size of the shingle set, and its prefix.
-
-    Sets of similarity s or more share ceil(s * size) of either one's shingles, so in any one order of all shingles
-    each has a shared one among its first size - ceil(s * size) + 1: no pair is lost. The order is by
-    hash with common shingles last, so that prefixes hold rare ones.
-    """
-    over, under = _share(similarity)
-    common = common_shingles(rows, n)
-
-    def run(batches: Iterator) -> Iterator:
-        import hashlib
-
-        import numpy as np
-        import pyarrow as pa
-
-        last = np.sort(np.array(common, np.int64))
-        for batch in batches:
-            rows, digests, sizes, fronts = [], [], [], []
-            for at, text in enumerate(batch.column(1).to_pylist()):
-                found = _shingles(text, n)
-                if len(found):
-                    rows.append(at)
-                    digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                    sizes.append(len(found))
-                    late = np.searchsorted(last, found, "right") > np.searchsorted(last, found)
-                    fronts.append(np.r_[found[~late], found[late]][: len(found) + over * -len(found) // under + 1])
-            ends = np.cumsum([0, *map(len, fronts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(pa.array(rows, pa.int64())), pa.array(digests, pa.binary()), pa.array(sizes, pa.int32()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*fronts, np.zeros(0, np.int64)]))),
-            ], ["key", "digest", "size", "front"])
-
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, digest binary, size int, front array<bigint>")
-
-
-def _possible(a: str, b: str, similarity: float) -> Column:
-    """Whether the sizes of two sets, and the places of a shingle that both have, leave room for the similarity."""
-    over, under = _share(similarity)
-    size_a, size_b, place_a, place_b = (F.col(x) for x in (f"{a}.size", f"{b}.size", f"{a}.place", f"{b}.place"))
-    most = F.least(place_a, place_b) + F.least(size_a - place_a, size_b - place_b)
-    return (F.least(size_a, size_b) * under >= F.greatest(size_a, size_b) * over) & (
-        most * (over + under) >= (size_a + size_b).cast("bigint") * over
-    )
-
-
-def similar_links(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose whole sets (node, shingles) have at least the similarity, decided on all shingles."""
-    over, under = _share(similarity)
-    shared = F.size(F.array_intersect("left", "right")).cast("bigint")
-    return (
-        pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
-        .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
-        .where(shared * under >= (F.size("left") + F.size("right") - shared) * over).select("a", "b")
-    )
-
-
-def _pairs(left: DataFrame, right: DataFrame, similarity: float, which: Column | None = None) -> DataFrame:
-    """Pairs of nodes under one key that can be similar, each once."""
-    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.node") != F.col("r.node")))
-    near = met.where(_possible("l", "r", similarity) if which is None else _possible("l", "r", similarity) & which)
-    return near.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct()
-
-
-def connected(keyed: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) that connect whatever the similar pairs among rows (key, node, size, place) connect.
-
-    Each key first compares its nodes with one of them, which is linear in a key of any size. Pairs that these
-    links connect need no comparison. Of the others each has a node outside its key's largest class:
-    only those nodes are paired, by an ordinary join that splits skewed keys over tasks.
-    """
-    hubs = keyed.groupBy("key").agg(F.min(F.struct(F.xxhash64("node"), "node", "size", "place")).alias("hub"))
-    stars = stage(similar_links(_pairs(keyed, hubs.select("key", "hub.node", "hub.size", "hub.place"), similarity), sets, similarity), "similar-stars")
-    parted = stage(
-        keyed.join(components(stars), "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root"), "similar-parts"
-    )
-    mixed = (
-        parted.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "part")).alias("most")).where("parts > 1")
-    )
-    held = stage(parted.join(mixed.select("key", F.col("most.part").alias("main")), "key"), "similar-mixed")
-    rest = _pairs(held.where("part <> main"), held, similarity, F.col("l.part") != F.col("r.part"))
-    return stars.union(similar_links(rest, sets, similarity))
-
-
-def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
-                    similarity: float = 0.8) -> DataFrame:
-    """(id, mark, class) of rows with words: texts linked by a share of ``similarity`` of their n-word shingles.
-
-    Rows with equal shingle sets are one node. Nodes that share a shingle of their prefixes are candidates, and
-    the whole sets decide. ``mark`` tells rows with one id apart.
-    """
-    texts = _marked(docs, id_col, text_col).select("__key", F.col(text_col).alias("text"))
-    rows = stage(prefix_rows(texts.withColumnRenamed("__key", "key"), n, similarity), "similar-rows")
-    nodes = stage(
-        rows.groupBy("digest").agg(F.min("key").alias("first"), F.first("size").alias("size"), F.first("front").alias("front"))
-        .withColumn("node", F.monotonically_increasing_id()), "similar-nodes",
-    )
-    keyed = nodes.select("node", "size", F.posexplode("front").alias("place", "key"))
-    # most keys are of one node and end here
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    keyed = stage(keyed.join(shared, "key", "left_semi"), "similar-keys")
-    sets = stage(_sets(texts, nodes, keyed, n), "similar-sets")
-    roots = components(connected(keyed, sets, similarity))
-    named = nodes.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("class"))
-    return rows.join(named, "digest").select("key.id", "key.mark", "class")
-
-
-def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("mark")))
-
-
-def _sets(texts: DataFrame, nodes: DataFrame, keyed: DataFrame, n: int) -> DataFrame:
-    """(node, shingles) of the nodes that have a shared key, from their texts."""
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([_shingles(t, n) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))
-            ], ["node", "shingles"])
-
-    wanted = nodes.select("node", F.col("first").alias("__key")).join(keyed.select("node").distinct(), "node")
-    # rows that repeat an id and its text are one
-    return texts.join(wanted, "__key").dropDuplicates(["__key"]).select("node", "text").mapInArrow(
-        run, "node bigint, shingles array<bigint>"
-    )
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The input's rows with one row of each class of near duplicates, the one with the smallest id; all columns kept.
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3, limit: int = MAX_DISTANCE) -> DataFrame:
+    """The input's rows with one row of each class of near duplicates, all columns kept.
 
-    Rows without words are near duplicates of nothing and stay.
+    Classes are those of ``classes`` over ``n``-word fingerprints within ``limit`` bits; the row with the smallest id stays, a
+    null id being larger than any other, and of rows with that id the first. Null texts and texts without
+    words have the fingerprint zero and are one class. Names that differ only in case, or are those that
+    this function uses itself, do no harm. An empty table gives an empty result; texts of any length are read whole.
     """
-    found = similar_classes(docs, id_col, text_col, n, similarity)
-    first = found.groupBy("class").agg(F.min(F.struct("id", "mark")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    lost = found.join(first, "class").where(~F.struct("id", "mark").eqNullSafe(F.col("first"))).select(
-        F.struct("id", "mark").alias("__key")
-    ).distinct()
-    names = docs.columns
-    return _marked(docs, id_col, text_col).join(lost, "__key", "left_anti").select(*names)
+    held, restored = numbered(docs)
+    keyed = held.select(F.struct(ROW, F.col(column_of(docs, id_col)).alias("id")).alias("key"), F.col(column_of(docs, text_col)).alias("text"))
+    prints = stage(fingerprints(keyed, "key", "text", n).select("id.*", "fp"), "prints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", ROW)).alias("first")
+    # copies are one row per fingerprint and task before any class is formed
+    nodes = prints.groupBy("fp").agg(first, F.count(F.lit(1)).alias("n"))
+    kept = nodes.join(roots(nodes, limit), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return restored(held.join(kept.select(F.col(f"first.{ROW}").alias(ROW)), ROW, "left_semi"))

@@ -16,7 +16,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import pick, query, table
+from ledgerloom.llm.common import column_of, pick, query, renamed, table
 
 #: Most labelled rows that a fit reads; the rows with the smallest id hashes are taken.
 TRAIN_ROWS = 20_000
@@ -118,30 +118,46 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
 def _automaton(entries: tuple[tuple[str, float], ...], exceptions: tuple[str, ...]):
     import ahocorasick
 
+    # a word may be an entry and an exception at once
+    weights = dict(entries)
+    harmless = {fold(phrase) for phrase in exceptions}
     machine = ahocorasick.Automaton()
-    for phrase in exceptions:
-        machine.add_word(fold(phrase), (len(fold(phrase)), None))
-    for term, weight in entries:
-        machine.add_word(term, (len(term), weight))
+    for word in weights.keys() | harmless:
+        machine.add_word(word, (len(word), weights.get(word), word in harmless))
     machine.make_automaton()
     return machine
 
 
 def matched(text: str | None, entries: tuple[tuple[str, float], ...], exceptions: tuple[str, ...] = EXCEPTIONS) -> tuple[float, int]:
-    """Total weight of lexicon entries at word starts outside exception phrases, and the number of words."""
+    """Total weight of lexicon entries at word starts outside exception phrases, and the number of words.
+
+    An exception is a phrase of whole words: "trash can" covers neither "trash candidate" nor "trash" alone.
+    """
     folded = fold(text)
     words = len(folded.split())
     if not entries or not words:
         return 0.0, words
     spans, hits = [], []
-    for end, (length, weight) in _automaton(entries, exceptions).iter(folded):
+    for end, (length, weight, harmless) in _automaton(entries, exceptions).iter(folded):
         start = end + 1 - length
-        if weight is None:
+        if start and folded[start - 1].isalnum():
+            continue
+        if harmless and not folded[end + 1: end + 2].isalnum():
             spans.append((start, end))
-        elif start == 0 or not folded[start - 1].isalnum():
+        if weight is not None:
             hits.append((start, end, weight))
-    if spans:
-        hits = [h for h in hits if not any(s <= h[0] and h[1] <= e for s, e in spans)]
+    if spans and hits:
+        # of the spans that begin at or before a hit only the one that reaches furthest matters
+        spans.sort()
+        hits.sort()
+        kept, at, reach = [], 0, -1
+        for hit in hits:
+            while at < len(spans) and spans[at][0] <= hit[0]:
+                reach = max(reach, spans[at][1])
+                at += 1
+            if hit[1] > reach:
+                kept.append(hit)
+        hits = kept
     return sum(h[2] for h in hits), words
 
 
@@ -175,7 +191,11 @@ class ToxicityModel:
         self.exceptions = exceptions
 
     def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(id, score, matched_weight, n_words) of every input row; null and empty texts score as texts without a match."""
+        """(id, score, matched_weight, n_words) of every input row; null and empty texts score as texts without a match.
+
+        Texts of any length are matched whole, in one pass. Repeated ids and rows stay rows of their own; other columns are
+        ignored, whatever their names.
+        """
         rows = pick(docs, id=id_col, text=text_col)
         entries, beta, exceptions = self.entries, self.beta, self.exceptions
 
@@ -200,7 +220,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_id: str = "doc_id", label_col: str = "toxic", limit: int = TRAIN_ROWS) -> ToxicityModel:
     """Lexicon and calibration from at most ``limit`` labelled rows outside the held-out fifth.
 
-    Without labelled rows, or with one class only, every text scores 0.
+    Without labelled rows, or with one class only, every text scores 0. Of rows that repeat an id one text is
+    learned from, and of labels that repeat one the largest counts.
     """
     import numpy as np
 
@@ -232,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input's rows that score below ``threshold``, all columns kept."""
+    """The input's rows that score below ``threshold``, all columns kept, whatever their names."""
     model = fit(docs, labels, id_col, text_col)
     entries, beta, exceptions = model.entries, model.beta, model.exceptions
 
@@ -244,7 +265,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_co
         x = np.array([features(*matched(t, entries, exceptions)) for t in texts]).reshape(-1, 3)
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ np.array(beta), -30, 30))))
 
-    return docs.where(score(F.col(text_col)) < threshold)
+    held, restored = renamed(docs)
+    return restored(held.where(score(F.col(column_of(docs, text_col))) < threshold))
 
 
 @query("op5_toxicity")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -213,20 +215,90 @@ def test_mixing(spark):
     assert mixing.plan_mix(df.limit(0)).count() == 0
 
 
-def test_mixed_rows_hold_the_taken_words(spark):
+def brute_mix(spark, rows):
+    """The schedule, slot by slot, as (source, block, [(id, begin, words)]), and the words taken of every row, in plain Python."""
+    sizes = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]
+    total = Counter()
+    for (_, _, s), n in zip(rows, sizes, strict=True):
+        total[s] += n
+    targets = brute_targets(dict(total))
+    hashed = spark.createDataFrame([(n, i, t) for n, (i, t, _) in enumerate(rows)], "n int, i bigint, t string").selectExpr(
+        "n", "xxhash64(i, xxhash64(t)) & 9223372036854775807 AS at", "xxhash64(t) AS mark"
+    ).collect()
+    place = {r["n"]: (r["at"], rows[r["n"]][0] is not None, rows[r["n"]][0] or 0, r["mark"], r["n"]) for r in hashed}
+    order = sorted((s for s in total if s is not None), key=lambda s: s.encode()) + ([None] if None in total else [])
+    block = {s: max(1, min(mixing.BLOCK_WORDS, total[s] // mixing.PARTS)) for s in order}
+    wanted = {s: targets[s] / block[s] for s in order}
+    edges, ends = 0.0, []
+    for s in order:
+        edges += wanted[s]
+        ends.append(edges)
+    stream, at = {s: [] for s in order}, dict.fromkeys(order, 0)
+    for n in sorted(range(len(rows)), key=place.get):
+        s = rows[n][2]
+        stream[s].append((n, at[s], at[s] + sizes[n]))
+        at[s] += sizes[n]
+    out, used, taken = [], Counter(), Counter()
+    for t in range(math.ceil(edges)):
+        u = math.fmod(t * mixing.GOLDEN, 1.0)
+        s = next(s for s, e in zip(order, ends, strict=True) if u * edges < e or s == order[-1])
+        if used[s] >= math.ceil(wanted[s]):
+            continue
+        number = used[s] % max(1, -(-total[s] // block[s]))
+        used[s] += 1
+        low, high = number * block[s], (number + 1) * block[s]
+        parts = [(n, max(a, low) - a, min(b, high) - max(a, low)) for n, a, b in stream[s] if max(a, low) < min(b, high)]
+        for n, _, words in parts:
+            taken[n] += words
+        out.append((t, s, number, [(rows[n][0], begin, k) for n, begin, k in parts]))
+    return out, taken
+
+
+def test_schedule_equals_brute_force(spark):
+    rows = [r for r in awkward() if r[1] is None or len(r[1]) < 3000] + [(700 + n, words(5 + n % 50, n), f"s{n % 3}") for n in range(60)]
+    rows = [r for n, r in enumerate(rows) if r not in rows[:n]]
+    want, taken = brute_mix(spark, rows)
+    got = [tuple(r) for r in mixing.schedule(documents(spark, rows)).collect()]
+    assert [r[0] for r in got] == sorted(r[0] for r in got)
+    assert got == [(t, s, number, i, begin, k) for t, s, number, parts in want for i, begin, k in parts]
+    have = Counter()
+    for r in mixing.plan_mix(documents(spark, rows)).collect():
+        have[r["id"], r["size"]] += r["taken"]
+    brute = Counter()
+    for n, (i, t, _) in enumerate(rows):
+        brute[i, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))] += taken[n]
+    assert have == brute
+
+
+def test_every_stretch_of_the_schedule_is_mixed(spark):
+    rows = [(n, words(100, n), "abc"[min(n % 10 // 4, 2)]) for n in range(300)]
+    slots = sorted({(r["slot"], r["source"]) for r in mixing.schedule(documents(spark, rows)).collect()})
+    sources = [s for _, s in slots]
+    share = {s: n / len(sources) for s, n in Counter(sources).items()}
+    for at in range(0, len(sources), 7):
+        held = Counter(sources[at: at + 40])
+        assert all(abs(held[s] - share[s] * len(sources[at: at + 40])) <= 4 for s in share)
+
+
+def test_mixed_rows_hold_the_taken_words_in_order(spark):
     rows = [(n, words(30 + n % 50, n), f"s{n % 4}") for n in range(200)] + awkward()
-    df = documents(spark, rows)
+    df = documents(spark, rows).selectExpr("*", "'x' AS `TEXT`", "'y' AS `DOC_ID`", "1 AS __words", "2 AS __slot", "3 AS c0")
     out = mixing.mix(df)
     assert out.columns == df.columns
     have: dict = {}
-    for r in out.select("doc_id", "text", "n_chars").collect():
-        assert r["n_chars"] == len(r["text"])
-        have[r["doc_id"]] = have.get(r["doc_id"], 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
+    mixed = [tuple(r) for r in out.toDF(*[f"x{n}" for n in range(len(out.columns))]).select("x0", "x1", "x4").collect()]
+    for i, text, chars in mixed:
+        assert chars == len(text)
+        have[i] = have.get(i, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", text))
     want: dict = {}
     for r in mixing.plan_mix(df).collect():
         if r["taken"]:
             want[r["id"]] = want.get(r["id"], 0) + r["taken"]
     assert have == want
+    # a row stands at the slot that takes its first word
+    first = [r["id"] for r in mixing.schedule(df).where("begin = 0").collect()]
+    assert Counter(i for i, _, _ in mixed) == Counter(first)
+    assert [i for i, _, _ in mixed] == first
     assert mixing.mix(df.limit(0)).count() == 0
 
 
