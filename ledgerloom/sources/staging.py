@@ -40,3 +40,15 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = staging_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Remove the files of a staged table that nothing reads any more."""
+    spark, root = df.sparkSession, staging_root(df.sparkSession)
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        top = fs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(root)).toUri().getPath()
+        if not place.toUri().getPath().startswith(f"{top}/"):
+            raise ValueError(f"{folder} is no staged table")
+        fs.delete(place, True)
