@@ -16,7 +16,7 @@ from ledgerloom.llm.lattice import encode, read_pieces
 from ledgerloom.llm.mixing import mix
 from ledgerloom.llm.simhash import drop_near_copies
 from ledgerloom.llm.toxicity import drop_toxic
-from ledgerloom.sources.staging import stage
+from ledgerloom.sources.staging import drop_staged, stage
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,12 +30,12 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class that shares 0.8 of its five-word shingles stays: the one with the smallest id."""
+    """One document of each class of fingerprints of three-word shingles within three bits stays: the one with the smallest id."""
     return drop_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a document as often as its source's target takes it, with its text cut where a block ends."""
+    """The mix in the order of its schedule: a document as often as its source's target takes it, cut where the mix ends."""
     return mix(docs)
 
 
@@ -58,8 +58,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, applied to the documents table."""
     docs = table(spark, sf_dir, "documents")
-    for at, (_, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
-        if at < len(STAGES) - 1:
-            docs = stage(docs, f"pipeline-{at}")
-    return docs
+    for at, (_, step) in enumerate(STAGES[:-1]):
+        older, docs = docs, stage(step(spark, docs, sf_dir), f"pipeline-{at}")
+        if at:
+            drop_staged(older)
+    return STAGES[-1][1](spark, docs, sf_dir)
