@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,15 +23,16 @@ from ledgerloom.llm.common import pick, query, table
 from ledgerloom.sources.staging import stage
 
 KINDS = ("email", "ip", "card", "phone")
-#: Fixed: the base patterns.
-BASE = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
-    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
-    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
-}
-#: What a text must hold for a base pattern to match at all.
-_NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+#: Fixed: parts of the base patterns. An address is a run before an @ and a domain behind it; an ip is four numbers
+#: of a chain. Found from these parts a text is read once, however long its runs are.
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+_NUMBER = re.compile(r"[0-9]+")
+_CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+_PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: A loose address must hold one of these.
+_AT = re.compile(r"[\[(]\s?at\s?[\])]")
 #: Looser patterns: what else may be personal data of a kind.
 LOOSE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]{2,64}\s?[\[(]\s?at\s?[\])]\s?[A-Za-z0-9-]+(?:(?:\s?[\[(]\s?dot\s?[\])]\s?|\.)[A-Za-z0-9-]+)+"),
@@ -76,17 +78,52 @@ def _valid(kind: str, text: str) -> bool:
     return 8 <= len(digits) <= 15
 
 
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost matches of run, @ and domain; a domain's end may cut the front of the next run."""
+    end = 0
+    for run in _LOCAL.finditer(text) if "@" in text else ():
+        if run.end() > end and text[run.end(): run.end() + 1] == "@":
+            domain = _DOMAIN.match(text, run.end() + 1)
+            if domain:
+                yield max(run.start(), end), domain.end()
+                end = domain.end()
+
+
+def _ips(text: str) -> Iterator[tuple[int, int]]:
+    """Four numbers in a row of every chain of numbers between single dots, then the next four."""
+    for chain in _CHAIN.finditer(text) if "." in text else ():
+        if chain.group().count(".") >= 3:
+            numbers = [m.span() for m in _NUMBER.finditer(text, chain.start(), chain.end())]
+            for at in range(0, len(numbers) - 3, 4):
+                yield numbers[at][0], numbers[at + 3][1]
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Base spans (kind, start, end) by kind as listed, then start; failing matches are dropped."""
-    return [
-        (kind, m.start(), m.end()) for kind in KINDS if _NEEDS[kind] in text
-        for m in BASE[kind].finditer(text) if _valid(kind, m.group())
-    ]
+    found = {
+        "email": _emails(text), "ip": _ips(text), "card": (m.span() for m in _CARD.finditer(text)),
+        "phone": (m.span() for m in _PHONE.finditer(text)) if "+" in text else (),
+    }
+    return [(kind, s, e) for kind in KINDS for s, e in found[kind] if _valid(kind, text[s:e])]
 
 
 def loose_spans(text: str) -> list[tuple[str, int, int]]:
     """Proposed spans, by kind and start."""
-    return [(kind, m.start(), m.end()) for kind in KINDS for m in LOOSE[kind].finditer(text)]
+    return [
+        (kind, m.start(), m.end()) for kind in KINDS if kind != "email" or _AT.search(text) for m in LOOSE[kind].finditer(text)
+    ]
+
+
+def apart(spans: list[tuple[str, int, int]], base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The spans that touch no base span of their kind; base spans of a kind do not overlap and are in order."""
+    edges = {kind: ([s for k, s, _ in base if k == kind], [e for k, _, e in base if k == kind]) for kind in KINDS}
+
+    def touches(kind: str, start: int, end: int) -> bool:
+        starts, ends = edges[kind]
+        at = bisect_right(ends, start)
+        return at < len(starts) and starts[at] < end
+
+    return [x for x in spans if not touches(*x)]
 
 
 _WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)?")
@@ -175,7 +212,9 @@ class SpanModel:
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans) of every input row: kind, start, end (code points, end exclusive), base flag and votes of each span.
 
-    Null and empty texts have no spans. Proposed spans that touch a base span of their kind are left out.
+    Null and empty texts have no spans. Proposed spans that touch a base span of their kind are left out. Texts of any length
+    are read whole, in time that grows with their length; a labeler sees ``CONTEXT`` characters and the last four
+    words before a span. Repeated ids and rows stay rows of their own; other columns are ignored, whatever their names.
     """
     rows = pick(docs, id=id_col, text=text_col)
 
@@ -187,9 +226,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             for text in batch.column(1):
                 text = text.as_py() or ""
                 base = base_spans(text)
-                more = [
-                    (k, s, e) for k, s, e in loose_spans(text) if not any(k == b and s < f and c < e for b, c, f in base)
-                ]
+                more = apart(loose_spans(text), base)
                 out.append([
                     {"kind": k, "start": s, "end": e, "base": own, "votes": list(votes(text, k, s, e, own))}
                     for own, spans in ((True, base), (False, more)) for k, s, e in spans

@@ -36,7 +36,7 @@ RULES = (
     Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow"),
 )
 #: Share of a host's score that is handed on, the least distrust that blocks, and when rounds end.
-DAMPING, THRESHOLD, CLOSE, MOST_ROUNDS, ROUNDS_AT_ONCE = 0.85, 0.25, 1e-4, 60, 5
+DAMPING, THRESHOLD, CLOSE, ROUNDS_AT_ONCE = 0.85, 0.25, 1e-4, 5
 _LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?\s*([^\"'\s>]+)"
 _TRUST, _DISTRUST = 0, 1
 
@@ -103,8 +103,8 @@ def host_scores(links: DataFrame, seeds: DataFrame) -> DataFrame:
         "side", "host", F.col("host").alias("to"), F.lit(1.0).alias("share")
     )
     moves = stage(moves.union(kept), "host-moves")
-    score, rounds = stage(nodes.select("side", "host", F.col("seed").alias("score")), "host-scores"), 0
-    while rounds < MOST_ROUNDS:
+    score = stage(nodes.select("side", "host", F.col("seed").alias("score")), "host-scores")
+    while True:
         before = score
         for _ in range(ROUNDS_AT_ONCE):
             got = score.join(moves, ["side", "host"]).groupBy("side", F.col("to").alias("host")).agg(
@@ -113,11 +113,10 @@ def host_scores(links: DataFrame, seeds: DataFrame) -> DataFrame:
             score = nodes.join(got, ["side", "host"], "left").select(
                 "side", "host", (F.col("seed") * (1 - DAMPING) + F.coalesce("got", F.lit(0.0)) * DAMPING).alias("score")
             )
-        rounds += ROUNDS_AT_ONCE
         score = stage(score, "host-scores")
         moved = score.join(before.withColumnRenamed("score", "old"), ["side", "host"]).agg(F.max(F.abs(F.col("score") - F.col("old")))).first()[0]
         if moved is None or moved <= CLOSE:
-            break
+            break  # what moves in all shrinks by DAMPING a round, so this comes
     side = F.col("side")
     return score.groupBy("host").agg(
         F.max(F.when(side == _TRUST, F.col("score"))).alias("trust"), F.max(F.when(side == _DISTRUST, F.col("score"))).alias("distrust")
