@@ -15,7 +15,6 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import PCA, PCAModel
@@ -27,6 +26,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.numbers import min_max_scaled
 from ledgerloom.operators.metrics import classification_metrics
 from ledgerloom.operators.mlprep import Preprocessor, split_features_target, stratified_split
+from ledgerloom.operators.net import NetModel
 from ledgerloom.operators.ordering import exact_quantiles
 from ledgerloom.operators.profile import throughput
 from ledgerloom.sources.staging import stage
@@ -43,7 +43,7 @@ SEARCH_RANGES: dict[str, dict[str, tuple[float, float, bool]]] = {
     "xgboost": {
         "n_estimators": (50, 500, False), "max_depth": (2, 10, False), "learning_rate": (0.01, 0.2, True),
     },
-    "local_neural_net": {"epochs": (5, 50, False)},
+    "local_neural_net": {"epochs": (5, 50, False), "learning_rate": (0.0001, 0.01, True)},
 }
 #: Memory of a task for the statistics of the nodes that are split at once.
 NODE_MEMORY_MB = 512
@@ -60,10 +60,7 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 
 
 def estimator(name: str, params: Mapping[str, Any], size: int, seed: int = 42):
-    """Spark ML estimator of a model name; tree depth is limited to 30 by Spark.
-
-    The net is fitted by L-BFGS, which finds its own step: its learning rate has no effect and is not searched.
-    """
+    """Spark ML estimator of a model name; tree depth is limited to 30 by Spark."""
     p = {**DEFAULTS[name], **params}
     common = {"featuresCol": "features", "labelCol": "label"}
     # tasks keep the node that each row has come to, instead of being sent all trees at every level
@@ -77,11 +74,6 @@ def estimator(name: str, params: Mapping[str, Any], size: int, seed: int = 42):
         return GBTClassifier(
             maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"], seed=seed, **common, **grown
         )
-    if name == "local_neural_net":
-        return MultilayerPerceptronClassifier(
-            layers=[size, *p["hidden_units"], 2], maxIter=p["epochs"], blockSize=p["batch_size"],
-            seed=seed, **common,
-        )
     raise ValueError(f"unknown model: {name}")
 
 
@@ -153,7 +145,7 @@ class Bundle:
         """(key, score, prediction, model_name): one lazy plan from features to scores."""
         ready = self.preprocessor.transform(features, [key, *keep])
         out = self.model.transform(ready)
-        if not isinstance(self.model, AnomalyModel):
+        if not isinstance(self.model, (AnomalyModel, NetModel)):
             score = vector_to_array("probability")[1]
             out = out.withColumn("score", score)
         return out.select(
@@ -175,6 +167,9 @@ class Bundle:
             m = self.model
             meta["anomaly"] = {"mean": m.mean, "low": m.low, "high": m.high, "threshold": m.threshold}
             m.pca.write().overwrite().save(f"{path}/model")
+        elif isinstance(self.model, NetModel):
+            meta["net"] = self.model.sizes
+            self.model.save(spark, f"{path}/model")
         else:
             PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
         self.preprocessor.save(spark, f"{path}/preprocessor")
@@ -184,9 +179,11 @@ class Bundle:
     def load(cls, spark: SparkSession, path: str) -> Bundle:
         """Read back what ``save`` wrote."""
         meta = json.loads(spark.read.parquet(f"{path}/meta").first()["meta"])
-        anomaly = meta.pop("anomaly", None)
+        anomaly, net = meta.pop("anomaly", None), meta.pop("net", None)
         if anomaly:
             model: Any = AnomalyModel(PCAModel.load(f"{path}/model"), **anomaly)
+        elif net:
+            model = NetModel.load(spark, f"{path}/model", net)
         else:
             model = PipelineModel.load(f"{path}/model")
         return cls(preprocessor=Preprocessor.load(spark, f"{path}/preprocessor"), model=model, **meta)
@@ -217,6 +214,8 @@ def fit_model(name: str, train: DataFrame, params: Mapping[str, Any], size: int,
     p = {**DEFAULTS[name], **params}
     if name == "pyod_autoencoder":
         return AnomalyModel.fit(train, p["components"], p["contamination"])
+    if name == "local_neural_net":
+        return NetModel.fit(train, size, p["hidden_units"], p["epochs"], p["batch_size"], p["learning_rate"], seed)
     weighted = class_weights(train, "label") if p.get("class_weight") == "balanced" else train
     return estimator(name, params, size, seed).fit(weighted)
 
@@ -248,7 +247,7 @@ def train_model(
 def scored_rows(model: Any, ready: DataFrame, target: str) -> DataFrame:
     """(target, score, prediction) of prepared rows."""
     out = model.transform(ready)
-    if not isinstance(model, AnomalyModel):
+    if not isinstance(model, (AnomalyModel, NetModel)):
         out = out.withColumn("score", vector_to_array("probability")[1])
     return out.select(target, "score", F.col("prediction").cast("int").alias("prediction"))
 

@@ -270,6 +270,49 @@ def test_train_save_load_score(spark, folder, features, name, params, floor):
     assert set(loaded.evaluate(features, KEY)) == {f"full_{m}" for m in ("precision", "recall", "f1", "roc_auc", "pr_auc")}
 
 
+def test_net_gradients_equal_differences():
+    import numpy as np
+
+    from ledgerloom.operators import net
+
+    draw = np.random.default_rng(2)
+    sizes = [4, 5, 3, 1]
+    flat = draw.normal(size=sum(int(np.prod(s)) for s in net._shapes(sizes)))
+    x, y = draw.normal(size=(7, 4)), draw.integers(0, 2, 7).astype(float)
+
+    def loss(flat):
+        z = net.forward(net._unflat(flat, sizes), x)[-1][:, 0]
+        return float(np.mean(np.log1p(np.exp(z)) - y * z))
+
+    slope = np.concatenate([g.ravel() for g in net.gradients(net._unflat(flat, sizes), x, y)])
+    for at in range(len(flat)):
+        up, down = flat.copy(), flat.copy()
+        up[at] += 1e-6
+        down[at] -= 1e-6
+        assert abs((loss(up) - loss(down)) / 2e-6 - slope[at]) < 1e-5
+
+
+def test_the_net_learns_at_its_rate_and_in_parallel(spark, folder, features, monkeypatch):
+    import numpy as np
+
+    from ledgerloom.operators import net
+
+    settings = {"hidden_units": [16, 8], "epochs": 12, "batch_size": 16, "learning_rate": 0.01}
+    bundle = train_model(features, KEY, "TARGET", "local_neural_net", settings)
+    assert bundle.metrics["test_roc_auc"] > 0.95
+    slow = train_model(features, KEY, "TARGET", "local_neural_net", {**settings, "learning_rate": 1e-6})
+    assert not np.allclose(slow.model.flat, bundle.model.flat) and slow.metrics["test_pr_auc"] < bundle.metrics["test_pr_auc"]
+    bundle.save(spark, f"{folder}/net")
+    loaded = Bundle.load(spark, f"{folder}/net")
+    one = {r[KEY]: r["score"] for r in bundle.score(features, KEY).collect()}
+    assert one == pytest.approx({r[KEY]: r["score"] for r in loaded.score(features, KEY).collect()})
+    # several tasks, whose changes are averaged
+    monkeypatch.setattr(net, "LEAST_BATCHES", 4)
+    monkeypatch.setattr(net, "SLICE", 50)
+    parallel = train_model(features, KEY, "TARGET", "local_neural_net", {**settings, "epochs": 30})
+    assert parallel.metrics["test_roc_auc"] > 0.9
+
+
 def test_one_hot_part_of_the_vector(spark, features):
     from pyspark.ml.functions import vector_to_array
 
