@@ -8,7 +8,6 @@ reads the table. Counts, means, deviations and bounds are exact; distinct counts
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession

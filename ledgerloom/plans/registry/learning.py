@@ -33,7 +33,7 @@ from ledgerloom.operators.models import (
     train_model,
 )
 from ledgerloom.operators.ordering import exact_quantiles
-from ledgerloom.plans.registry.base import APPLICATIONS_SQL, applications, fixed, fixed_sql, query, table
+from ledgerloom.plans.registry.base import APPLICATIONS_SQL, fixed, fixed_sql, query, table
 from ledgerloom.plans.registry.features import wide_features
 from ledgerloom.plans.registry.incremental import KEY, MODELS, PREDICTIONS_SQL, predictions
 from ledgerloom.plans.registry.monitoring import CONFUSION_SQL, ranking_sql

@@ -25,13 +25,15 @@ def build_dictionaries(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 def storage_layout(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """Range partitioned and sorted by the storage key, null keys first.
 
-    A row hash, and the row id where there is one, follow the key, so that a hot key is cut
-    over several partitions.
+    The row id, or else a hash of the row and of the task that held it, follows the key, so that a hot key is cut
+    over several partitions, and rows that are alike too.
     """
     keys = list(keys or storage_keys(df.columns))
     order = [F.col(k).asc_nulls_first() for k in keys]
-    spread = F.col(ROW_ID) if ROW_ID in df.columns else F.xxhash64(*df.columns)
-    return df.repartitionByRange(*order, spread).sortWithinPartitions(*order, spread)
+    if ROW_ID in df.columns:
+        return df.repartitionByRange(*order, ROW_ID).sortWithinPartitions(*order, ROW_ID)
+    marked = df.withColumn("__spread", F.xxhash64(F.spark_partition_id(), *df.columns))
+    return marked.repartitionByRange(*order, "__spread").sortWithinPartitions(*order, "__spread").drop("__spread")
 
 
 def with_row_id(df: DataFrame) -> DataFrame:
