@@ -16,7 +16,6 @@ averaged by Spark, row by row, by how often each class was seen.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
