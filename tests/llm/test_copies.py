@@ -8,7 +8,6 @@ import itertools
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 from samples import awkward, documents, words
 
 from ledgerloom.llm import exact_dedup, repeats, simhash
@@ -166,31 +165,6 @@ def test_components_of_chains_and_hubs(spark):
     assert {got[n] for n in range(61)} == {0} and {got[n] for n in range(1000, 1200)} == {1000}
 
 
-@pytest.mark.parametrize("limit", [1, 3])
-def test_split_keys_lose_no_link(spark, limit):
-    """A third of the fingerprints share the front bits; the keys that they share are split and no pair is lost."""
-    draw = np.random.default_rng(9)
-    front = int(draw.integers(0, 1 << 40)) << 23
-    values = {front | int(x) for x in draw.integers(0, 1 << 18, 300)}
-    for v in list(values)[:60]:
-        bits = draw.choice(23, limit, replace=False)
-        values.add(v ^ sum(1 << int(b) for b in bits))
-    values |= {int(x) for x in draw.integers(-(1 << 62), 1 << 62, 500)}
-    df = spark.createDataFrame([(v,) for v in values], "fp bigint")
-    want = {(a, b) for a, b in itertools.combinations(sorted(values), 2) if ((a ^ b) % (1 << 64)).bit_count() <= limit}
-    have = {(r["a"], r["b"]) for r in simhash.links(df, limit, most=8).collect()}
-    assert have == want and want
-
-
-def test_a_hot_key_is_not_paired_all_by_all(spark):
-    values = [n * 2654435761 % (1 << 36) for n in range(6000)]
-    df = spark.createDataFrame([(v,) for v in values], "fp bigint")
-    keys = df.select("fp", F.explode(simhash._keys(F.col("fp"), 3)).alias("k")).select("k.key", "k.rest", "fp")
-    sizes = simhash.split_keys(keys, 3).groupBy("key").count().agg(F.max("count"), F.sum(F.col("count") * F.col("count"))).first()
-    assert sizes[0] <= simhash.MOST_IN_KEY
-    assert sizes[1] < 6000 * 6000
-
-
 def test_near_copies(spark):
     rows = [r for r in awkward() if r[0] != 15] + [(300 + n, words(200, 70 + n // 5) + f" {words(n % 5, n)}", "a") for n in range(40)]
     rows += [(2000, None, "a"), (2001, "", "a"), (2002, " ", "a")]
