@@ -19,7 +19,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import pick, query, table
+from ledgerloom.llm.common import cut_parts, pick, query, table
 
 #: A public piece model; any path can be given.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -29,14 +29,14 @@ _WORD = re.compile(r" ?(?:\w+|[^\w\s]+)|\s")
 #: Longest word in characters whose substrings become rows.
 LONGEST_WORD = 64
 #: Characters of text in a block; words of a bucket are those of about so many characters.
-BLOCK = 24_000_000
+BLOCK = 16_000_000
 #: Blocks in one row of a word; partitions of words for each bucket, so that a task's edges stay in memory.
 BLOCKS_IN_ROW = 10_000
 PARTITIONS = 8
 #: What a character without a piece costs beyond the least piece.
 UNKNOWN_COST = 10.0
 #: Compression of what is shuffled.
-LEVEL = 6
+LEVEL = 8
 _MARK = "▁"
 
 
@@ -92,6 +92,8 @@ class Words:
         spanning = [(p, _WORD.findall(p)) for p, _, _ in pieces.rows]
         self.spanning = {p for p, words in spanning if len(words) > 1}
         self.longest = max(map(len, self.spanning), default=0)
+        # a piece that holds a space after another character would reach over a cut
+        self.cuts = not any(re.search("[^ ] ", p) for p, _, _ in pieces.rows)
         # the two characters at each inner end, and characters of which every spanning piece has one
         self.ends = {p[at - 1: at + 1] for p, words in spanning for at in accumulate(map(len, words[:-1]))}
         self.marks: list[str] = []
@@ -101,6 +103,12 @@ class Words:
             self.marks.append(min(counts, key=lambda c: (-counts[c], c)))
             left = {p for p in left if self.marks[-1] not in p}
 
+    def parts(self, text: str | None) -> list[str]:
+        """Parts whose words are the words of the text, as no piece reaches over a cut."""
+        if not text:
+            return []
+        return cut_parts(text) if self.cuts else [text]
+
     def __call__(self, text: str | None) -> list[str]:
         words = split_words(text)
         if not text or not any(m in text for m in self.marks):
@@ -203,22 +211,24 @@ def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None
     )
     grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("stop", "start", "score", "code"))).alias("edges"))
 
-    def step(best, edge):
-        # best holds the path to every position so far; the start of an edge is always among them
-        before = F.element_at(best, edge["start"] + 1)
+    def step(state, edge):
+        # the best path to every earlier position, and the best one so far to the position at hand
+        fresh = edge["stop"] > state["stop"]
+        before = F.when(edge["start"] == state["stop"], state["best"]).otherwise(F.element_at(state["done"], edge["start"] + 1))
         path = F.struct(
             (before["score"] + edge["score"]).alias("score"), (-edge["start"]).alias("back"),
             F.concat(before["path"], edge["code"]).alias("path"),
         )
-        return F.when(F.size(best) == edge["stop"], F.concat(best, F.array(path))).otherwise(
-            F.concat(F.slice(best, F.lit(1), edge["stop"]), F.array(F.greatest(F.element_at(best, -1), path)))
-        )
+        return F.when(fresh, F.struct(
+            F.concat(state["done"], F.array(state["best"])).alias("done"), edge["stop"].alias("stop"), path.alias("best")
+        )).otherwise(F.struct(state["done"].alias("done"), state["stop"].alias("stop"), F.greatest(state["best"], path).alias("best")))
 
-    none = F.array(F.struct(
-        F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(bytearray()).alias("path")
-    )).cast("array<struct<score:double,back:int,path:binary>>")
-    best = F.aggregate("edges", none, step)
-    return grouped.select("word", F.element_at(best, -1)["path"].alias("code"))
+    path = "struct<score:double,back:int,path:binary>"
+    none = F.struct(
+        F.array().cast(f"array<{path}>").alias("done"), F.lit(0).alias("stop"),
+        F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(bytearray()).alias("path")).alias("best"),
+    ).cast(f"struct<done:array<{path}>,stop:int,best:{path}>")
+    return grouped.select("word", F.aggregate("edges", none, step)["best"]["path"].alias("code"))
 
 
 def _batches(batches: Iterator, limit: int) -> Iterator[tuple[list, list[str | None]]]:
@@ -266,7 +276,9 @@ def _unpacked(data: bytes) -> list[list]:
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, n_tokens, exact) of every input row: piece ids, and whether decoding them gives the text.
 
-    Null and empty texts have no ids. The whole text is encoded, white space included.
+    Null and empty texts have no ids. The whole text is encoded, white space included, whatever its length; repeated ids and
+    rows stay rows of their own, and other columns are ignored. The table is read twice and must give its rows in
+    the same order both times, as files and staged tables do.
     """
     rows = pick(docs, id=id_col, text=text_col)
     kind = rows.schema["id"].dataType.simpleString()
@@ -274,17 +286,26 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     buckets = max(1, -(-total // BLOCK))
     words_of = Words(pieces)
 
+    def bucket_of(word: str) -> int:
+        import xxhash
+
+        return xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) % buckets
+
+    def shared_out(words: set[str]) -> dict[int, list[str]]:
+        """Words by bucket, in order."""
+        shares: dict[int, list[str]] = {}
+        for word in sorted(words):
+            shares.setdefault(bucket_of(word), []).append(word)
+        return shares
+
     def distinct_words(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
 
         for ids, texts in _batches(batches, BLOCK):
-            block, words = _block_of(ids, texts), set()
+            block, parts = _block_of(ids, texts), set()
             for text in texts:
-                words.update(words_of(text))
-            shares: dict[int, list[str]] = {}
-            for word in sorted(words):
-                shares.setdefault(xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) % buckets, []).append(word)
+                parts.update(words_of.parts(text))
+            shares = shared_out({word for part in parts for word in words_of(part)})
             yield pa.RecordBatch.from_arrays([
                 pa.array([block] * len(shares), pa.int64()), pa.array(list(shares), pa.int64()),
                 pa.array([_packed([pa.array(w, pa.string())]) for w in shares.values()], pa.binary()),
@@ -300,80 +321,103 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
             ], ["block", "ids", "data"])
 
     def holders(got):
+        import numpy as np
         import pyarrow as pa
 
-        blocks: dict[str, list[int]] = {}
+        # where a word stands: the block, and its place among the block's words of its bucket
+        held: dict[str, list[tuple[int, int]]] = {}
         for block, data in zip(got.column("block").to_pylist(), got.column("data").to_pylist(), strict=True):
-            for word in _unpacked(data)[0]:
-                blocks.setdefault(word, []).append(block)
-        out = [(w, n, b[at: at + BLOCKS_IN_ROW]) for w, b in blocks.items() for n, at in enumerate(range(0, len(b), BLOCKS_IN_ROW))]
+            for place, word in enumerate(_unpacked(data)[0]):
+                held.setdefault(word, []).append((block, place))
+        out = [
+            (w, n, np.array(b[at: at + BLOCKS_IN_ROW], np.int64).tobytes())
+            for w, b in held.items() for n, at in enumerate(range(0, len(b), BLOCKS_IN_ROW))
+        ]
         known: dict[str, tuple[float, bytes]] = {}
-        if any(len(w) > LONGEST_WORD for w in blocks):
+        if any(len(w) > LONGEST_WORD for w in held):
             known = {p: (s, i.to_bytes(width, "little")) for p, i, s in pieces.rows}
         longest, unknown = pieces.longest, pieces.unknown
-        folded = {w: best_path(w, known, pieces, longest, unknown) for w in blocks if len(w) > LONGEST_WORD}
+        folded = {w: best_path(w, known, pieces, longest, unknown) for w in held if len(w) > LONGEST_WORD}
         return pa.table([
             pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.int32()),
-            pa.array([o[2] for o in out], pa.list_(pa.int64())), pa.array([folded.get(o[0]) for o in out], pa.binary()),
-        ], ["word", "part", "blocks", "whole"])
+            pa.array([o[2] for o in out], pa.binary()), pa.array([folded.get(o[0]) for o in out], pa.binary()),
+        ], ["word", "part", "places", "whole"])
 
     width = pieces.width
     spelled = {i: p.encode() for p, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
 
     def pack_codes(batches: Iterator) -> Iterator:
-        """One row per block and task: words, their codes, and whether a code decodes to its word."""
-        import pyarrow as pa
-
+        """One row per block and task: buckets and places of words, their codes, and whether a code decodes to its word."""
         import numpy as np
+        import pyarrow as pa
 
         kind_of = "<u2" if width == 2 else "<u4"
-        held: dict[int, list[tuple[str, bytes, bool]]] = {}
+        held: dict[int, list[tuple[int, int, bytes, bool]]] = {}
         for batch in batches:
-            for blocks, word, code in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for places, word, code in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 decoded = b"".join(map(spelled.__getitem__, np.frombuffer(code, kind_of).tolist()))
-                answer = (word, code, decoded == word.encode("utf-8", "replace"))
-                for block in blocks:
-                    held.setdefault(block, []).append(answer)
+                right, bucket = decoded == word.encode("utf-8", "replace"), bucket_of(word)
+                for block, place in np.frombuffer(places, np.int64).reshape(-1, 2).tolist():
+                    held.setdefault(block, []).append((bucket, place, code, right))
         for block, answers in held.items():
-            words, codes, right = zip(*sorted(answers), strict=True)
-            data = _packed([pa.array(words, pa.string()), pa.array(codes, pa.binary()), pa.array(right, pa.bool_())])
+            buckets_of, places, codes, right = zip(*sorted(answers), strict=True)
+            data = _packed([pa.array(buckets_of, pa.int64()), pa.array(places, pa.int32()), pa.array(codes, pa.binary()), pa.array(right, pa.bool_())])
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["block", "data"])
 
     def join(left, right):
         import numpy as np
         import pyarrow as pa
 
+        kind_of = "<u2" if width == 2 else "<u4"
+        rows = [
+            (i, text) for own, data in zip(left.column("ids").to_pylist(), left.column("data").to_pylist(), strict=True)
+            for i, text in zip(own, _unpacked(data)[1], strict=True)
+        ]
+        # parts are split twice rather than held: a block's distinct parts are far fewer
+        distinct: set[str] = set()
+        for _, text in rows:
+            distinct.update(words_of.parts(text))
+        shares = shared_out({w for part in distinct for w in words_of(part)})
         codes: dict[str, bytes] = {}
         wrong: set[str] = set()
         for data in right.column("data").to_pylist():
-            words, of, decoded = _unpacked(data)
-            codes.update(zip(words, of, strict=True))
-            if not all(decoded):
-                wrong.update(w for w, d in zip(words, decoded, strict=True) if not d)
-        kind_of = "<u2" if width == 2 else "<u4"
-        ids, found, sizes, exact = [], [], [], []
-        for own, data in zip(left.column("ids").to_pylist(), left.column("data").to_pylist(), strict=True):
-            for i, text in zip(own, _unpacked(data)[1], strict=True):
-                words = words_of(text)
-                code = b"".join(map(codes.__getitem__, words))
-                ids.append(i)
-                found.append(code)
-                sizes.append(len(code) // width)
-                exact.append((not wrong or wrong.isdisjoint(words)) and "".join(words)[1:] == (text or ""))
+            for bucket, place, code, decoded in zip(*_unpacked(data), strict=True):
+                word = shares[bucket][place]
+                codes[word] = code
+                if not decoded:
+                    wrong.add(word)
+        del shares
+        # a part's code is put together once
+        code_of: dict[str, bytes] = {}
+        bad: set[str] = set()
+        for part in distinct:
+            words = words_of(part)
+            code_of[part] = b"".join(map(codes.__getitem__, words))
+            if "".join(words) != " " + part or not wrong.isdisjoint(words):
+                bad.add(part)
+        del codes, distinct
+        found, exact = [], []
+        for _, text in rows:
+            parts = words_of.parts(text)
+            found.append(b"".join(map(code_of.__getitem__, parts)))
+            exact.append(not bad or bad.isdisjoint(parts))
+        sizes = [len(f) // width for f in found]
         flat = np.frombuffer(b"".join(found), kind_of).astype(np.int32)
-        del codes, found
         offsets = np.r_[np.int32(0), np.cumsum(np.array(sizes, np.int32), dtype=np.int32)].astype(np.int32)
         return pa.table([
-            pa.array(ids, id_arrow), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(sizes, pa.int32()), pa.array(exact, pa.bool_()),
+            pa.array([i for i, _ in rows], id_arrow), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+            pa.array(sizes, pa.int32()), pa.array(exact, pa.bool_()),
         ], ["id", "ids", "n_tokens", "exact"])
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_arrow = to_arrow_type(rows.schema["id"].dataType)
     sent = rows.mapInArrow(distinct_words, "block bigint, bucket bigint, data binary")
-    words = sent.groupBy("bucket").applyInArrow(holders, "word string, part int, blocks array<bigint>, whole binary")
+    words = sent.groupBy("bucket").applyInArrow(holders, "word string, part int, places binary, whole binary")
     codes = encode_words(words.where("part = 0 and whole is null"), pieces, PARTITIONS * buckets)
-    answers = words.join(codes, "word", "left").select("blocks", "word", F.coalesce("whole", "code").alias("code")).mapInArrow(pack_codes, "block bigint, data binary")
+    answers = words.join(codes, "word", "left").select(
+        "places", "word", F.coalesce("whole", "code").alias("code")
+    ).mapInArrow(pack_codes, "block bigint, data binary")
     texts = rows.mapInArrow(texts_of, f"block bigint, ids array<{kind}>, data binary")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         join, f"id {kind}, ids array<int>, n_tokens int, exact boolean"
