@@ -6,8 +6,8 @@ their parts are. A border phrase that turns out to be frequent is a failure of t
 proposal, and a further pass counts what the larger proposal adds, until nothing frequent is left
 outside it. After pass k all frequent phrases of k words are known, so four passes are the most.
 
-The proposal is held as a bit filter of ``BITS`` bits, whatever the number of phrases: a phrase that it holds by
-mistake is counted without need and changes no result. Tasks count in chunks of text with numpy and send one
+The proposal is held as a bit filter of at most ``MOST`` bits, whatever the number of phrases: a phrase that it holds
+by mistake is counted without need and changes no result. Tasks count in chunks of text with numpy and send one
 row for each distinct phrase of a chunk.
 """
 
@@ -27,12 +27,13 @@ from ledgerloom.sources.staging import stage
 #: Contract: words of a phrase, its least number of occurrences, share (per cent) at which a longer one absorbs
 #: it, and phrases kept for each language.
 LONGEST, LEAST, ABSORBED, KEPT = 4, 30, 80, 2000
-#: Share of the documents that proposes; a phrase is proposed at this part of its expected number in the sample.
-SHARE, EASE = 1 / 8, 0.6
-#: Bits of the filter, a power of two.
-BITS = 1 << 27
+#: Share of the documents that proposes, and how often a phrase must stand in it, as a part of LEAST times the share. Above 1
+#: a further pass finds more of the phrases near LEAST, but chance proposals, whose border would be counted, are few.
+SHARE, EASE = 1 / 8, 1.6
+#: Bits of the filter: so many for each phrase known when it is made, a power of two within these bounds.
+PER_PHRASE, FEWEST, MOST = 32, 1 << 16, 1 << 27
 #: Bytes of text that are counted at a time.
-CHUNK = 8_000_000
+CHUNK = 5_000_000
 
 #: What ends a piece, as one byte that no UTF-8 text holds; the letters A-Z are lower-cased, a tab is a space.
 _END = b"\xff"
@@ -158,7 +159,7 @@ def pieces_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 def count_pass(texts: DataFrame, old, new, longest: int, least: int) -> DataFrame:
-    """Frequent (lang, phrase, size, n) that the filter ``new`` adds to ``old``; size 0 has a language's words in all.
+    """Staged frequent (lang, phrase, size, n) that the filter ``new`` adds to ``old``; size 0 has a language's words in all.
 
     ``old`` None: the first pass, which counts all words; ``new`` None holds nothing.
     """
@@ -185,15 +186,27 @@ def count_pass(texts: DataFrame, old, new, longest: int, least: int) -> DataFram
         yield from out(chunk)
 
     counted = texts.mapInArrow(run, "lang string, phrase string, size int, n bigint")
-    return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where((F.col("size") == 0) | (F.col("n") >= least))
+    found = stage(
+        counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where((F.col("size") == 0) | (F.col("n") >= least)), "phrases"
+    )
+    shared.destroy()
+    return found
+
 
+def widened(found: DataFrame, words, longest: int):
+    """The filter with all phrases of less than ``longest`` words in it; None if it holds them already.
 
-def outside(found: DataFrame, words, longest: int) -> DataFrame:
-    """(slot, word): bits of the phrases of less than ``longest`` words that the filter does not hold, as 64-bit words."""
+    A filter keeps the size that it was made with, so a wider one holds all that it held. At most MOST / 64 rows are collected.
+    """
+    import numpy as np
+
+    rows = found.where((F.col("size") > 0) & (F.col("size") < longest)).select("lang", "phrase")
+    if words is None:
+        wanted = max(FEWEST, PER_PHRASE * rows.count())
+        words = np.zeros(min(MOST, 1 << (wanted - 1).bit_length()) // 64, np.uint64)
     shared = found.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         held = shared.value
@@ -205,26 +218,17 @@ def outside(found: DataFrame, words, longest: int) -> DataFrame:
                 for word in rest:
                     value = longer_hash(value, np.array([word], np.uint64))
                 values[at] = value[0]
-            new = values if held is None else values[~holds(held, values)]
-            at = np.unique(bits_of(new, BITS))
+            at = np.unique(bits_of(values[~holds(held, values)], len(held) * 64))
             slots, starts = np.unique(at >> 6, return_index=True)
             bits = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64))
             merged = np.bitwise_or.reduceat(bits, starts) if len(at) else bits
             yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(merged.view(np.int64))], ["slot", "word"])
 
-    rows = found.where((F.col("size") > 0) & (F.col("size") < longest)).select("lang", "phrase")
-    return rows.mapInArrow(run, "slot bigint, word bigint").groupBy("slot").agg(F.bit_or("word").alias("word"))
-
-
-def widened(found: DataFrame, words, longest: int):
-    """The filter with all phrases of ``found`` in it; None if it holds them already. At most BITS / 64 rows are collected."""
-    import numpy as np
-
-    added = outside(found, words, longest).toArrow()
+    added = rows.mapInArrow(run, "slot bigint, word bigint").groupBy("slot").agg(F.bit_or("word").alias("word")).toArrow()
+    shared.destroy()
     if not added.num_rows:
         return None
-    out = np.zeros(BITS // 64, np.uint64) if words is None else words.copy()
-    slots = added.column("slot").to_numpy()
+    out, slots = words.copy(), added.column("slot").to_numpy()
     out[slots] |= added.column("word").to_numpy().view(np.uint64)
     return out
 
@@ -234,17 +238,15 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST, longest: int = LONGES
 
     ``proposed``: a filter of phrases that are counted in the first pass already; no result depends on it.
     """
-    found = stage(count_pass(texts, None, proposed, longest, least), "phrases")
-    new, old, passes = found, proposed, 1
-    while True:
-        wider = widened(new, old, longest)
-        if wider is None:
-            return found, passes
-        import numpy as np
+    import numpy as np
 
+    found = count_pass(texts, None, proposed, longest, least)
+    new, old, passes = found, proposed, 1
+    while (wider := widened(new, old, longest)) is not None:
         passes += 1
-        new = stage(count_pass(texts, np.zeros(BITS // 64, np.uint64) if old is None else old, wider, longest, least), "phrases")
+        new = count_pass(texts, np.zeros(len(wider), np.uint64) if old is None else old, wider, longest, least)
         found, old = found.union(new), wider
+    return found, passes
 
 
 def propose(texts: DataFrame, least: int = LEAST, longest: int = LONGEST, share: float = SHARE):

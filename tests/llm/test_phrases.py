@@ -111,7 +111,8 @@ def test_collocations_equal_brute_force(spark, monkeypatch, chunk):
 
 def test_a_full_filter_changes_no_result(spark, monkeypatch):
     rows = texts(80, 6)
-    monkeypatch.setattr(phrases, "BITS", 128)
+    monkeypatch.setattr(phrases, "FEWEST", 128)
+    monkeypatch.setattr(phrases, "MOST", 128)
     got = sorted(tuple(r) for r in phrases.mine(frame(spark, rows), least=4, kept=25).collect())
     assert got == brute(rows, 4, 25)
 
