@@ -33,7 +33,7 @@ SHARE, EASE = 1 / 8, 1.6
 #: Bits of the filter: so many for each phrase known when it is made, a power of two within these bounds.
 PER_PHRASE, FEWEST, MOST = 32, 1 << 16, 1 << 27
 #: Bytes of text that are counted at a time.
-CHUNK = 5_000_000
+CHUNK = 2_000_000
 
 #: What ends a piece, as one byte that no UTF-8 text holds; the letters A-Z are lower-cased, a tab is a space.
 _END = b"\xff"
