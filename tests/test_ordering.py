@@ -121,3 +121,17 @@ def test_pages_and_slices(spark):
     assert {(r["page"], r["count"]) for r in pages} == {(0, 10), (1, 10), (2, 5)}
     part = sorted_slice(df, ["n"], 5, 8, ["drop_me"])
     assert part.columns == ["n"] and sorted(r["n"] for r in part.collect()) == [5, 6, 7]
+
+
+def test_a_staged_table_is_numbered_without_a_second_copy(spark, monkeypatch):
+    from ledgerloom.operators import ordering
+
+    labels, kept = [], ordering.stage
+    monkeypatch.setattr(ordering, "stage", lambda df, label="stage": labels.append(label) or kept(df, label))
+    rows = spark.range(600).selectExpr("id % 3 AS g", "id % 7 AS v").repartition(5)
+    got = sorted(tuple(r) for r in ordering.rank_within(rows, ["g"], ["v"], "n", small_rows=10).select("g", "n", "v").collect())
+    want = []
+    for g in range(3):
+        want += [(g, n, v) for n, v in enumerate(sorted(i % 7 for i in range(600) if i % 3 == g), 1)]
+    assert got == want
+    assert "tied" not in labels
