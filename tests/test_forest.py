@@ -62,3 +62,45 @@ def test_deep_trees_learn_whole_at_any_cut_between_spark_and_tasks(spark, folder
     model.save(spark, f"{folder}/forest")
     again = {r["id"]: r["score"] for r in ForestModel.load(spark, f"{folder}/forest").transform(held).collect()}
     assert again == pytest.approx({k: r["score"] for k, r in got.items()})
+
+
+def test_first_trees_cut_at_a_depth_are_scored_in_one_pass(spark):
+    data = _board(spark)
+    model = ForestModel.fit(data.where("id % 4 > 0"), 9, 14)
+    shapes = [(9, 14), (4, 6), (9, 3), (1, 30)]
+    got = {r["id"]: r for r in model.scores(data.where("id % 4 = 0"), shapes).collect()}
+    x = binned(np.array([r["features"].toArray() for r in got.values()]), model.edges)
+    trees = {r["tree"]: {k: np.frombuffer(r[k], t) for k, t in forest._KINDS.items()} for r in model.trees.collect()}
+
+    def share(tree, row, levels):
+        node = 0
+        while levels and tree["left"][node]:
+            node = tree["left"][node] + (row[tree["feature"][node]] > tree["cut"][node])
+            levels -= 1
+        return tree["p"][node]
+
+    for row, r in zip(x, got.values()):
+        want = [np.mean([share(trees[t], row, levels) for t in range(n)]) for n, levels in shapes]
+        assert np.allclose(want, r["scores"])
+
+
+def test_a_tree_cut_at_a_depth_is_the_tree_grown_to_it():
+    draw = np.random.default_rng(3)
+    x, y = draw.integers(0, 32, (600, 5)).astype(np.uint8), draw.integers(0, 2, 600).astype(np.uint8)
+    deep, flat = (grow(x, y, np.ones(600), depth, 2, np.random.default_rng(4)) for depth in (25, 4))
+    assert (deep["p"][route(deep, x, (4,))[0]] == flat["p"][route(flat, x)]).all()
+
+
+def test_trials_share_one_forest(spark, monkeypatch):
+    """Twelve trials of a search fit once; one that cannot be fitted fails by itself."""
+    from ledgerloom.operators import models
+
+    fits = []
+    fit = ForestModel.fit.__func__
+    monkeypatch.setattr(ForestModel, "fit", classmethod(lambda cls, df, trees, depth, *a, **k: fits.append((trees, depth)) or fit(cls, df, trees, depth, *a, **k)))
+    data = _board(spark).selectExpr("id", "cast(label as int) as target", *[f"pmod(xxhash64(id, {i}), 800) / 100.0 as c{i}" for i in range(2)])
+    trials = [{"n_estimators": n, "max_depth": d} for n in (3, 5, 8) for d in (2, 6, 9, 12)] + [{"n_estimators": 3, "max_depth": -1}]
+    found = models.search(data, "id", "target", "random_forest", trials).collect()
+    assert [r["status"] for r in found] == ["COMPLETE"] * 12 + ["FAIL"]
+    assert fits == [(8, 12), (3, -1)]
+    assert all(0 <= r["validation_pr_auc"] <= 1 for r in found[:12])
