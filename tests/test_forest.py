@@ -104,3 +104,16 @@ def test_trials_share_one_forest(spark, monkeypatch):
     assert [r["status"] for r in found] == ["COMPLETE"] * 12 + ["FAIL"]
     assert fits == [(8, 12), (3, -1)]
     assert all(0 <= r["validation_pr_auc"] <= 1 for r in found[:12])
+
+
+@pytest.mark.parametrize("most_cells, again", [(forest.MOST_CELLS, False), (4000, True)])
+def test_upper_levels_are_fitted_again_only_for_nodes_over_a_tasks_memory(spark, monkeypatch, most_cells, again):
+    """One leaf keeps 270,000 rows: few columns of them fit into a task."""
+    monkeypatch.setattr(forest, "MOST_CELLS", most_cells)
+    held = []
+    upper = forest.upper_trees
+    monkeypatch.setattr(forest, "upper_trees", lambda *a: held.append(upper(*a)) or held[-1])
+    rows = spark.range(300_000).selectExpr("cast(id % 1000 = 0 as double) as label", "array(cast(id % 1000 as double), cast(id % 7 as double)) as x")
+    model = ForestModel.fit(rows.select("label", array_to_vector("x").alias("features")), 2, 7)
+    assert isinstance(model, ForestModel) and held[0][1] > 262_144
+    assert (len(held) > 1) == again
