@@ -112,3 +112,24 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     assert "partial_avg" in plan
     got = aggregate_by_key(df, "k", "p").where("k = 1").first()
     assert got["p__row_count"] == 10000 + 1 and math.isclose(got["p__x__max"], 29997.0)
+
+
+def test_wide_rows_are_prepared_without_one_method_over_all_columns(spark, monkeypatch):
+    """The session's setting is lower while rows are prepared, and comes back whoever leaves last."""
+    from ledgerloom.operators import models
+    from ledgerloom.sources.staging import FEW_FIELDS, wide_rows
+
+    name, seen = "spark.sql.codegen.maxFields", []
+    before = spark.conf.get(name)
+    stage = models.stage
+    monkeypatch.setattr(models, "stage", lambda df, label: seen.append(spark.conf.get(name)) or stage(df, label))
+    rows = spark.range(60).selectExpr("id", "cast(id % 3 = 0 as int) as target", *[f"id % {n + 2} as c{n}" for n in range(70)])
+    _, ready, columns = models.prepare_splits(rows, "id", "target", [], 1, 42)
+    assert ready.count() == 60 and len(columns) == 70
+    assert seen == [str(FEW_FIELDS)] * 2
+    first, second = wide_rows(spark), wide_rows(spark)
+    first.__enter__(), second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(name) == str(FEW_FIELDS)
+    second.__exit__(None, None, None)
+    assert spark.conf.get(name) == before
