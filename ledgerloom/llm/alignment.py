@@ -30,8 +30,8 @@ BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs of ids that every task gets.
 FREQUENT = 1 << 18
-#: Characters of text in a batch, and of the distinct parts that are tokenised as one text.
-BATCH, JOINED = 8_000_000, 50_000
+#: Characters of text in a batch, of its texts whose links are listed at a time, and of the distinct parts that are tokenised as one text.
+BATCH, ROWS, JOINED = 2_500_000, 500_000, 50_000
 #: Links of a group up to which they are listed singly; beyond it distinct pairs are counted instead.
 LISTED = 4096
 _MARK = "▁"
@@ -206,43 +206,88 @@ def align_parts(a_ids: list, b_ids: list, numbers: list, sizes, a_size, b_size)
     )
 
 
+@dataclass
+class Aligned:
+    """Distinct parts of some texts, and the texts as runs of their numbers: ``at[stops[i]: stops[i + 1]]`` are those of text i."""
+
+    parts: Parts
+    values: object
+    rank: object
+    at: object
+    stops: object
+
+    @classmethod
+    def of(cls, pair: Pair, texts: list[str | None]) -> Aligned:
+        """Each distinct part is tokenised and aligned once."""
+        import numpy as np
+
+        place: dict[str, int] = defaultdict()
+        place.default_factory = place.__len__
+        held, counts = [], []
+        for text in texts:
+            found = pair.parts(text) if text else []
+            held.append(np.fromiter((place[p] for p in found), np.int32, len(found)))
+            counts.append(len(found))
+        at = np.concatenate([*held, np.zeros(0, np.int32)])
+        del held
+        # a dictionary whose factory is its own method is a cycle, which would be held until a full collection
+        place.default_factory = None
+        distinct = list(place)
+        del place
+        a, b, numbers, bad = pair.encode_parts(distinct)
+        sizes = np.array([len(p.encode()) + 1 for p in distinct], np.int64)
+        del distinct
+        sizes[bad] = 0
+        parts = align_parts(a, b, numbers, sizes, pair.a_size, pair.b_size)
+        del a, b, numbers
+        stops = np.cumsum([0, *counts])
+        # texts with a part that is not given back have no tokens
+        lost = np.zeros(len(sizes), np.int64)
+        lost[bad] = 1
+        kept = np.diff(np.r_[0, np.cumsum(lost[at])][stops]) == 0
+        own = np.repeat(np.arange(len(texts)), np.diff(stops))
+        at, own = at[kept[own]], own[kept[own]]
+        values, rank = np.unique(parts.pairs, return_inverse=True)
+        return cls(parts, values, rank, at, np.searchsorted(own, np.arange(len(texts) + 1)))
+
+    def rows(self, start: int, end: int) -> tuple:
+        """What ``align_texts`` gives, of the texts ``start`` to ``end``."""
+        import numpy as np
+
+        parts, values = self.parts, self.values
+        stops = self.stops[start: end + 1] - self.stops[start]
+        at = self.at[self.stops[start]: self.stops[end]]
+        own = np.repeat(np.arange(end - start), np.diff(stops))
+        numbers = np.stack([
+            np.diff(np.r_[0, np.cumsum(x[at])][stops]) for x in (parts.n_a, parts.n_b, parts.n_groups, parts.n_links)
+        ], axis=1)
+        spelled = list(map(parts.groups.__getitem__, at.tolist()))
+        shown = [";".join(spelled[i:j]) for i, j in itertools.pairwise(stops.tolist())]
+
+        begins = np.r_[0, parts.ends[:-1]]
+        n = (parts.ends - begins)[at]
+        where = np.arange(n.sum()) + np.repeat(begins[at] - (np.cumsum(n) - n), n)
+        codes = np.repeat(own, n) * max(len(values), 1) + self.rank[where]
+        order = np.argsort(codes, kind="stable")
+        held, starts = np.unique(codes[order], return_index=True)
+        links = np.add.reduceat(parts.links[where][order], starts) if len(held) else np.zeros(0, np.int64)
+        ends = np.searchsorted(held, np.arange(1, end - start + 1) * max(len(values), 1))
+        return numbers, shown, values[held % len(values)] if len(held) else held, links, ends
+
+
 def align_texts(pair: Pair, texts: list[str | None]) -> tuple:
     """Of each text n_a, n_b, n_groups, n_links (a matrix) and the groups; the pairs, their links, and where a text's pairs end."""
+    return Aligned.of(pair, texts).rows(0, len(texts))
+
+
+def runs(column, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of an Arrow column that begin in the same ``most`` characters; no text is copied."""
     import numpy as np
+    import pyarrow.compute as pc
 
-    split = [pair.parts(t) if t else [] for t in texts]
-    place: dict[str, int] = defaultdict()
-    place.default_factory = place.__len__
-    at = np.fromiter((place[p] for parts in split for p in parts), np.int64, sum(map(len, split)))
-    distinct = list(place)
-    a, b, numbers, bad = pair.encode_parts(distinct)
-    sizes = np.array([len(p.encode()) + 1 for p in distinct], np.int64)
-    sizes[bad] = 0
-    parts = align_parts(a, b, numbers, sizes, pair.a_size, pair.b_size)
-    stops = np.cumsum([0, *map(len, split)])
-    # texts with a part that is not given back have no tokens
-    lost = np.zeros(len(distinct), np.int64)
-    lost[bad] = 1
-    kept = np.diff(np.r_[0, np.cumsum(lost[at])][stops]) == 0
-    own = np.repeat(np.arange(len(texts)), np.diff(stops))
-    at, own = at[kept[own]], own[kept[own]]
-    stops = np.searchsorted(own, np.arange(len(texts) + 1))
-    numbers = np.stack([
-        np.diff(np.r_[0, np.cumsum(x[at])][stops]) for x in (parts.n_a, parts.n_b, parts.n_groups, parts.n_links)
-    ], axis=1)
-    spelled = list(map(parts.groups.__getitem__, at.tolist()))
-    shown = [";".join(spelled[i:j]) for i, j in itertools.pairwise(stops.tolist())]
-
-    begins = np.r_[0, parts.ends[:-1]]
-    n = (parts.ends - begins)[at]
-    where = np.arange(n.sum()) + np.repeat(begins[at] - (np.cumsum(n) - n), n)
-    values, rank = np.unique(parts.pairs, return_inverse=True)
-    codes = np.repeat(own, n) * max(len(values), 1) + rank[where]
-    order = np.argsort(codes, kind="stable")
-    held, starts = np.unique(codes[order], return_index=True)
-    links = np.add.reduceat(parts.links[where][order], starts) if len(held) else np.zeros(0, np.int64)
-    ends = np.searchsorted(held, np.arange(1, len(texts) + 1) * max(len(values), 1))
-    return numbers, shown, values[held % len(values)] if len(held) else held, links, ends
+    sizes = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    starts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // most, prepend=-1)).tolist()
+    yield from itertools.pairwise([*starts, *([len(sizes)] if starts else [])])
 
 
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_model: str = BYTE_MODEL,
@@ -266,17 +311,24 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", byte_
 
         pair = load(byte_model, piece_model)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start, end in spans(texts, BATCH):
-                numbers, shown, pairs, links, ends = align_texts(pair, texts[start:end])
-                ends = pa.array(np.r_[0, ends].astype(np.int32))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("row").slice(start, end - start), batch.column("id").slice(start, end - start),
-                    *(pa.array(numbers[:, at]) for at in range(4)),
-                    pa.array([s if keep_groups else None for s in shown], pa.string()),
-                    pa.array([hashlib.sha256(s.encode()).hexdigest() if s else "" for s in shown]),
-                    *(pa.ListArray.from_arrays(ends, pa.array(x)) for x in (pairs, links)),
-                ], ["row", "id", "n_a", "n_b", "n_groups", "n_links", "groups", "groups_sha256", "pairs", "links"])
+            column = batch.column("text")
+            for first, last in runs(column, BATCH):
+                texts = column.slice(first, last - first).to_pylist()
+                aligned = Aligned.of(pair, texts)
+                # links of all occurrences are listed for a few texts at a time
+                for start, end in spans(texts, ROWS):
+                    numbers, shown, pairs, links, ends = aligned.rows(start, end)
+                    ends = pa.array(np.r_[0, ends].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column("row").slice(first + start, end - start), batch.column("id").slice(first + start, end - start),
+                        *(pa.array(numbers[:, at]) for at in range(4)),
+                        pa.array([s if keep_groups else None for s in shown], pa.string()),
+                        pa.array([hashlib.sha256(s.encode()).hexdigest() if s else "" for s in shown]),
+                        *(pa.ListArray.from_arrays(ends, pa.array(x)) for x in (pairs, links)),
+                    ], ["row", "id", "n_a", "n_b", "n_groups", "n_links", "groups", "groups_sha256", "pairs", "links"])
+                    del numbers, shown, pairs, links, ends
+                del aligned, texts
+                pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(
         run, f"row bigint, id {kind}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups string, "

@@ -158,3 +158,45 @@ def test_parts_that_are_not_given_back_empty_their_text_only():
         pair.b_bytes[5000] = kept
     assert numbers[:, 2].tolist() == [2, 0, 2, 0] or 5000 not in pair.b.encode(texts[1])
     assert shown[3] == "" and ends[3] == ends[2] == len(pairs) == len(links)
+
+
+def test_links_are_listed_for_a_few_texts_at_a_time(spark, monkeypatch):
+    """No slice of a batch lists links of all its texts, and the slices give the rows of the whole."""
+    texts = ["a rose is a rose", None, "", "ein Wort   zwei Worte", "x" * 300, "a rose"] * 20
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    whole = sorted(alignment.align(df).collect(), key=lambda r: r["id"])
+    monkeypatch.setattr(alignment, "ROWS", 100)
+    assert sorted(alignment.align(df).collect(), key=lambda r: r["id"]) == whole
+    pair = alignment.load(alignment.BYTE_MODEL, alignment.PIECE_MODEL)
+    held = alignment.Aligned.of(pair, texts)
+    parts = [held.rows(at, at + 7) for at in range(0, 119, 7)]
+    numbers, shown, pairs, links, ends = alignment.align_texts(pair, texts)
+    assert np.array_equal(np.concatenate([p[0] for p in parts]), numbers[:119])
+    assert [s for p in parts for s in p[1]] == shown[:119]
+    assert np.array_equal(np.concatenate([p[2] for p in parts]), pairs[: ends[118]])
+    assert max(len(p[2]) for p in parts) < len(pairs) / 10
+
+
+def test_runs_hold_every_text_once():
+    import pyarrow as pa
+
+    column = pa.array(["abc", None, "", "défg" * 10, "x", "yz"], pa.string())
+    assert list(alignment.runs(column, 5)) == [(0, 4), (4, 6)]
+    assert list(alignment.runs(column, 1000)) == [(0, 6)]
+    assert list(alignment.runs(column.slice(0, 0), 5)) == []
+    assert [n for a, b in alignment.runs(column, 1) for n in range(a, b)] == list(range(6))
+
+
+def test_parts_of_a_batch_are_let_go_with_it():
+    import gc
+
+    pair = alignment.load(alignment.BYTE_MODEL, alignment.PIECE_MODEL)
+    gc.collect()
+    gc.disable()
+    try:
+        before = sum(isinstance(o, defaultdict) for o in gc.get_objects())
+        for n in range(5):
+            alignment.align_texts(pair, [f"some text {n}", "another text"])
+        assert sum(isinstance(o, defaultdict) for o in gc.get_objects()) == before
+    finally:
+        gc.enable()
