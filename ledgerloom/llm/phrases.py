@@ -86,8 +86,9 @@ class Chunk:
         self.ids: list[int] = []
         self.size = 0
         number = count(1)
-        # one dictionary for each language, all with numbers of one series; 0 ends a piece
-        self.known: dict[bytes, dict[bytes, int]] = defaultdict(lambda: self._words(number))
+        # one dictionary for each language, all with numbers of one series; 0 ends a piece. A factory that held the chunk
+        # would be a cycle, and every chunk would stay until a full collection
+        self.known: dict[bytes, dict[bytes, int]] = defaultdict(lambda: Chunk._words(number))
 
     @staticmethod
     def _words(number: count) -> dict[bytes, int]:
@@ -183,6 +184,7 @@ def count_pass(texts: DataFrame, old, new, longest: int, least: int) -> DataFram
                 if chunk.size >= CHUNK:
                     yield from out(chunk)
                     chunk = Chunk(before, now, longest)
+                    pa.default_memory_pool().release_unused()
         yield from out(chunk)
 
     counted = texts.mapInArrow(run, "lang string, phrase string, size int, n bigint")

@@ -132,3 +132,19 @@ def test_awkward_rows(spark):
     assert phrases.mine(df, least=3).where("phrase is null").count() == 0
     assert phrases.mine(df.limit(0)).count() == 0
     assert np.array_equal(phrases.bits_of(np.array([1 << 32], np.uint64), 64), [0, 1])
+
+
+def test_a_chunk_is_let_go_without_a_collection():
+    import gc
+    import weakref
+
+    gc.disable()
+    try:
+        chunk = phrases.Chunk(None, None, 4)
+        chunk.add(b"en", b"a b c. a b")
+        assert sum(len(held[0]) for held in chunk.counted()) == 4
+        held = weakref.ref(chunk)
+        del chunk
+        assert held() is None
+    finally:
+        gc.enable()
