@@ -3,8 +3,9 @@
 A sample of the documents proposes the phrases that may be frequent. One pass over all documents then counts,
 exactly, every word, every proposed phrase and the negative border: the phrases that are not proposed while all
 their parts are. A border phrase that turns out to be frequent is a failure of the sample: it joins the
-proposal, and a further pass counts what the larger proposal adds, until nothing frequent is left
-outside it. After pass k all frequent phrases of k words are known, so four passes are the most.
+proposal, and a further pass counts what the larger proposal adds. Where failures are rare, as with a good sample, that pass
+also counts whatever may be frequent because of them, up to the longest phrases, and is the last. Otherwise passes go on until nothing
+frequent is left outside the proposal; after pass k all frequent phrases of k words are known, so four passes are the most.
 
 The proposal is held as a bit filter of at most ``MOST`` bits, whatever the number of phrases: a phrase that it holds
 by mistake is counted without need and changes no result. Tasks count in chunks of text with numpy and send one
@@ -32,6 +33,8 @@ LONGEST, LEAST, ABSORBED, KEPT = 4, 30, 80, 2000
 SHARE, EASE = 1 / 8, 1.6
 #: Bits of the filter: so many for each phrase known when it is made, a power of two within these bounds.
 PER_PHRASE, FEWEST, MOST = 32, 1 << 16, 1 << 27
+#: Occurrences of failures, as a part of all words, up to which all that they may make frequent is counted at once: rows as of the first pass.
+RARE = 0.25
 #: Bytes of text that are counted at a time.
 CHUNK = 2_000_000
 
@@ -79,10 +82,13 @@ def holds(words, hashes):
 
 
 class Chunk:
-    """Counts of the phrases of some texts: those whose parts the new filter holds and the old one does not all hold."""
+    """Counts of the phrases of some texts: those whose parts the new filter holds and the old one does not all hold.
 
-    def __init__(self, old, new, longest: int) -> None:
-        self.old, self.new, self.longest = old, new, longest
+    ``all_at_once``: a phrase that is counted itself is taken for one that the new filter holds.
+    """
+
+    def __init__(self, old, new, longest: int, all_at_once: bool = False) -> None:
+        self.old, self.new, self.longest, self.all_at_once = old, new, longest, all_at_once
         self.ids: list[int] = []
         self.size = 0
         number = count(1)
@@ -124,33 +130,60 @@ class Chunk:
             yield list(totals), [b""] * len(totals), 0, list(totals.values())
             yield langs[1:], words[1:], 1, counts[1:].tolist()
         hashes = np.array([0] + [word_hash(lang, w) for lang, w in zip(langs[1:], words[1:], strict=True)], np.uint64)
-        # places at which a phrase begins, its number, and what is known of each number: text, hash, first word's language
-        at = np.flatnonzero(ids)
-        which = ids[at]
-        shown, spelled, speech = hashes, words, langs
-        fresh = holds(self.new, shown) if self.new is not None else np.zeros(len(shown), bool)
-        stale = holds(self.old, shown) if not first else np.zeros(len(shown), bool)
+        if self.new is None:
+            return
+
+        def phrases(begin, which, size: int) -> tuple[list[bytes], list[bytes], int, list[int]]:
+            # one place of each phrase spells it
+            place = np.empty(int(which.max()) + 1, np.int64)
+            place[which] = begin
+            spelled = zip(*(map(words.__getitem__, ids[place + k].tolist()) for k in range(size)), strict=True)
+            return [langs[i] for i in ids[place].tolist()], list(map(b" ".join, spelled)), size, np.bincount(which).tolist()
+
+        # of each place: whether the filters hold the phrase of so many words that begins there, and its hash
+        fresh, stale = holds(self.new, hashes), np.zeros(len(hashes), bool) if first else holds(self.old, hashes)
+        fresh[0] = stale[0] = False
+        shown, fresh, stale, each = hashes[ids], fresh[ids], stale[ids], hashes[ids]
+        which = ids
         for length in range(2, self.longest + 1):
-            if not len(at):
+            # both parts are held; the words of a phrase are those of one piece, as no filter holds an end
+            begin = np.flatnonzero(fresh[:-1] & fresh[1:])
+            if not len(begin):
                 return
-            follows = at[1:] == at[:-1] + 1
-            follows &= fresh[which[:-1]] & fresh[which[1:]]
-            front, back, begin = which[:-1][follows], which[1:][follows], at[:-1][follows]
-            if not len(front):
+            was = stale[begin] & stale[begin + 1]
+            value = longer_hash(shown[begin], each[begin + length - 1])
+            counted = begin[~was]
+            if len(counted):
+                if first:
+                    # all phrases of one word less that begin here have numbers
+                    number = self._numbers(which[counted], ids[counted + length - 1], len(words))
+                    which = np.zeros(len(ids), np.int64)
+                    which[counted] = number
+                else:
+                    number = ids[counted]
+                    for k in range(1, length):
+                        number = self._numbers(number, ids[counted + k], len(words))
+                yield phrases(counted, number, length)
+            if length == self.longest:
                 return
-            codes, which, n = np.unique(front * len(shown) + back, return_inverse=True, return_counts=True)
-            front, back = codes // len(shown), codes % len(shown)
-            last = ids[begin[np.unique(which, return_index=True)[1]] + length - 1]
-            was = stale[front] & stale[back]
-            shown = longer_hash(shown[front], hashes[last])
-            begins, ends = front.tolist(), last.tolist()
-            spelled = [spelled[i] + b" " + words[j] for i, j in zip(begins, ends, strict=True)]
-            speech = [speech[i] for i in begins]
-            out = np.flatnonzero(~was).tolist()
-            if out:
-                yield [speech[i] for i in out], [spelled[i] for i in out], length, n[out].tolist()
-            at = begin
-            fresh, stale = holds(self.new, shown), was & holds(self.old, shown) if not first else np.zeros(len(shown), bool)
+            kept = holds(self.new, value)
+            if self.all_at_once:
+                kept |= ~was
+            fresh, held = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+            fresh[begin] = kept
+            if not first:
+                at = np.flatnonzero(was)
+                held[begin[at]] = holds(self.old, value[at])
+            stale = held
+            shown = np.zeros(len(ids), np.uint64)
+            shown[begin] = value
+
+    @staticmethod
+    def _numbers(front, last, words: int):
+        """Numbers of the pairs, from 0 on."""
+        import numpy as np
+
+        return np.unique(front * words + last, return_inverse=True)[1]
 
 
 def pieces_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -159,7 +192,7 @@ def pieces_of(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return rows.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").where("text <> ''")
 
 
-def count_pass(texts: DataFrame, old, new, longest: int, least: int) -> DataFrame:
+def count_pass(texts: DataFrame, old, new, longest: int, least: int, all_at_once: bool = False) -> DataFrame:
     """Staged frequent (lang, phrase, size, n) that the filter ``new`` adds to ``old``; size 0 has a language's words in all.
 
     ``old`` None: the first pass, which counts all words; ``new`` None holds nothing.
@@ -170,39 +203,39 @@ def count_pass(texts: DataFrame, old, new, longest: int, least: int) -> DataFram
         import pyarrow as pa
 
         def out(chunk: Chunk) -> Iterator:
-            for langs, phrases, size, counts in chunk.counted():
+            for langs, phrases, _, counts in chunk.counted():
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(langs, pa.binary()).cast(pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()),
-                    pa.array([size] * len(langs), pa.int32()), pa.array(counts, pa.int64()),
-                ], ["lang", "phrase", "size", "n"])
+                    pa.array(langs, pa.binary()).cast(pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()),
+                ], ["lang", "phrase", "n"])
 
         before, now = shared.value
-        chunk = Chunk(before, now, longest)
+        chunk = Chunk(before, now, longest, all_at_once)
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 chunk.add(lang.as_py().encode(), text.as_py().encode())
                 if chunk.size >= CHUNK:
                     yield from out(chunk)
-                    chunk = Chunk(before, now, longest)
+                    chunk = Chunk(before, now, longest, all_at_once)
                     pa.default_memory_pool().release_unused()
         yield from out(chunk)
 
-    counted = texts.mapInArrow(run, "lang string, phrase string, size int, n bigint")
-    found = stage(
-        counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n")).where((F.col("size") == 0) | (F.col("n") >= least)), "phrases"
-    )
+    counted = texts.mapInArrow(run, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    # the number of words is not sent along: words hold no space
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.regexp_count("phrase", F.lit(" ")) + 1).cast("int")
+    kept = counted.where((F.col("phrase") == "") | (F.col("n") >= least))
+    found = stage(kept.select("lang", "phrase", size.alias("size"), "n"), "phrases")
     shared.destroy()
     return found
 
 
 def widened(found: DataFrame, words, longest: int):
-    """The filter with all phrases of less than ``longest`` words in it; None if it holds them already.
+    """The filter with all phrases of less than ``longest`` words in it, and the occurrences of those that it did not hold; None if it holds all.
 
     A filter keeps the size that it was made with, so a wider one holds all that it held. At most MOST / 64 rows are collected.
     """
     import numpy as np
 
-    rows = found.where((F.col("size") > 0) & (F.col("size") < longest)).select("lang", "phrase")
+    rows = found.where((F.col("size") > 0) & (F.col("size") < longest)).select("lang", "phrase", "n")
     if words is None:
         wanted = max(FEWEST, PER_PHRASE * rows.count())
         words = np.zeros(min(MOST, 1 << (wanted - 1).bit_length()) // 64, np.uint64)
@@ -220,19 +253,24 @@ def widened(found: DataFrame, words, longest: int):
                 for word in rest:
                     value = longer_hash(value, np.array([word], np.uint64))
                 values[at] = value[0]
-            at = np.unique(bits_of(values[~holds(held, values)], len(held) * 64))
+            lacking = ~holds(held, values)
+            at = np.unique(bits_of(values[lacking], len(held) * 64))
             slots, starts = np.unique(at >> 6, return_index=True)
             bits = np.left_shift(np.uint64(1), (at & 63).astype(np.uint64))
             merged = np.bitwise_or.reduceat(bits, starts) if len(at) else bits
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(merged.view(np.int64))], ["slot", "word"])
+            n = np.zeros(len(slots), np.int64)
+            n[:1] = batch.column(2).to_numpy()[lacking].sum()
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(merged.view(np.int64)), pa.array(n)], ["slot", "word", "n"])
 
-    added = rows.mapInArrow(run, "slot bigint, word bigint").groupBy("slot").agg(F.bit_or("word").alias("word")).toArrow()
+    added = rows.mapInArrow(run, "slot bigint, word bigint, n bigint").groupBy("slot").agg(
+        F.bit_or("word").alias("word"), F.sum("n").alias("n")
+    ).toArrow()
     shared.destroy()
     if not added.num_rows:
         return None
     out, slots = words.copy(), added.column("slot").to_numpy()
     out[slots] |= added.column("word").to_numpy().view(np.uint64)
-    return out
+    return out, sum(added.column("n").to_pylist())
 
 
 def frequent_phrases(texts: DataFrame, least: int = LEAST, longest: int = LONGEST, proposed=None) -> tuple[DataFrame, int]:
@@ -243,11 +281,13 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST, longest: int = LONGES
     import numpy as np
 
     found = count_pass(texts, None, proposed, longest, least)
-    new, old, passes = found, proposed, 1
-    while (wider := widened(new, old, longest)) is not None:
-        passes += 1
-        new = count_pass(texts, np.zeros(len(wider), np.uint64) if old is None else old, wider, longest, least)
-        found, old = found.union(new), wider
+    total = found.where("size = 0").agg(F.sum("n")).first()[0] or 0
+    new, old, passes, last = found, proposed, 1, False
+    while not last and (wider := widened(new, old, longest)) is not None:
+        words, failed = wider
+        passes, last = passes + 1, old is not None and failed <= RARE * total
+        new = count_pass(texts, np.zeros(len(words), np.uint64) if old is None else old, words, longest, least, last)
+        found, old = found.union(new), words
     return found, passes
 
 
@@ -257,7 +297,8 @@ def propose(texts: DataFrame, least: int = LEAST, longest: int = LONGEST, share:
         return None
     limit = max(2, int(least * share * EASE))
     found, _ = frequent_phrases(texts.sample(float(share), 7), limit, longest - 1)
-    return widened(found, None, longest)
+    wider = widened(found, None, longest)
+    return wider and wider[0]
 
 
 def collocations(found: DataFrame, kept: int = KEPT, absorbed: int = ABSORBED) -> DataFrame:

@@ -101,6 +101,20 @@ def test_a_border_failure_is_mended(spark):
     assert {r["phrase"]: r["n"] for r in found.collect()}["p q r s"] == 40
 
 
+def test_rare_failures_take_one_more_pass(spark):
+    """What a few failures make frequent, of any length, is counted in one pass, together with all that was known before."""
+    rows = [("en", "a b c d")] * 4000 + [("en", "p q r s")] * 40 + [("en", "c d p q")] * 35 + [("en", "x a b. b c y")] * 29
+    docs = phrases.pieces_of(frame(spark, rows), "text", "lang")
+    proposal = phrases.propose(phrases.pieces_of(frame(spark, [("en", "a b c d")] * 60), "text", "lang"), 30, share=1)
+    found, passes = phrases.frequent_phrases(docs, 30, proposed=proposal)
+    assert passes == 2
+    got = Counter()
+    for r in found.where("size > 0").collect():
+        got[r["lang"], tuple(r["phrase"].split(" "))] += r["n"]
+    assert got == {k: n for k, n in all_counts(rows)[1].items() if n >= 30}
+    assert ("en", ("p", "q", "r", "s")) in got and ("en", ("c", "d", "p", "q")) in got
+
+
 @pytest.mark.parametrize("chunk", [phrases.CHUNK, 300])
 def test_collocations_equal_brute_force(spark, monkeypatch, chunk):
     monkeypatch.setattr(phrases, "CHUNK", chunk)
