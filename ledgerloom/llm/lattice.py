@@ -26,13 +26,23 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: A word: an optional space and a run of letters and digits, or of other characters, or one white-space
 #: character. Runs of any length are whole. Where a piece reaches over a word's end, the words are one.
 _WORD = re.compile(r" ?(?:\w+|[^\w\s]+)|\s")
+#: Texts that may not be cut at every space, for Arrow: those with two white spaces of which one is a space, or one at an end.
+_SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_SPACES = rf" {_SPACE}|{_SPACE} |\A{_SPACE}|{_SPACE}\z"
+#: For Arrow: some of the letters and digits of ``\w``, and the same with one sign at the end.
+_LETTERS = r"\A[0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]+\z"
+_LETTERS_SIGN = _LETTERS[:-2] + r"[!-/:-@\[-\^`{-~]\z"
 #: Longest word in characters whose substrings become rows.
 LONGEST_WORD = 64
-#: Characters of text in a block; words of a bucket are those of about so many characters.
-BLOCK = 16_000_000
-#: Blocks in one row of a word; partitions of words for each bucket, so that a task's edges stay in memory.
-BLOCKS_IN_ROW = 10_000
-PARTITIONS = 8
+#: Characters of text in a block; buckets of words up to so many, then one for so many blocks.
+BLOCK = 32_000_000
+BUCKETS = 32
+BLOCKS_IN_BUCKET = 16
+#: Partitions of words for each bucket, so that a task's edges stay in memory.
+PARTITIONS = 16
+#: Words of a block that are numbered by how often they occur; words of texts whose ids are put together at a time.
+COMMON = 1 << 16
+SLICE = 1_000_000
 #: What a character without a piece costs beyond the least piece.
 UNKNOWN_COST = 10.0
 #: Compression of what is shuffled.
@@ -160,8 +170,8 @@ def best_path(word: str, known: dict[str, tuple[float, bytes]], pieces: Pieces,
     return b"".join(reversed(parts))
 
 
-def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None) -> DataFrame:
-    """(word, code) for rows of distinct words: the ids of the best path, ``pieces.width`` bytes each.
+def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None, *keep: str) -> DataFrame:
+    """(word, code) for rows of distinct words: the ids of the best path, ``pieces.width`` bytes each; columns to keep come first.
 
     A path's score is the sum of its pieces' scores. Of equal scores the path whose last piece is longest
     wins, at every position. A character without a piece of its own is its UTF-8 bytes' pieces at
@@ -179,19 +189,19 @@ def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None
         "score": pa.array([s for _, _, s in pieces.rows], pa.float64()),
     })))
     length = F.char_length("word")
-    # no piece is longer than the longest one that begins with the same two characters
+    # no piece is longer than the longest one that begins with the same three characters
     reach: dict[str, int] = {}
     for piece, _, _ in pieces.rows:
-        if len(piece) > 1:
-            reach[piece[:2]] = max(reach.get(piece[:2], 1), len(piece))
+        if len(piece) > 2:
+            reach[piece[:3]] = max(reach.get(piece[:3], 2), len(piece))
     reaches = F.broadcast(spark.createDataFrame(pa.table({
-        "two": pa.array(list(reach), pa.string()), "reach": pa.array(list(reach.values()), pa.int32()),
+        "three": pa.array(list(reach), pa.string()), "reach": pa.array(list(reach.values()), pa.int32()),
     })))
     parts = (
-        (words.select("word").repartition(partitions, "word") if partitions else words.select("word").repartition("word"))
+        (words.select(*keep, "word").repartition(partitions, "word") if partitions else words.select(*keep, "word").repartition("word"))
         .withColumn("start", F.explode(F.sequence(F.lit(0), length - 1)))
-        .withColumn("two", F.substring("word", F.col("start") + 1, F.lit(2))).join(reaches, "two", "left").drop("two")
-        .withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(1)), length - F.col("start"))))).drop("reach")
+        .withColumn("three", F.substring("word", F.col("start") + 1, F.lit(3))).join(reaches, "three", "left").drop("three")
+        .withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.coalesce("reach", F.lit(2)), length - F.col("start"))))).drop("reach")
         .withColumn("part", F.substring("word", F.col("start") + 1, F.col("size")))
     )
 
@@ -204,12 +214,12 @@ def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None
     edges = (
         parts.join(vocabulary, "part", "left").where(F.col("code").isNotNull() | (F.col("size") == 1))
         .select(
-            "word", (F.col("start") + F.col("size")).alias("stop"), "start",
+            *keep, "word", (F.col("start") + F.col("size")).alias("stop"), "start",
             F.coalesce("score", F.lit(pieces.unknown)).alias("score"),
             F.when(F.col("code").isNotNull(), F.col("code")).otherwise(spelled).alias("code"),
         )
     )
-    grouped = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("stop", "start", "score", "code"))).alias("edges"))
+    grouped = edges.groupBy(*keep, "word").agg(F.sort_array(F.collect_list(F.struct("stop", "start", "score", "code"))).alias("edges"))
 
     def step(state, edge):
         # the best path to every earlier position, and the best one so far to the position at hand
@@ -228,34 +238,54 @@ def encode_words(words: DataFrame, pieces: Pieces, partitions: int | None = None
         F.array().cast(f"array<{path}>").alias("done"), F.lit(0).alias("stop"),
         F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(bytearray()).alias("path")).alias("best"),
     ).cast(f"struct<done:array<{path}>,stop:int,best:{path}>")
-    return grouped.select("word", F.aggregate("edges", none, step)["best"]["path"].alias("code"))
+    return grouped.select(*keep, "word", F.aggregate("edges", none, step)["best"]["path"].alias("code"))
 
 
-def _batches(batches: Iterator, limit: int) -> Iterator[tuple[list, list[str | None]]]:
-    """(ids, texts) of about ``limit`` characters."""
-    ids, texts, held = [], [], 0
+def _batches(batches: Iterator, limit: int) -> Iterator[tuple]:
+    """(ids, texts) as arrays of about ``limit`` bytes of text."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def joined(held: list) -> tuple:
+        return pa.concat_arrays([b.column(0) for b in held]), pa.concat_arrays([b.column(1).cast(pa.string()) for b in held])
+
+    held, size = [], 0
     for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids.append(i)
-            texts.append(t)
-            held += len(t or "") + 16
-            if held >= limit:
-                yield ids, texts
-                ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
-
-
-def _block_of(ids: list, texts: list[str | None]) -> int:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64) + 16)
+        start, done = 0, 0
+        while start < len(ends):
+            stop = min(len(ends), int(np.searchsorted(ends, done + limit - size)) + 1)
+            held.append(batch.slice(start, stop - start))
+            size += int(ends[stop - 1]) - done
+            start, done = stop, int(ends[stop - 1])
+            if size >= limit:
+                out, held, size = joined(held), [], 0
+                yield out
+                del out
+    if held:
+        yield joined(held)
+
+
+def _block_of(ids, texts) -> int:
     """A number for a block that its rows decide."""
+    import pyarrow.compute as pc
     import xxhash
 
-    state = xxhash.xxh64(repr(ids).encode())
-    for t in texts:
-        state.update(b"\0" if t is None else t.encode("utf-8", "replace"))
+    state = xxhash.xxh64(repr(ids.to_pylist()).encode())
+    state.update(pc.fill_null(pc.binary_length(texts), -1).to_numpy().tobytes())
+    state.update(_flat(texts)[0])
     return state.intdigest() - (1 << 63)
 
 
+def _flat(array):
+    """The bytes of an array of strings or binaries, and the size of each; nulls have none."""
+    import numpy as np
+
+    offsets = np.frombuffer(array.buffers()[1], np.int32, len(array) + 1, array.offset * 4)
+    return np.frombuffer(array.buffers()[2] or b"", np.uint8)[offsets[0]: offsets[-1]], np.diff(offsets).astype(np.int64)
+
+
 def _packed(array) -> bytes:
     import pyarrow as pa
 
@@ -267,159 +297,289 @@ def _packed(array) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _unpacked(data: bytes) -> list[list]:
+def _unpacked(data: bytes) -> list:
+    import pyarrow as pa
+
+    return [c.combine_chunks() for c in pa.ipc.open_stream(data).read_all().columns]
+
+
+def _planes(numbers) -> bytes:
+    """Numbers below 2 ** 32, byte by byte: first the lowest bytes of all, last the highest."""
+    import numpy as np
+    import pyarrow as pa
+
+    return _packed([pa.array(np.ascontiguousarray(np.asarray(numbers).astype("<u4").view(np.uint8).reshape(-1, 4).T).reshape(-1))])
+
+
+def _numbers(data: bytes):
+    import numpy as np
+
+    return np.ascontiguousarray(_unpacked(data)[0].to_numpy().reshape(4, -1).T).reshape(-1).view("<u4").astype(np.int64)
+
+
+def _runs(starts, sizes):
+    """The places of runs that begin at ``starts``, one after another."""
+    import numpy as np
+
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _slices(sizes) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of about ``SLICE`` words in all, one text at least."""
+    start = held = 0
+    for at, size in enumerate(sizes.tolist()):
+        if at > start and held + size > SLICE:
+            yield start, at
+            start, held = at, 0
+        held += size
+    if len(sizes):
+        yield start, len(sizes)
+
+
+def _numbered_parts(texts, words_of: Words):
+    """(order of the texts, parts of each of them, the parts' numbers, distinct parts)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    # a text that is cut at every space is split by Arrow, any other by cut_parts; both give the same parts
+    even = pc.and_(pc.fill_null(pc.greater(pc.binary_length(texts), 0), False), words_of.cuts)
+    even = pc.and_(even, pc.invert(pc.fill_null(pc.match_substring_regex(texts, _SPACES), True))).to_numpy(zero_copy_only=False)
+    order = np.concatenate([np.flatnonzero(even), np.flatnonzero(~even)])
+    split = pc.split_pattern(texts.filter(pa.array(even)), " ")
+    rest = pa.array([words_of.parts(text) for text in texts.filter(pa.array(~even)).to_pylist()], pa.list_(pa.string()))
+    sizes = np.concatenate([pc.list_value_length(a).to_numpy(zero_copy_only=False) for a in (split, rest)]).astype(np.int64)
+    parts = pa.concat_arrays([split.flatten(), rest.flatten()]).dictionary_encode()
+    return order, sizes, parts.indices.to_numpy(), parts.dictionary
+
+
+def _numbered_words(parts, words_of: Words):
+    """(words of each part, the words' numbers, distinct words, parts whose words do not join to them)."""
+    import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
+
+    # letters and digits are one word; with a sign at the end they are two, unless a piece reaches over that place
+    alone = pc.match_substring_regex(parts, _LETTERS).to_numpy(zero_copy_only=False)
+    ends = pa.array(sorted(words_of.ends), pa.string())
+    tailed = pc.and_(
+        pc.match_substring_regex(parts, _LETTERS_SIGN), pc.invert(pc.is_in(pc.utf8_slice_codeunits(parts, -2), value_set=ends))
+    ).to_numpy(zero_copy_only=False)
+    one, two, other = np.flatnonzero(alone), np.flatnonzero(tailed), np.flatnonzero(~(alone | tailed))
+    texts = parts.take(pa.array(other)).to_pylist()
+    split = [words_of(part) for part in texts]
+    both = parts.take(pa.array(two))
+
+    def spaced(strings):
+        return pc.binary_join_element_wise(pa.scalar(""), strings, " ")
+
+    words = pa.concat_arrays([
+        spaced(parts.take(pa.array(one))), spaced(pc.utf8_slice_codeunits(both, 0, -1)), pc.utf8_slice_codeunits(both, -1),
+        pa.array([w for words in split for w in words], pa.string()),
+    ]).dictionary_encode()
+    numbers = words.indices.to_numpy().astype(np.int64)
+    a, b, c = len(one), len(one) + len(two), len(one) + 2 * len(two)
+    numbers = np.concatenate([numbers[:a], np.stack([numbers[a:b], numbers[b:c]], axis=1).reshape(-1), numbers[c:]])
+    sizes = np.concatenate([np.ones(len(one), np.int64), np.full(len(two), 2), np.fromiter(map(len, split), np.int64, len(split))])
+    order = np.concatenate([one, two, other])
+    starts, of = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    starts[order], of[order] = np.cumsum(sizes) - sizes, sizes
+    lost = other[[bool(text) and "".join(words) != " " + text for text, words in zip(texts, split, strict=True)]]
+    return of, numbers[_runs(starts, of)], words.dictionary, lost
+
+
+def _cut(texts, words_of: Words, buckets: int):
+    """(order of the texts, their message, words of each bucket in order).
+
+    The message numbers a block's words: the commonest by how often they occur, then all as they stand in the buckets, so that most
+    numbers are small. It holds the places of the commonest, which texts have all their characters in words, words of each
+    text, and the texts in slices.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import xxhash
 
-    return [c.to_pylist() for c in pa.ipc.open_stream(data).read_all().columns]
+    order, n_parts, text_parts, parts = _numbered_parts(texts, words_of)
+    n_words, part_words, words, lost = _numbered_words(parts, words_of)
+    bucket = np.fromiter((xxhash.xxh64_intdigest(w.encode()) % buckets for w in words.to_pylist()), np.int64, len(words))
+    listed = pc.sort_indices(words).to_numpy().astype(np.int64)
+    listed = listed[np.argsort(bucket[listed], kind="stable")]
+    place = np.empty(len(words), np.int64)
+    place[listed] = np.arange(len(words))
+    often = np.repeat(np.bincount(text_parts, minlength=len(parts)), n_words)
+    common = np.argsort(-np.bincount(part_words, weights=often, minlength=len(words)), kind="stable")[:COMMON]
+    named = place + len(common)
+    named[common] = np.arange(len(common))
+    part_words = named[part_words]
+    whole = np.ones(len(order), np.int64)
+    if len(lost):
+        whole[np.repeat(np.arange(len(order)), n_parts)[np.isin(text_parts, lost)]] = 0
+    stops = np.cumsum(n_parts)
+    ends = np.concatenate([[0], np.cumsum(n_words[text_parts])])[stops]
+    per_text = np.diff(ends, prepend=0)
+    message = [_planes(place[common]), _planes(whole), _planes(per_text)]
+    starts, done = np.cumsum(n_words) - n_words, 0
+    for _, end in _slices(per_text):
+        part = text_parts[done: stops[end - 1]]
+        done = stops[end - 1]
+        message.append(_planes(part_words[_runs(starts[part], n_words[part])]))
+    sizes = np.bincount(bucket, minlength=buckets)
+    words = words.take(pa.array(listed))
+    return order, message, [words[end - size: end] for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)]
 
 
 def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, n_tokens, exact) of every input row: piece ids, and whether decoding them gives the text.
 
     Null and empty texts have no ids. The whole text is encoded, white space included, whatever its length; repeated ids and
-    rows stay rows of their own, and other columns are ignored. The table is read twice and must give its rows in
-    the same order both times, as files and staged tables do.
+    rows stay rows of their own, and other columns are ignored. Texts are cut once: a block sends its distinct words to
+    their buckets and its texts, as numbers of those words, to itself. Where Spark does not keep that shuffle for its three
+    readers, the table must give its rows in the same order each time, as files and staged tables do.
     """
     rows = pick(docs, id=id_col, text=text_col)
     kind = rows.schema["id"].dataType.simpleString()
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // BLOCK))
+    blocks = max(1, -(-total // BLOCK))
+    buckets = min(blocks, max(BUCKETS, -(-blocks // BLOCKS_IN_BUCKET)))
     words_of = Words(pieces)
+    width = pieces.width
+    kind_of = "<u2" if width == 2 else "<u4"
 
-    def bucket_of(word: str) -> int:
-        import xxhash
-
-        return xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) % buckets
-
-    def shared_out(words: set[str]) -> dict[int, list[str]]:
-        """Words by bucket, in order."""
-        shares: dict[int, list[str]] = {}
-        for word in sorted(words):
-            shares.setdefault(bucket_of(word), []).append(word)
-        return shares
-
-    def distinct_words(batches: Iterator) -> Iterator:
+    def cut(batches: Iterator) -> Iterator:
+        """Rows of kind 0: words of a block, for a bucket; rows of kind 1: the texts of a block, as numbers of its words."""
         import pyarrow as pa
 
         for ids, texts in _batches(batches, BLOCK):
-            block, parts = _block_of(ids, texts), set()
-            for text in texts:
-                parts.update(words_of.parts(text))
-            shares = shared_out({word for part in parts for word in words_of(part)})
+            block = _block_of(ids, texts)
+            order, message, shares = _cut(texts, words_of, buckets)
+            ids = ids.cast(id_arrow).take(pa.array(order))
             yield pa.RecordBatch.from_arrays([
-                pa.array([block] * len(shares), pa.int64()), pa.array(list(shares), pa.int64()),
-                pa.array([_packed([pa.array(w, pa.string())]) for w in shares.values()], pa.binary()),
-            ], ["block", "bucket", "data"])
-
-    def texts_of(batches: Iterator) -> Iterator:
+                pa.array([1], pa.int32()), pa.array([block], pa.int64()), pa.array([block], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([message], pa.list_(pa.binary())),
+            ], names)
+            for n, words in enumerate(shares):
+                if len(words):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([0], pa.int32()), pa.array([n], pa.int64()), pa.array([block], pa.int64()),
+                        pa.nulls(1, pa.list_(id_arrow)), pa.array([[_packed([words])]], pa.list_(pa.binary())),
+                    ], names)
+            del ids, texts, message, shares
+            pa.default_memory_pool().release_unused()
+
+    def distinct_words(got):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        for ids, texts in _batches(batches, BLOCK):
-            data = _packed([pa.array(range(len(ids)), pa.int64()), pa.array(texts, pa.string())])
-            yield pa.RecordBatch.from_arrays([
-                pa.array([_block_of(ids, texts)], pa.int64()), pa.array([ids], pa.list_(id_arrow)), pa.array([data], pa.binary())
-            ], ["block", "ids", "data"])
+        if got.column("kind")[0].as_py():
+            return pa.table([pa.array([], pa.int64()), pa.array([], pa.string())], ["key", "word"])
+        words = pa.concat_arrays([_unpacked(data[0])[0] for data in got.column("data").to_pylist()]).unique()
+        # longer words are folded whole by answers()
+        words = words.filter(pc.less_equal(pc.utf8_length(words), LONGEST_WORD))
+        return pa.table([pa.repeat(got.column("key")[0], len(words)), words], ["key", "word"])
+
+    spelled = {i: p.encode() for p, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
 
-    def holders(got):
+    def decoded(words, codes):
+        """Which words their codes decode to."""
         import numpy as np
         import pyarrow as pa
 
-        # where a word stands: the block, and its place among the block's words of its bucket
-        held: dict[str, list[tuple[int, int]]] = {}
-        for block, data in zip(got.column("block").to_pylist(), got.column("data").to_pylist(), strict=True):
-            for place, word in enumerate(_unpacked(data)[0]):
-                held.setdefault(word, []).append((block, place))
-        out = [
-            (w, n, np.array(b[at: at + BLOCKS_IN_ROW], np.int64).tobytes())
-            for w, b in held.items() for n, at in enumerate(range(0, len(b), BLOCKS_IN_ROW))
-        ]
-        known: dict[str, tuple[float, bytes]] = {}
-        if any(len(w) > LONGEST_WORD for w in held):
-            known = {p: (s, i.to_bytes(width, "little")) for p, i, s in pieces.rows}
-        longest, unknown = pieces.longest, pieces.unknown
-        folded = {w: best_path(w, known, pieces, longest, unknown) for w in held if len(w) > LONGEST_WORD}
-        return pa.table([
-            pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.int32()),
-            pa.array([o[2] for o in out], pa.binary()), pa.array([folded.get(o[0]) for o in out], pa.binary()),
-        ], ["word", "part", "places", "whole"])
-
-    width = pieces.width
-    spelled = {i: p.encode() for p, i, _ in pieces.rows} | {i: bytes([b]) for b, i in enumerate(pieces.byte_ids)}
-
-    def pack_codes(batches: Iterator) -> Iterator:
-        """One row per block and task: buckets and places of words, their codes, and whether a code decodes to its word."""
+        known = np.array(sorted(spelled))
+        data, sizes = _flat(codes)
+        texts, lengths = _flat(words)
+        ids = data.view(kind_of)
+        spelling = pa.array([spelled[i] for i in known.tolist()], pa.binary()).take(pa.array(np.searchsorted(known, ids)))
+        out, each = _flat(spelling)
+        ends = np.concatenate([[0], np.cumsum(each)])[np.cumsum(sizes // width)]
+        if np.array_equal(ends, np.cumsum(lengths)) and np.array_equal(out, texts):
+            return np.ones(len(words), bool)
+        return np.array([
+            b"".join(map(spelled.__getitem__, np.frombuffer(c, kind_of).tolist())) == w.encode("utf-8", "replace")
+            for w, c in zip(words.to_pylist(), codes.to_pylist(), strict=True)
+        ], bool)
+
+    def answers(left, right):
+        """Rows of kind 1, for a block: a bucket, the sizes and ids of the block's words there, and the places of those not decoded."""
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        kind_of = "<u2" if width == 2 else "<u4"
-        held: dict[int, list[tuple[int, int, bytes, bool]]] = {}
-        for batch in batches:
-            for places, word, code in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                decoded = b"".join(map(spelled.__getitem__, np.frombuffer(code, kind_of).tolist()))
-                right, bucket = decoded == word.encode("utf-8", "replace"), bucket_of(word)
-                for block, place in np.frombuffer(places, np.int64).reshape(-1, 2).tolist():
-                    held.setdefault(block, []).append((bucket, place, code, right))
-        for block, answers in held.items():
-            buckets_of, places, codes, right = zip(*sorted(answers), strict=True)
-            data = _packed([pa.array(buckets_of, pa.int64()), pa.array(places, pa.int32()), pa.array(codes, pa.binary()), pa.array(right, pa.bool_())])
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([data], pa.binary())], ["block", "data"])
+        asked = [
+            (block, data[0]) for n, block, data in zip(*(left.column(c).to_pylist() for c in ("kind", "block", "data")), strict=True) if n == 0
+        ]
+        out = []
+        if asked:
+            words, codes = right.column("word").cast(pa.string()).combine_chunks(), right.column("code").cast(pa.binary()).combine_chunks()
+            lists = [(block, _unpacked(data)[0]) for block, data in asked]
+            long = pa.concat_arrays([w.filter(pc.greater(pc.utf8_length(w), LONGEST_WORD)) for _, w in lists]).unique().to_pylist()
+            if long:
+                known = {p: (s, i.to_bytes(width, "little")) for p, i, s in pieces.rows}
+                folded = [best_path(w, known, pieces, pieces.longest, pieces.unknown) for w in long]
+                words = pa.concat_arrays([words, pa.array(long, pa.string())])
+                codes = pa.concat_arrays([codes, pa.array(folded, pa.binary())])
+            right_ones = decoded(words, codes)
+            for block, own in lists:
+                at = pc.index_in(own, value_set=words)
+                if at.null_count:
+                    raise ValueError("a word of a block has no code")
+                found = codes.take(at)
+                ids, sizes = _flat(found)
+                wrong = np.flatnonzero(~right_ones[at.to_numpy()])
+                out.append((block, left.column("key")[0].as_py(), [_planes(sizes // width), _planes(ids.view(kind_of)), _planes(wrong)]))
+        return pa.table([
+            pa.array([1] * len(out), pa.int32()), pa.array([o[0] for o in out], pa.int64()),
+            pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.list_(pa.binary())),
+        ], ["kind", "key", "bucket", "codes"])
 
     def join(left, right):
         import numpy as np
         import pyarrow as pa
 
-        kind_of = "<u2" if width == 2 else "<u4"
-        rows = [
-            (i, text) for own, data in zip(left.column("ids").to_pylist(), left.column("data").to_pylist(), strict=True)
-            for i, text in zip(own, _unpacked(data)[1], strict=True)
-        ]
-        # parts are split twice rather than held: a block's distinct parts are far fewer
-        distinct: set[str] = set()
-        for _, text in rows:
-            distinct.update(words_of.parts(text))
-        shares = shared_out({w for part in distinct for w in words_of(part)})
-        codes: dict[str, bytes] = {}
-        wrong: set[str] = set()
-        for data in right.column("data").to_pylist():
-            for bucket, place, code, decoded in zip(*_unpacked(data), strict=True):
-                word = shares[bucket][place]
-                codes[word] = code
-                if not decoded:
-                    wrong.add(word)
-        del shares
-        # a part's code is put together once
-        code_of: dict[str, bytes] = {}
-        bad: set[str] = set()
-        for part in distinct:
-            words = words_of(part)
-            code_of[part] = b"".join(map(codes.__getitem__, words))
-            if "".join(words) != " " + part or not wrong.isdisjoint(words):
-                bad.add(part)
-        del codes, distinct
-        found, exact = [], []
-        for _, text in rows:
-            parts = words_of.parts(text)
-            found.append(b"".join(map(code_of.__getitem__, parts)))
-            exact.append(not bad or bad.isdisjoint(parts))
-        sizes = [len(f) // width for f in found]
-        flat = np.frombuffer(b"".join(found), kind_of).astype(np.int32)
-        offsets = np.r_[np.int32(0), np.cumsum(np.array(sizes, np.int32), dtype=np.int32)].astype(np.int32)
+        # several blocks of the same rows have the same number, the same words and the same answers
+        told = dict(zip(right.column("bucket").to_pylist(), right.column("codes").to_pylist(), strict=True))
+        told = [tuple(map(_numbers, told[n])) for n in sorted(told)]
+        sizes = np.concatenate([t[0] for t in told] or [np.empty(0, np.int64)])
+        ids = np.concatenate([t[1].astype(np.int32) for t in told] or [np.empty(0, np.int32)])
+        right_ones = np.concatenate([~np.isin(np.arange(len(t[0])), t[2]) for t in told] or [np.empty(0, bool)])
+        del told
+        starts = np.cumsum(sizes) - sizes
+        tables = []
+        texts = left.column("data") if not len(left) or left.column("kind")[0].as_py() else []
+        for own, message in zip(left.column("ids"), texts, strict=False):
+            common, whole, n_words, *slices = message.as_py()
+            n_words, whole = _numbers(n_words), _numbers(whole)
+            places = np.concatenate([_numbers(common), np.arange(len(sizes))])
+            for (begin, end), data in zip(_slices(n_words), slices, strict=True):
+                part = places[_numbers(data)]
+                sized = sizes[part]
+                stops = np.cumsum(n_words[begin:end])
+                ends = np.concatenate([[0], np.cumsum(sized)])[stops]
+                missed = np.concatenate([[0], np.cumsum(~right_ones[part])])[stops]
+                offsets = np.concatenate([[0], ends]).astype(np.int32)
+                tables.append(pa.table([
+                    own.values[begin:end], pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[_runs(starts[part], sized)])),
+                    pa.array(np.diff(offsets), pa.int32()), pa.array((whole[begin:end] == 1) & (np.diff(missed, prepend=0) == 0)),
+                ], ["id", "ids", "n_tokens", "exact"]))
+        if tables:
+            return pa.concat_tables(tables)
         return pa.table([
-            pa.array([i for i, _ in rows], id_arrow), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-            pa.array(sizes, pa.int32()), pa.array(exact, pa.bool_()),
+            pa.array([], id_arrow), pa.array([], pa.list_(pa.int32())), pa.array([], pa.int32()), pa.array([], pa.bool_()),
         ], ["id", "ids", "n_tokens", "exact"])
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_arrow = to_arrow_type(rows.schema["id"].dataType)
-    sent = rows.mapInArrow(distinct_words, "block bigint, bucket bigint, data binary")
-    words = sent.groupBy("bucket").applyInArrow(holders, "word string, part int, places binary, whole binary")
-    codes = encode_words(words.where("part = 0 and whole is null"), pieces, PARTITIONS * buckets)
-    answers = words.join(codes, "word", "left").select(
-        "places", "word", F.coalesce("whole", "code").alias("code")
-    ).mapInArrow(pack_codes, "block bigint, data binary")
-    texts = rows.mapInArrow(texts_of, f"block bigint, ids array<{kind}>, data binary")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    names = ["kind", "key", "block", "ids", "data"]
+    # one shuffle with three readers: words for the lattice, words that wait for their codes, texts that wait for the answers
+    sent = rows.mapInArrow(cut, f"kind int, key bigint, block bigint, ids array<{kind}>, data array<binary>")
+    words = sent.groupBy("kind", "key").applyInArrow(distinct_words, "key bigint, word string")
+    codes = encode_words(words, pieces, max(1, PARTITIONS * buckets), "key").select(F.lit(0).alias("kind"), "key", "word", "code")
+    told = sent.groupBy("kind", "key").cogroup(codes.groupBy("kind", "key")).applyInArrow(
+        answers, "kind int, key bigint, bucket bigint, codes array<binary>"
+    )
+    return sent.groupBy("kind", "key").cogroup(told.groupBy("kind", "key")).applyInArrow(
         join, f"id {kind}, ids array<int>, n_tokens int, exact boolean"
     )
 

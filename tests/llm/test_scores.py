@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from samples import awkward, documents, words
@@ -358,6 +360,38 @@ def test_long_runs_and_pieces_over_words_are_encoded_whole(spark, pieces, scored
     assert [got[n]["ids"] for n in range(len(texts))] == [brute_word(" " + t, pieces, scored) for t in texts]
 
 
+def test_texts_are_cut_once_and_words_have_the_same_codes_everywhere(spark, pieces, monkeypatch):
+    # small blocks, buckets and slices: several of each, and blocks with the same rows
+    monkeypatch.setattr(lattice, "BLOCK", 3000)
+    monkeypatch.setattr(lattice, "BLOCKS_IN_BUCKET", 2)
+    monkeypatch.setattr(lattice, "BUCKETS", 2)
+    monkeypatch.setattr(lattice, "PARTITIONS", 1)
+    rows = [(n, words(300, n % 4)) for n in range(12)] + [(1, "x" * 70 + " a_b.com, é. ▁!"), (2, None), (3, "")] * 2
+    out = lattice.encode(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2, "doc_id"), pieces)
+    got = sorted((r["id"], bytes(str(r["ids"]), "utf-8"), r["exact"]) for r in out.collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # one shuffle of blocks, read three times
+    assert plan[:plan.find("Initial Plan")].count("ReusedExchange") >= 2
+    back = sorted((r["id"], r["text"]) for r in lattice.decode(out, pieces).collect())
+    assert back == sorted((i, t or "") for i, t in rows) and all(e for *_, e in got)
+
+
+def test_cut_gives_the_words_of_every_text(pieces):
+    words_of = lattice.Words(pieces)
+    signs = ["a", "Straße", "x9", "é", "ɏ", "中", "_", "a_b", ".", ",", "!", "x.", "com.", ".com", "a,", "-", "^", "`", "~", "\u00d7", "3\u00bd", "²"]
+    gaps = [" ", " ", " ", " ", "  ", "\n", "\t", " \n", "\u00a0", " \u00a0", "\u2003 ", "\x1f", "\x85", "\r\n", ""]
+    draw = random.Random(8)
+    texts = ["".join(draw.choice(signs) + draw.choice(gaps) for _ in range(draw.randint(1, 9))) for _ in range(3000)] + [None, "", " ", " a", "a ", "\n"]
+    order, message, shares = lattice._cut(pa.array(texts, pa.string()), words_of, 5)
+    listed = [w for share in shares for w in share.to_pylist()]
+    common, whole, sizes, *slices = map(lattice._numbers, message)
+    named = [listed[p] for p in common] + listed
+    flat = [named[n] for part in slices for n in part]
+    assert len(set(listed)) == len(listed) and whole.all() and len(order) == len(texts)
+    for at, end, size in zip(order, np.cumsum(sizes), sizes, strict=True):
+        assert flat[end - size: end] == words_of(texts[at])
+
+
 # neighbours
 
 
