@@ -117,3 +117,90 @@ def test_upper_levels_are_fitted_again_only_for_nodes_over_a_tasks_memory(spark,
     model = ForestModel.fit(rows.select("label", array_to_vector("x").alias("features")), 2, 7)
     assert isinstance(model, ForestModel) and held[0][1] > 262_144
     assert (len(held) > 1) == again
+
+
+def _accuracy(model, held):
+    got = model.transform(held).collect()
+    return sum(r["prediction"] == r["label"] for r in got) / len(got)
+
+
+def test_many_trees_are_grown_without_sending_rows(spark, monkeypatch):
+    """Neither Spark's upper levels nor rows dealt out by (tree, node)."""
+    monkeypatch.setattr(forest, "upper_trees", lambda *a: pytest.fail("upper levels by Spark"))
+    monkeypatch.setattr(ForestModel, "_grown", lambda *a: pytest.fail("rows sent to nodes"))
+    data = _board(spark)
+    model = ForestModel.fit(data.where("id % 4 > 0"), 12, 20)
+    assert sorted(r["tree"] for r in model.trees.collect()) == list(range(12))
+    assert _accuracy(model, data.where("id % 4 = 0")) > 0.85
+
+
+def test_nodes_over_a_tasks_memory_are_split_by_sums_of_all_blocks(spark, monkeypatch):
+    monkeypatch.setattr(forest, "GROWN_BYTES", 400 * (2 * 4 + forest.ROW_BYTES))
+    monkeypatch.setattr(forest, "KEPT_BYTES", 5000)
+    monkeypatch.setattr(forest, "LEAST_KEPT", 5000)
+    held = []
+    lower = ForestModel._lower
+    monkeypatch.setattr(ForestModel, "_lower", staticmethod(lambda *a: held.append(a) or lower(*a)))
+    data = _board(spark)
+    train = data.where("id % 4 > 0")
+    model = ForestModel.fit(train, 9, 20)
+    (blocks, tops, units, columns, *_), = held
+    assert all(top["level"].max() > 1 for top in tops) and max(rows for *_, rows in units) <= 400
+    # each drawn row is in one node, or in a leaf that is whole already
+    cells = list(forest._cells([b for b in blocks.toArrow().to_batches()], columns))
+    for tree, top in enumerate(tops):
+        found = {}
+        for block, x, y, _ in cells:
+            drawn, _ = forest._drawn(42, tree, block, len(y))
+            for node in forest._reached(top, x, drawn):
+                found[node] = found.get(node, 0) + 1
+        assert {n: r for t, n, r in units if t == tree}.items() <= found.items()
+        assert all(top["left"][n] == 0 for n in found)
+    assert _accuracy(model, data.where("id % 4 = 0")) > 0.85
+
+
+def test_the_split_of_sums_is_the_purest():
+    draw = np.random.default_rng(5)
+    x, y, w = draw.integers(0, 32, (3, 300)), draw.integers(0, 2, 300), draw.integers(1, 4, 300).astype(float)
+    chosen = np.array([2, 0])
+    sums = np.array([[np.bincount(x[f], w * (y == k), 32) for k in (0, 1)] + [np.bincount(x[f], minlength=32)] for f in chosen])
+    feature, cut, share, p0, p1, n0, n1 = forest._best_split(sums, chosen)
+
+    def purity(f, c):
+        sides = [x[f] <= c, x[f] > c]
+        return sum(sum(w[s & (y == k)].sum() ** 2 for k in (0, 1)) / w[s].sum() for s in sides if s.any())
+
+    assert purity(feature, cut) == pytest.approx(max(purity(f, c) for f in chosen for c in range(31)))
+    left = x[feature] <= cut
+    assert (n0, n1) == (left.sum(), (~left).sum()) and share == pytest.approx(w @ y / w.sum())
+    assert [p0, p1] == pytest.approx([(w * y)[s].sum() / w[s].sum() for s in (left, ~left)])
+
+
+def test_trees_whose_rows_are_sent_go_some_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(forest, "MOST_READ", 0)
+    monkeypatch.setattr(forest, "TREES_SENT", 4)
+    monkeypatch.setattr(forest, "NODE_ROWS", 500)
+    sent = []
+    stage = forest.stage
+    monkeypatch.setattr(forest, "stage", lambda df, label: sent.append(label) or stage(df, label))
+    data = _board(spark)
+    model = ForestModel.fit(data.where("id % 4 > 0"), 9, 20)
+    assert sent.count("trees") == 3 and sorted(r["tree"] for r in model.trees.collect()) == list(range(9))
+    assert _accuracy(model, data.where("id % 4 = 0")) > 0.8
+
+
+def test_trees_meet_blocks_in_bundles(spark, monkeypatch):
+    monkeypatch.setattr(forest, "BUNDLE", 6000)
+    monkeypatch.setattr(forest, "HELD", 20_000)
+    data = _board(spark)
+    model = ForestModel.fit(data.where("id % 4 > 0"), 10, 14)
+    got = model.transform(data.where("id % 4 = 0")).collect()
+    x = binned(np.array([r["features"].toArray() for r in got]), model.edges)
+    trees = [{k: np.frombuffer(r[k], t) for k, t in forest._KINDS.items()} for r in model.trees.collect()]
+    assert np.allclose(np.mean([t["p"][route(t, x)] for t in trees], axis=0), [r["score"] for r in got])
+
+
+def test_a_label_that_is_missing_is_an_error(spark):
+    data = _board(spark, 300).withColumn("label", F.expr("if(id = 7, null, label)"))
+    with pytest.raises(ValueError, match="1 labels"):
+        ForestModel.fit(data, 12, 20)

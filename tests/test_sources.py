@@ -51,3 +51,26 @@ def test_metrics_and_run_ids(spark, folder):
     assert spark.read.json(f"{folder}/m").first().asDict() == {"a": 0.5, "b": 2}
     at = F.to_timestamp(F.lit("2024-01-31 12:05:09"))
     assert spark.range(1).select(run_id("prod", at)).first()[0] == "prod_20240131_120509"
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    """Disk is free again as soon as the table is written."""
+    import time
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    counts = spark.range(20_000).groupBy((F.col("id") % 77).alias("k")).count().repartition(5, "count")
+    before = files()
+    counts.write.format("noop").mode("overwrite").save()
+    kept = files()
+    assert kept - before
+    staged = stage(counts)
+    for _ in range(50):
+        left = files() - kept
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and staged.count() == 77
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
